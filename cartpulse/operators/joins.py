@@ -1,0 +1,27 @@
+"""Join helpers: broadcast only behind a size check, shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension sides up to this many rows are shipped to every task.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows.
+
+    Runs a bounded job (it stops after ``max_rows + 1`` rows), so the check
+    costs little even when the answer is no.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast for a side whose row count is proven <= ``max_rows``.
+
+    Beyond the bound the frame is returned unchanged: Catalyst plans a shuffle
+    join and AQE may still switch to a broadcast from measured shuffle sizes.
+    """
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

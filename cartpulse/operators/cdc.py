@@ -30,22 +30,23 @@ def change_log_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     Per order: a transaction-begin marker, the ``order_info`` INSERT, and an
     UPDATE for orders whose status is ``F``; per line item an INSERT into
-    ``order_detail``. Every entry is one row, so no grouping is needed.
+    ``order_detail``. Every entry is one row, so no grouping is needed. ``ts``
+    (the change time) is the order date, or the ship date for line items.
     """
     after = _cols(("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
                   ("order_status", F.col("o_orderstatus")),
                   ("total_amount", F.col("o_totalprice").cast("decimal(18,2)")),
                   ("create_time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
-    begin = orders.select(F.lit("order_info").alias("table"), F.lit("TRANSACTIONBEGIN").alias("entry_type"),
+    begin = orders.select(F.col("o_orderdate").alias("ts"), F.lit("order_info").alias("table"), F.lit("TRANSACTIONBEGIN").alias("entry_type"),
                           F.lit(None).cast("string").alias("event_type"),
                           F.lit(None).cast("array<array<struct<name:string,value:string>>>").alias("rows"))
-    inserts = orders.select(F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
+    inserts = orders.select(F.col("o_orderdate").alias("ts"), F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                             F.lit("INSERT").alias("event_type"), F.array(after).alias("rows"))
     updates = (orders.where(F.col("o_orderstatus") == "F")
-               .select(F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
+               .select(F.col("o_orderdate").alias("ts"), F.lit("order_info").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                        F.lit("UPDATE").alias("event_type"), F.array(after).alias("rows")))
     detail = _cols(("order_id", F.col("l_orderkey")), ("sku_id", F.col("l_partkey")),
                    ("sku_num", F.col("l_quantity")))
-    details = lineitem.select(F.lit("order_detail").alias("table"), F.lit("ROWDATA").alias("entry_type"),
+    details = lineitem.select(F.col("l_shipdate").alias("ts"), F.lit("order_detail").alias("table"), F.lit("ROWDATA").alias("entry_type"),
                               F.lit("INSERT").alias("event_type"), F.array(detail).alias("rows"))
     return begin.unionByName(inserts).unionByName(updates).unionByName(details)

@@ -33,17 +33,23 @@ def sale_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, par
     o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
     if date is not None:
         o = o.where(F.col("dt") == F.lit(date).cast("date"))
+    lines = li.join(o, li.l_orderkey == o.o_orderkey)
+    return widen_lines(lines, customer, part, nation, keyword)
+
+
+def widen_lines(lines: DataFrame, customer: DataFrame, part: DataFrame, nation: DataFrame,
+                keyword: str | None = None) -> DataFrame:
+    """Order lines already joined to their order (l_* and o_custkey, dt) -> sale-detail rows."""
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     p = part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     if keyword:
         p = p.where(F.lower("p_name").contains(keyword.lower()))
     n = broadcast_if_small(nation.select("n_nationkey", "n_name"), NATION_ROWS_BOUND)
-    wide = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, F.col("o_custkey") == F.col("c_custkey"))
-              .join(p, F.col("l_partkey") == F.col("p_partkey"))
-              .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    wide = (lines.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                 .join(p, F.col("l_partkey") == F.col("p_partkey"))
+                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
     return wide.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_detail_id"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_detail_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("sku_id"),

@@ -25,7 +25,15 @@ from cartpulse.operators import gmv as GMV
 from cartpulse.operators import sales as SALES
 from cartpulse.plans import dashboard as DASH
 from cartpulse.sources import json_logs as JL
+from cartpulse.session import scratch_path
 from cartpulse.sources import tables as TB
+from cartpulse.streaming import alert_stream as AS
+from cartpulse.streaming import cdc_stream as CS
+from cartpulse.streaming import dau_stream as DS
+from cartpulse.streaming import gmv_stream as GS
+from cartpulse.streaming import replay as RP
+from cartpulse.streaming import sale_stream as SS
+from cartpulse.streaming import sinks as SK
 
 # --- test-table parameters ---
 ALERT_WINDOW_T = "6 hours"
@@ -227,4 +235,98 @@ BATCH_QUERIES: dict[str, Query] = {
     "sales_by_province": q_sales_by_province,
 }
 
-ALL_QUERIES: dict[str, Query] = dict(BATCH_QUERIES)
+# ---------------------------------------------------------------- streams
+# Each stream query stages its input from the tables as time-ordered slices
+# under the shared checkpoint folder, runs the stream once per slice with
+# ``availableNow`` (restarting from its checkpoint), and returns the sink.
+
+N_SLICES_T = 4
+ALERT_DELAY_T = "1 hour"
+
+
+def q_stream_dau(spark, sf):
+    work = scratch_path(spark, "stream_dau")
+    startup = TB.startup_log(spark, sf)
+    src = f"{work}/source"
+
+    def start():
+        return DS.start_dau_stream(RP.stream_reader(spark, src, startup.schema), f"{work}/rows",
+                                   f"{work}/checkpoint", counts_table=f"{work}/counts")
+
+    RP.replay([(startup, "ts", src, "parquet")], N_SLICES_T, start)
+    return SK.read_table(spark, f"{work}/rows").select("mid", "log_date", "event_id", "uid", "type", "ts", "log_hour")
+
+
+def q_stream_gmv(spark, sf):
+    work = scratch_path(spark, "stream_gmv")
+    orders = TB.hourly_orders(spark, sf)
+    msgs = orders.select(F.to_json(F.struct("id", "user_id", "total_amount", "create_time")).alias("value"),
+                         F.to_timestamp_ntz("create_time").alias("ts"))
+    src = f"{work}/source"
+
+    def start():
+        return GS.start_order_stream(spark.readStream.text(src), f"{work}/orders", f"{work}/checkpoint")
+
+    RP.replay([(msgs, "ts", src, "text")], N_SLICES_T, start)
+    return GMV.gmv_hours(GS.read_orders(spark, f"{work}/orders"))
+
+
+def q_stream_coupon_alerts(spark, sf):
+    work = scratch_path(spark, "stream_alerts")
+    events = TB.event_log(spark, sf)
+    src = f"{work}/source"
+
+    def start():
+        alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), ALERT_WINDOW_T, ALERT_SLIDE_T,
+                                 ALERT_DELAY_T)
+        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
+                                     ALERT_BUCKET_MS_T)
+
+    RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
+    a = SK.read_table(spark, f"{work}/windows")
+    return a.select("mid", "window_start", "window_end", F.size("uids").cast("bigint").alias("n_uids"),
+                    sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
+
+
+def q_sale_detail_stream(spark, sf):
+    work = scratch_path(spark, "stream_sale")
+    orders = TB.load_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    lineitem = TB.load_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+                                                       "l_extendedprice"])
+    # order lines are created with their order: their event time is the order's time
+    lines = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey"),
+                                        F.col("o_orderdate").alias("create_time")), "l_orderkey")
+    o_src, l_src = f"{work}/orders_src", f"{work}/lines_src"
+    customer, part, nation = _tables(spark, sf, "customer", "part", "nation")
+
+    def start():
+        wide = SS.sale_detail_stream(RP.stream_reader(spark, o_src, orders.schema),
+                                     RP.stream_reader(spark, l_src, lines.schema), customer, part, nation)
+        return SS.start_file_sink(wide, f"{work}/out", f"{work}/checkpoint")
+
+    RP.replay([(orders, "o_orderdate", o_src, "parquet"), (lines, "create_time", l_src, "parquet")],
+              N_SLICES_T, start)
+    return spark.read.parquet(f"{work}/out")
+
+
+def q_stream_cdc_order_inserts(spark, sf):
+    work = scratch_path(spark, "stream_cdc")
+    changes = _changes(spark, sf)
+    src = f"{work}/source"
+
+    def start():
+        return CS.start_cdc_stream(RP.stream_reader(spark, src, changes.schema), f"{work}/out", f"{work}/checkpoint")
+
+    RP.replay([(changes, "ts", src, "parquet")], N_SLICES_T, start)
+    return spark.read.text(f"{work}/out")
+
+
+STREAM_QUERIES: dict[str, Query] = {
+    "stream_dau": q_stream_dau,
+    "stream_gmv": q_stream_gmv,
+    "stream_coupon_alerts": q_stream_coupon_alerts,
+    "sale_detail_stream": q_sale_detail_stream,
+    "stream_cdc_order_inserts": q_stream_cdc_order_inserts,
+}
+
+ALL_QUERIES: dict[str, Query] = {**BATCH_QUERIES, **STREAM_QUERIES}

@@ -169,3 +169,16 @@ SELECT province, sum(sku_num) AS quantity, CAST(sum(CAST(order_price AS DECIMAL(
        CAST(least(floor(sum(sku_num) / 100), 5) AS INTEGER) AS color_class
 FROM sale GROUP BY province""",
 }
+
+# Streams: same result as the batch twin on time-ordered input. Alerts are
+# emitted in append mode, i.e. only windows already closed by the watermark
+# (window end <= latest event time - 1 hour) are in the sink.
+ORACLE_SQL.update({
+    "stream_dau": ORACLE_SQL["dau_first"],
+    "stream_gmv": ORACLE_SQL["gmv_hours"],
+    "stream_coupon_alerts": f"""WITH {EVENT_LOG}
+SELECT mid, window_start, window_end, n_uids, uids, item_ids FROM alerts
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "sale_detail_stream": ORACLE_SQL["sale_detail_wide"],
+    "stream_cdc_order_inserts": ORACLE_SQL["cdc_order_inserts"],
+})

@@ -62,7 +62,12 @@ def with_date_hour(df: DataFrame, ts: str = "ts", date_col: str = "log_date",
     """
     dtype = dict(df.dtypes)[ts]
     wall = epoch_ms_to_local(ts, tz) if dtype in ("bigint", "int") else F.col(ts)
-    return df.withColumn(date_col, F.to_date(wall)).withColumn(hour_col, F.date_format(wall, "HH"))
+    return df.withColumn(date_col, F.to_date(wall)).withColumn(hour_col, two_digit_hour(wall))
+
+
+def two_digit_hour(wall: Column) -> Column:
+    """``HH`` of a wall-clock time, read straight from the NTZ value (no zone conversion)."""
+    return F.lpad(F.hour(wall).cast("string"), 2, "0")
 
 
 def split_create_time(df: DataFrame, col: str = "create_time", date_col: str = "create_date",

@@ -59,12 +59,12 @@ def q_order_date_hour(spark, sf):
 
 def q_parse_startup(spark, sf):
     msgs = JL.startup_messages(TB.startup_log(spark, sf))
-    return JL.valid_rows(JL.parse_startup(msgs)).select("mid", "uid", "type", "ts", "log_date", "log_hour")
+    return JL.parse_startup(msgs).select("mid", "uid", "type", "ts", "log_date", "log_hour", JL.CORRUPT_COL)
 
 
 def q_parse_events(spark, sf):
     msgs = JL.event_messages(TB.event_log(spark, sf))
-    return JL.valid_rows(JL.parse_events(msgs)).select("mid", "uid", "evid", "itemid", "ts", "log_date", "log_hour")
+    return JL.parse_events(msgs).select("mid", "uid", "evid", "itemid", "ts", "log_date", "log_hour", JL.CORRUPT_COL)
 
 
 def _changes(spark, sf):
@@ -76,8 +76,9 @@ def q_cdc_order_inserts(spark, sf):
 
 
 def q_parse_orders(spark, sf):
-    parsed = JL.valid_rows(JL.parse_orders(CDC.row_inserts(_changes(spark, sf))))
-    return parsed.select("id", "user_id", "order_status", "total_amount", "create_time", "create_date", "create_hour")
+    parsed = JL.parse_orders(CDC.row_inserts(_changes(spark, sf)))
+    return parsed.select("id", "user_id", "order_status", "total_amount", "create_time", "create_date", "create_hour",
+                         JL.CORRUPT_COL)
 
 
 # ---------------------------------------------------------------- devices

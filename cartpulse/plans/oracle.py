@@ -97,14 +97,15 @@ LEFT JOIN hv y ON y.day + 1 = s.day AND y.hour = s.hour"""
 ORACLE_SQL: dict[str, str] = {
     "event_date_hour": f"WITH {STARTUP} SELECT event_id, mid, uid, type, ts, log_date, log_hour FROM startup",
     "order_date_hour": f"WITH {HOURLY_ORDERS} SELECT * FROM hourly",
-    "parse_startup": f"WITH {STARTUP} SELECT mid, uid, type, epoch_us(ts) // 1000 AS ts, log_date, log_hour FROM startup",
+    "parse_startup": f"WITH {STARTUP} SELECT mid, uid, type, epoch_us(ts) // 1000 AS ts, log_date, log_hour, "
+                     "CAST(NULL AS VARCHAR) AS _corrupt_record FROM startup",
     "parse_events": f"WITH {EVENT_BASE} "
                     "SELECT mid, uid, evid, itemid, epoch_us(ts) // 1000 AS ts, CAST(ts AS DATE) AS log_date, "
-                    "strftime(ts, '%H') AS log_hour FROM ev",
+                    "strftime(ts, '%H') AS log_hour, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ev",
     "parse_orders": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
   o_orderstatus AS order_status, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time, CAST(o_orderdate AS DATE) AS create_date,
-  strftime(o_orderdate, '%H') AS create_hour
+  strftime(o_orderdate, '%H') AS create_hour, CAST(NULL AS VARCHAR) AS _corrupt_record
 FROM orders""",
     "cdc_order_inserts": """SELECT CAST(json_object('id', CAST(o_orderkey AS VARCHAR), 'user_id', CAST(o_custkey AS VARCHAR),
   'order_status', o_orderstatus, 'total_amount', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR),

@@ -49,22 +49,30 @@ def hours_map(hour_values: DataFrame, day: str, hour: str, value: str) -> DataFr
             .agg(F.to_json(F.map_from_entries(entries)).alias("hours")))
 
 
-def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame, gmv_per_day: DataFrame) -> DataFrame:
-    """KPI rows (day, id, name, value) for every day with active devices.
+def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame, gmv_per_day: DataFrame,
+                   date: str | None = None) -> DataFrame:
+    """KPI rows (day, id, name, value) for every day with active devices, or for one ``date``.
 
     ``dau_per_day``: (log_date, dau); ``new_per_day``: (log_date, new_mid);
     ``gmv_per_day``: (create_date, order_amount). A day without orders has a
-    NULL amount; a day without new devices has 0.
+    NULL amount; a day without devices has 0 active and 0 new devices.
     """
-    days = dau_per_day.select(F.col("log_date").alias("day"), "dau")
+    dau = dau_per_day.select(F.col("log_date").alias("day"), "dau")
     nm = new_per_day.select(F.col("log_date").alias("day"), "new_mid")
     gmv = gmv_per_day.select(F.col("create_date").alias("day"), "order_amount")
-    wide = days.join(nm, "day", "left").join(gmv, "day", "left")
+    if date is not None:
+        d = F.lit(date).cast("date")
+        days = dau_per_day.sparkSession.range(1).select(d.alias("day"))
+        dau, nm, gmv = (x.where(F.col("day") == d) for x in (dau, nm, gmv))
+        wide = days.join(dau, "day", "left")
+    else:
+        wide = dau
+    wide = wide.join(nm, "day", "left").join(gmv, "day", "left")
 
     def kpi(pair, v):
         return F.struct(F.lit(pair[0]).alias("id"), F.lit(pair[1]).alias("name"), v.cast("double").alias("value"))
 
-    rows = F.array(kpi(KPI_DAU, F.col("dau")),
+    rows = F.array(kpi(KPI_DAU, F.coalesce(F.col("dau"), F.lit(0))),
                    kpi(KPI_NEW_MID, F.coalesce(F.col("new_mid"), F.lit(0))),
                    kpi(KPI_ORDER_AMOUNT, F.col("order_amount")))
     return wide.select("day", F.inline(rows))

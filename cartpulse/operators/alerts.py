@@ -58,24 +58,32 @@ def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = AL
                     F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids")))
 
 
+def alert_event_rows(events: DataFrame, alerts: DataFrame, window: str = ALERT_WINDOW,
+                     slide: str = ALERT_SLIDE) -> DataFrame:
+    """One row per (alerted window, event of that device inside it): the distributed form of A6.
+
+    Each alerted window is expanded to the ``size / slide`` buckets it covers
+    and equi-joined with the events on (mid, bucket) - no range join, and a
+    hot device is spread over its buckets (AQE splits a skewed bucket).
+    """
+    step = F.expr(f"INTERVAL '{slide}'")
+    covered = (alerts.select("mid", "window_start", "window_end")
+               .withColumn("bucket", F.explode(F.sequence(F.col("window_start"), F.col("window_end") - step, step))))
+    bucketed = events.select("mid", "ts", "event_id", "evid", F.window("ts", slide).start.alias("bucket"))
+    return covered.join(bucketed, ["mid", "bucket"]).drop("bucket")
+
+
 def alert_events(events: DataFrame, alerts: DataFrame, window: str = ALERT_WINDOW,
                  slide: str = ALERT_SLIDE) -> DataFrame:
     """Every event id (``evid``) seen by the device in each alerted window, in (ts, event_id) order.
 
-    The event log is grouped into per-(mid, bucket) lists once; each alerted
-    window is expanded to the buckets it covers and equi-joined on
-    (mid, bucket), so no range join and no per-device hot spot.
+    The list of one window is assembled in one task; its length is bounded by
+    one device's events in one window (use :func:`alert_event_rows` to keep
+    it as rows).
     """
-    per_bucket = (events
-                  .groupBy("mid", F.window("ts", slide).start.alias("bucket"))
-                  .agg(F.collect_list(F.struct("ts", "event_id", "evid")).alias("evs")))
-    covered = (alerts.select("mid", "window_start", "window_end")
-               .withColumn("bucket", F.explode(F.sequence(F.col("window_start"),
-                                                          F.col("window_end") - F.expr(f"INTERVAL '{slide}'"),
-                                                          F.expr(f"INTERVAL '{slide}'")))))
-    joined = covered.join(per_bucket, ["mid", "bucket"])
-    return (joined.groupBy("mid", "window_start", "window_end")
-            .agg(F.array_sort(F.flatten(F.collect_list("evs"))).alias("evs"))
+    rows = alert_event_rows(events, alerts, window, slide)
+    return (rows.groupBy("mid", "window_start", "window_end")
+            .agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "evid"))).alias("evs"))
             .select("mid", "window_start", "window_end", F.transform("evs", lambda x: x["evid"]).alias("events")))
 
 

@@ -83,8 +83,15 @@ def q_parse_orders(spark, sf):
 
 # ---------------------------------------------------------------- devices
 
-def _dau(spark, sf):
-    return DAU.dau_rows(TB.startup_log(spark, sf))
+def _dau(spark, sf, cols: tuple[str, ...] | None = None):
+    """Device rows; ``cols`` narrows what the dedup carries through its shuffle (rollups need few)."""
+    startup = TB.startup_log(spark, sf)
+    if cols is not None:
+        startup = startup.select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *cols)
+    return DAU.dau_rows(startup)
+
+
+ROLLUP = ("log_hour",)
 
 
 def q_dau_first(spark, sf):
@@ -96,11 +103,11 @@ def q_dau_cross_batch(spark, sf):
 
 
 def q_dau_total(spark, sf):
-    return DAU.dau_total(_dau(spark, sf))
+    return DAU.dau_total(_dau(spark, sf, ()))
 
 
 def q_dau_hours(spark, sf):
-    return DAU.dau_hours(_dau(spark, sf))
+    return DAU.dau_hours(_dau(spark, sf, ROLLUP))
 
 
 def q_dedup_counts(spark, sf):
@@ -108,7 +115,7 @@ def q_dedup_counts(spark, sf):
 
 
 def q_new_devices(spark, sf):
-    return DAU.new_devices(_dau(spark, sf))
+    return DAU.new_devices(_dau(spark, sf, ()))
 
 
 # ---------------------------------------------------------------- order value
@@ -124,17 +131,17 @@ def q_gmv_hours(spark, sf):
 # ---------------------------------------------------------------- dashboard
 
 def q_hours_map(spark, sf):
-    return DASH.hours_map(DAU.dau_hours(_dau(spark, sf)), "log_date", "log_hour", "dau")
+    return DASH.hours_map(DAU.dau_hours(_dau(spark, sf, ROLLUP)), "log_date", "log_hour", "dau")
 
 
 def q_realtime_total(spark, sf):
-    dau = _dau(spark, sf)
+    dau = _dau(spark, sf, ())
     gmv = GMV.gmv_total(GMV.order_facts(TB.hourly_orders(spark, sf)))
     return DASH.realtime_total(DAU.dau_total(dau), DAU.new_devices(dau), gmv)
 
 
 def q_realtime_hours_dau(spark, sf):
-    return DASH.realtime_hours(DAU.dau_hours(_dau(spark, sf)), "log_date", "log_hour", "dau")
+    return DASH.realtime_hours(DAU.dau_hours(_dau(spark, sf, ROLLUP)), "log_date", "log_hour", "dau")
 
 
 def q_realtime_hours_gmv(spark, sf):

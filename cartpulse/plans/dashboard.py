@@ -17,29 +17,59 @@ from cartpulse.constants import KPI_DAU, KPI_NEW_MID, KPI_ORDER_AMOUNT
 
 def realtime_hours(hour_values: DataFrame, day: str, hour: str, value: str,
                    date: str | None = None, zero=0) -> DataFrame:
-    """(day, hour, today, yesterday) for every day of ``hour_values`` (or one ``date``), 24 rows each."""
+    """(day, hour, today, yesterday) for every day of ``hour_values`` (or one ``date``), 24 rows each.
+
+    One pass over the (day, hour) aggregate: each input row emits its value
+    as "today" of its day, as "yesterday" of the next day, and the 24 spine
+    hours of its day; a single aggregation merges them.
+    """
     hv = hour_values.select(F.col(day).alias("day"), F.col(hour).alias("hour"), F.col(value).alias("v"))
+    vtype = dict(hv.dtypes)["v"]
+    null_v = F.lit(None).cast(vtype)
     if date is not None:
         d = F.lit(date).cast("date")
         hv = hv.where(F.col("day").isin(d, F.date_sub(d, 1)))
-        days = hv.sparkSession.range(1).select(d.alias("day"))
+        spine_day = d  # the asked-for day always gets its 24 rows
+        keep = F.col("day") == d
     else:
-        days = hv.select("day").distinct()
-    vtype = dict(hv.dtypes)["v"]
-    null_v = F.lit(None).cast(vtype)
-    spine = days.select("day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h")).select(
-        "day", F.lpad(F.col("h").cast("string"), 2, "0").alias("hour"),
-        null_v.alias("today"), null_v.alias("yesterday"), F.lit(True).alias("in_spine"))
-    today = hv.select("day", "hour", F.col("v").alias("today"), null_v.alias("yesterday"), F.lit(False).alias("in_spine"))
-    yest = hv.select(F.date_add("day", 1).alias("day"), "hour", null_v.alias("today"), F.col("v").alias("yesterday"),
-                     F.lit(False).alias("in_spine"))
-    merged = (spine.unionByName(today).unionByName(yest)
-              .groupBy("day", "hour")
+        spine_day = F.col("day")
+        keep = F.lit(True)
+
+    def entry(dd, hh, today, yest, spine):
+        return F.struct(dd.alias("day"), hh.alias("hour"), today.alias("today"), yest.alias("yesterday"),
+                        F.lit(spine).alias("in_spine"))
+
+    spine = F.transform(F.sequence(F.lit(0), F.lit(23)),
+                        lambda h: entry(spine_day, F.lpad(h.cast("string"), 2, "0"), null_v, null_v, True))
+    entries = F.concat(F.array(entry(F.col("day"), F.col("hour"), F.col("v"), null_v, False),
+                               entry(F.date_add("day", 1), F.col("hour"), null_v, F.col("v"), False)), spine)
+    if date is not None:
+        # a day with no rows at all still gets its spine
+        seed = hv.sparkSession.range(1).select(F.inline(F.transform(
+            F.sequence(F.lit(0), F.lit(23)),
+            lambda h: entry(d, F.lpad(h.cast("string"), 2, "0"), null_v, null_v, True))))
+        exploded = hv.select(F.inline(entries)).unionByName(seed)
+    else:
+        exploded = hv.select(F.inline(entries))
+    merged = (exploded.groupBy("day", "hour")
               .agg(F.sum("today").alias("today"), F.sum("yesterday").alias("yesterday"),
                    F.bool_or("in_spine").alias("in_spine")))
     z = F.lit(zero).cast(vtype)
-    return merged.where("in_spine").select("day", "hour", F.coalesce("today", z).alias("today"),
-                                           F.coalesce("yesterday", z).alias("yesterday"))
+    return merged.where(F.col("in_spine") & keep).select(
+        "day", "hour", F.coalesce("today", z).alias("today"), F.coalesce("yesterday", z).alias("yesterday"))
+
+
+METRICS = ("dau", "order_amount")
+
+
+def realtime_hours_for(metric: str, dau_hour_counts: DataFrame, gmv_hour_sums: DataFrame,
+                       date: str | None = None) -> DataFrame:
+    """Hour series of one dashboard metric: ``dau`` or ``order_amount`` (anything else is an error)."""
+    if metric == "dau":
+        return realtime_hours(dau_hour_counts, "log_date", "log_hour", "dau", date)
+    if metric == "order_amount":
+        return realtime_hours(gmv_hour_sums, "create_date", "create_hour", "order_amount", date, zero=0.0)
+    raise ValueError(f"unknown metric {metric!r}; expected one of {METRICS}")
 
 
 def hours_map(hour_values: DataFrame, day: str, hour: str, value: str) -> DataFrame:

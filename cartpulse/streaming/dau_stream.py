@@ -32,12 +32,17 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
         spark = batch_df.sparkSession
         seen_in, kept_out = Observation(f"in_{batch_id}"), Observation(f"out_{batch_id}")
         src = batch_df.observe(seen_in, F.count(F.lit(1)).alias("n"))
-        firsts = first_per_key(src, keys, order)
-        stored = read_table(spark, rows_table)
-        if stored is not None:
-            firsts = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys)
-        write_batch(firsts.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id,
-                    partition_by=["log_date"])
+        # the deduplicated batch is used twice (its keys are broadcast, its rows anti-joined)
+        firsts = first_per_key(src, keys, order).persist()
+        try:
+            stored = read_table(spark, rows_table)
+            new = firsts
+            if stored is not None:
+                new = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys)
+            write_batch(new.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id,
+                        partition_by=["log_date"])
+        finally:
+            firsts.unpersist()
         if counts_table is not None:
             n_in, n_out = seen_in.get.get("n", 0), kept_out.get.get("n", 0)
             counts = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("stream_batch"),

@@ -57,16 +57,22 @@ def replay(sources: Sequence[tuple[DataFrame, str, str, str]], n_slices: int,
     the same time bounds (taken from source ``bounds_from``), so related
     streams advance together.
     """
-    frame, ts, _, _ = sources[bounds_from]
-    cuts = time_bounds(frame, ts, n_slices)
-    for i in range(n_slices):
-        lo, hi = cuts[i], cuts[i + 1]
-        for df, col, path, fmt in sources:
-            part = slice_of(df, col, lo, hi)
-            if fmt == "text":
-                part = part.select("value")
-            stage_slice(part, path, fmt)
-        run_available(start())
+    # The inputs are read once (persisted) and cut n times.
+    cached = [(df.persist(), col, path, fmt) for df, col, path, fmt in sources]
+    try:
+        frame, ts, _, _ = cached[bounds_from]
+        cuts = time_bounds(frame, ts, n_slices)
+        for i in range(n_slices):
+            lo, hi = cuts[i], cuts[i + 1]
+            for df, col, path, fmt in cached:
+                part = slice_of(df, col, lo, hi)
+                if fmt == "text":
+                    part = part.select("value")
+                stage_slice(part, path, fmt)
+            run_available(start())
+    finally:
+        for df, *_ in cached:
+            df.unpersist()
 
 
 def stream_reader(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

@@ -66,3 +66,50 @@ def test_stream_alerts_are_closed_batch_windows(spark):
     last = load_table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
     import datetime as dt
     assert s == {r for r in b if r[2] <= last - dt.timedelta(hours=1)}
+
+
+def test_alert_docs_log_upserts_last_window(spark):
+    import datetime as dt
+    from cartpulse.streaming.alert_stream import alert_docs
+    work = scratch_path(spark, "test_docs")
+    schema = "mid string, window_start timestamp_ntz, window_end timestamp_ntz, uids array<string>, item_ids array<string>"
+    t = dt.datetime(2024, 1, 1, 10, 0, 0)
+    w = lambda s, e: ("m", t + dt.timedelta(seconds=s), t + dt.timedelta(seconds=e), ["a"], ["i"])
+    SK.write_batch(alert_docs(spark.createDataFrame([w(0, 300), w(5, 305)], schema)), f"{work}/docs", 0)
+    SK.write_batch(alert_docs(spark.createDataFrame([w(10, 310)], schema)), f"{work}/docs", 1)
+    got = SK.read_latest(spark, f"{work}/docs", "alert_id", "ts").collect()
+    assert len(got) == 1 and got[0]["ts"] == t + dt.timedelta(seconds=310)
+
+
+def test_live_gmv_stream_and_watermark_dedup(spark):
+    from cartpulse.streaming.gmv_stream import live_gmv_hours
+    from cartpulse.sources.json_logs import parse_orders
+    from cartpulse.streaming.replay import run_available
+    work = scratch_path(spark, "test_live")
+    spark.createDataFrame([('{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}',),
+                           ('{"id":"2","total_amount":"7.00","create_time":"2024-01-01 10:40:00"}',)],
+                          "value string").write.text(f"{work}/src")
+    q = (live_gmv_hours(parse_orders(spark.readStream.text(f"{work}/src"))).writeStream
+         .outputMode("complete").format("memory").queryName("live_gmv_test")
+         .option("checkpointLocation", f"{work}/ckpt").trigger(availableNow=True).start())
+    run_available(q)
+    assert [tuple(r) for r in spark.table("live_gmv_test").select("create_hour", "order_amount").collect()] == [("10", 12.0)]
+
+    schema = "event_id long, mid string, uid string, type string, ts timestamp_ntz, log_date date, log_hour string"
+    data = startup_log(spark, SF_SMALL)
+    data.write.parquet(f"{work}/startup")
+    q2 = (DS.dau_watermark_dedup(spark.readStream.schema(schema).parquet(f"{work}/startup"), "40 days")
+          .writeStream.format("memory").queryName("wm_dedup_test").option("checkpointLocation", f"{work}/ckpt2")
+          .trigger(availableNow=True).start())
+    run_available(q2)
+    got = spark.table("wm_dedup_test")
+    assert got.count() == DAU.dau_rows(data).count()
+    assert got.groupBy("mid", "log_date").count().where("count > 1").count() == 0
+
+
+def test_metric_selector(spark):
+    import pytest
+    from cartpulse.plans.dashboard import realtime_hours_for
+    e = spark.createDataFrame([], "log_date date, log_hour string, dau long")
+    with pytest.raises(ValueError):
+        realtime_hours_for("visits", e, e)

@@ -27,13 +27,15 @@ def dau_cross_batch(startup: DataFrame, batch_ms: int) -> DataFrame:
 
     Stage 1 (in batch): first row per (mid, log_date, batch_id).
     Stage 2 (across batches): drop a row when the same (mid, log_date) was
-    kept by an earlier batch - a left anti join on the key with
-    ``seen.batch_id < batch_id``. Each key has at most one row per batch, so
-    the join groups stay small even for a hot device.
+    kept by an earlier batch - a left anti join against the seen set. The
+    seen set holds one row per key (the key's first batch, a partial
+    aggregate), so every row is compared with exactly one seen row: no pairs
+    inside a group even when a hot device appears in every batch.
     """
     firsts = first_per_key(with_batch_id(startup, batch_ms), [*DAU_KEYS, "batch_id"], DAU_ORDER)
-    seen = firsts.select(*[F.col(k).alias(f"_s_{k}") for k in DAU_KEYS], F.col("batch_id").alias("_s_batch"))
-    cond = [firsts[k] == seen[f"_s_{k}"] for k in DAU_KEYS] + [seen["_s_batch"] < firsts["batch_id"]]
+    seen = (firsts.groupBy(*[F.col(k).alias(f"_s_{k}") for k in DAU_KEYS])
+            .agg(F.min("batch_id").alias("_s_first_batch")))
+    cond = [firsts[k] == seen[f"_s_{k}"] for k in DAU_KEYS] + [seen["_s_first_batch"] < firsts["batch_id"]]
     return firsts.join(seen, cond, "left_anti")
 
 

@@ -33,21 +33,34 @@ def sale_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, par
     o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
     if date is not None:
         o = o.where(F.col("dt") == F.lit(date).cast("date"))
-    lines = li.join(o, li.l_orderkey == o.o_orderkey)
-    return widen_lines(lines, customer, part, nation, keyword)
+    # orders x customers first: the wide line side is then shuffled twice
+    # (by order key, by part key) instead of three times.
+    oc = attach_customer(o, customer, nation)
+    lines = li.join(oc, li.l_orderkey == oc.o_orderkey)
+    return _project(attach_part(lines, part, keyword))
 
 
-def widen_lines(lines: DataFrame, customer: DataFrame, part: DataFrame, nation: DataFrame,
-                keyword: str | None = None) -> DataFrame:
-    """Order lines already joined to their order (l_* and o_custkey, dt) -> sale-detail rows."""
+def attach_customer(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = broadcast_if_small(nation.select("n_nationkey", "n_name"), NATION_ROWS_BOUND)
+    return (orders.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                  .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+
+
+def attach_part(lines: DataFrame, part: DataFrame, keyword: str | None = None) -> DataFrame:
     p = part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     if keyword:
         p = p.where(F.lower("p_name").contains(keyword.lower()))
-    n = broadcast_if_small(nation.select("n_nationkey", "n_name"), NATION_ROWS_BOUND)
-    wide = (lines.join(c, F.col("o_custkey") == F.col("c_custkey"))
-                 .join(p, F.col("l_partkey") == F.col("p_partkey"))
-                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    return lines.join(p, F.col("l_partkey") == F.col("p_partkey"))
+
+
+def widen_lines(lines: DataFrame, customer: DataFrame, part: DataFrame, nation: DataFrame,
+                keyword: str | None = None) -> DataFrame:
+    """Order lines already joined to their order (l_* and o_custkey, dt) -> sale-detail rows."""
+    return _project(attach_part(attach_customer(lines, customer, nation), part, keyword))
+
+
+def _project(wide: DataFrame) -> DataFrame:
     return wide.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_detail_id"),
         F.col("l_orderkey").alias("order_id"),

@@ -7,7 +7,6 @@ user age = ``p_size``, province = nation name, keyword search on ``p_name``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartpulse.constants import AGE_BAND_EDGES, AGE_BAND_LABELS, PROVINCE_CLASS_MAX, PROVINCE_CLASS_WIDTH
@@ -107,8 +106,8 @@ def page_number(start: int, length: int) -> int:
 
 
 def _shares(counts: DataFrame, key: str) -> DataFrame:
-    # ``counts`` has one row per group (a handful), so the unpartitioned window is tiny.
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    # the grand total is a scalar subquery over the (tiny) per-group counts
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def share_by_segment(detail: DataFrame) -> DataFrame:

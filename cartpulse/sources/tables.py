@@ -83,3 +83,20 @@ def hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("total_amount"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
     )
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
+              lower: int | None = None, upper: int | None = None, num_partitions: int = 1,
+              properties: dict | None = None) -> DataFrame:
+    """A fact table from a SQL store, read in ``num_partitions`` parallel range slices.
+
+    Filters and column selections written on the result are pushed into the
+    generated SQL by the JDBC source.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if partition_column is not None:
+        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", str(lower))
+                  .option("upperBound", str(upper)).option("numPartitions", str(num_partitions)))
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    return reader.load()

@@ -27,11 +27,18 @@ def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, t
     return w.start()
 
 
-def read_orders(spark: SparkSession, order_table: str) -> DataFrame | None:
-    """Stored orders, one row per order id (a re-sent message counts once: earliest batch wins)."""
+def read_orders(spark: SparkSession, order_table: str, dates: list | None = None) -> DataFrame | None:
+    """Stored orders, one row per order id (a re-sent message counts once: earliest batch wins).
+
+    ``dates`` (date literals/columns) restricts the read to those ``create_date``
+    partitions *before* the dedup: copies of one order carry the same date,
+    so the result is the same and only those folders are read.
+    """
     stored = read_table(spark, order_table)
     if stored is None:
         return None
+    if dates is not None:
+        stored = stored.where(F.col("create_date").isin(*dates))
     return first_per_key(stored.where(F.col("_corrupt_record").isNull()), ["id"], ["batch_id"])
 
 

@@ -113,3 +113,41 @@ def test_metric_selector(spark):
     e = spark.createDataFrame([], "log_date date, log_hour string, dau long")
     with pytest.raises(ValueError):
         realtime_hours_for("visits", e, e)
+
+
+def test_publisher_serves_one_day_from_stream_tables(spark):
+    import datetime as dt
+    from cartpulse.plans.publisher import Publisher
+    from cartpulse.plans import catalog as C
+    from cartpulse.streaming import gmv_stream as GS
+    from cartpulse.streaming.replay import replay, stream_reader
+    from cartpulse.sources import tables as TB
+    from cartpulse.operators import gmv as GMV
+    from cartpulse.plans import dashboard as DASH
+    work = scratch_path(spark, "test_pub")
+    startup = startup_log(spark, SF_SMALL)
+    orders = TB.hourly_orders(spark, SF_SMALL)
+    msgs = orders.select(F.to_json(F.struct("id", "user_id", "total_amount", "create_time")).alias("value"),
+                         F.to_timestamp_ntz("create_time").alias("ts"))
+
+    def start_dau():
+        return DS.start_dau_stream(stream_reader(spark, f"{work}/s_src", startup.schema), f"{work}/rows",
+                                   f"{work}/ck1")
+
+    def start_gmv():
+        return GS.start_order_stream(spark.readStream.text(f"{work}/o_src"), f"{work}/orders", f"{work}/ck2")
+
+    replay([(startup, "ts", f"{work}/s_src", "parquet")], 2, start_dau)
+    replay([(msgs, "ts", f"{work}/o_src", "text")], 2, start_gmv)
+    pub = Publisher(spark, f"{work}/rows", f"{work}/orders")
+    day = "2024-01-15"
+    served = {r["id"]: r["value"] for r in pub.realtime_total(day).collect()}
+    dau = DAU.dau_rows(startup)
+    batch = {r["id"]: r["value"] for r in DASH.realtime_total(
+        DAU.dau_total(dau), DAU.new_devices(dau), GMV.gmv_total(GMV.order_facts(orders)), day).collect()}
+    assert served == batch
+    hours = pub.realtime_hours("order_amount", day).collect()
+    want = DASH.realtime_hours(GMV.gmv_hours(GMV.order_facts(orders)), "create_date", "create_hour",
+                               "order_amount", day, zero=0.0).collect()
+    assert sorted(map(tuple, hours)) == sorted(map(tuple, want)) and len(hours) == 24
+    assert str(pub.realtime_hours("dau", day).first()["day"]) == day

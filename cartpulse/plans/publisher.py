@@ -1,12 +1,15 @@
 """Dashboard results served from the stored fact tables written by the streams.
 
-The device-row table (``stream_dau``) is partitioned by ``log_date`` and the
-order table (``stream_gmv``) by ``create_date``, so a one-day request reads
-only that day's folders (partition pruning); "yesterday" adds one more.
+The device-row table (``stream_dau``) is laid out ``log_date=/batch_id=`` and
+the order table (``stream_gmv``) ``create_date=/batch_id=``, so a one-day
+request reads only that day's folders (partition pruning, or only those
+folders listed); "yesterday" adds one more.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,11 +45,12 @@ class Publisher:
         dau = self._dau()
         # new devices need history up to the date (first day per device), not just the date
         new = DAU.new_devices(dau.where(F.col("log_date") <= d))
-        return DASH.realtime_total(DAU.dau_total(dau, date), new, GMV.gmv_total(self._orders([d]), date), date)
+        day = dt.date.fromisoformat(date)
+        return DASH.realtime_total(DAU.dau_total(dau, date), new, GMV.gmv_total(self._orders([day]), date), date)
 
     def realtime_hours(self, metric: str, date: str) -> DataFrame:
-        d = F.lit(date).cast("date")
-        two_days = [d, F.date_sub(d, 1)]
+        day = dt.date.fromisoformat(date)
+        two_days = [day, day - dt.timedelta(days=1)]
         dau_hours = DAU.dau_hours(self._dau().where(F.col("log_date").isin(*two_days)))
         gmv_hours = GMV.gmv_hours(self._orders(two_days))
         return DASH.realtime_hours_for(metric, dau_hours, gmv_hours, date)

@@ -8,8 +8,9 @@ Per micro-batch (``foreachBatch``):
    broadcast (a micro-batch is bounded by the trigger limits) into a semi
    join over the stored rows, so the state is scanned with pruning but
    never shuffled;
-3. write the new rows under ``batch_id=<n>`` (replaced if the batch is
-   replayed, and excluded from step 2 then, so a replay changes nothing).
+3. write the new rows under ``log_date=<d>/batch_id=<n>`` (replaced if the
+   batch is replayed, and excluded from step 2 then, so a replay changes
+   nothing). Step 2 lists and reads only the folders of the batch's dates.
 
 Counts of rows in / rows kept are recorded per batch with ``observe``.
 """
@@ -22,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER
 from cartpulse.operators.dedup import filter_seen_bounded, first_per_key
-from cartpulse.streaming.sinks import read_table, write_batch
+from cartpulse.streaming.sinks import read_dated, write_batch, write_dated_batch
 
 
 def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_KEYS, order=DAU_ORDER):
@@ -35,12 +36,13 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
         # the deduplicated batch is used twice (its keys are broadcast, its rows anti-joined)
         firsts = first_per_key(src, keys, order).persist()
         try:
-            stored = read_table(spark, rows_table)
+            # the dates of one micro-batch: a handful of values
+            dates = [r[0] for r in firsts.select("log_date").distinct().collect()]
+            stored = read_dated(spark, rows_table, "log_date", dates)
             new = firsts
             if stored is not None:
                 new = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys)
-            write_batch(new.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id,
-                        partition_by=["log_date"])
+            write_dated_batch(new.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
         finally:
             firsts.unpersist()
         if counts_table is not None:

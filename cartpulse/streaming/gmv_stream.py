@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.functions.money import money_sum
 from cartpulse.operators.dedup import first_per_key
 from cartpulse.sources.json_logs import parse_orders
-from cartpulse.streaming.sinks import read_table, write_batch
+from cartpulse.streaming.sinks import read_dated, read_table, write_dated_batch
 
 
 def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, trigger: dict | None = None,
@@ -18,7 +18,7 @@ def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, t
     parsed = parse_orders(messages)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        write_batch(batch_df, order_table, batch_id, partition_by=["create_date"])
+        write_dated_batch(batch_df, order_table, batch_id, "create_date")
 
     w = (parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
@@ -30,15 +30,16 @@ def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, t
 def read_orders(spark: SparkSession, order_table: str, dates: list | None = None) -> DataFrame | None:
     """Stored orders, one row per order id (a re-sent message counts once: earliest batch wins).
 
-    ``dates`` (date literals/columns) restricts the read to those ``create_date``
-    partitions *before* the dedup: copies of one order carry the same date,
-    so the result is the same and only those folders are read.
+    ``dates`` (``datetime.date`` values) restricts the read to those
+    ``create_date`` folders *before* the dedup: copies of one order carry the
+    same date, so the result is the same and only those folders are listed.
     """
-    stored = read_table(spark, order_table)
+    if dates is None:
+        stored = read_table(spark, order_table)
+    else:
+        stored = read_dated(spark, order_table, "create_date", dates)
     if stored is None:
         return None
-    if dates is not None:
-        stored = stored.where(F.col("create_date").isin(*dates))
     return first_per_key(stored.where(F.col("_corrupt_record").isNull()), ["id"], ["batch_id"])
 
 

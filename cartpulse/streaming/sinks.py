@@ -29,14 +29,45 @@ def write_batch(df: DataFrame, table: str, batch_id: int, partition_by: list[str
     w.parquet(batch_folder(table, batch_id))
 
 
+def write_dated_batch(df: DataFrame, table: str, batch_id: int, date_col: str) -> None:
+    """Write one micro-batch under ``<date_col>=<d>/batch_id=<n>`` folders.
+
+    Dynamic partition overwrite replaces exactly the (date, batch) folders the
+    batch produces, so a replayed batch replaces its own earlier attempt, and
+    a reader interested in a few dates lists only those dates' folders.
+    """
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(date_col, "batch_id").parquet(table))
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    if is_local_path(path):
+        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     if is_local_path(table):
         p = table[len("file:"):] if table.startswith("file:") else table
-        return os.path.isdir(p) and any(n.startswith("batch_id=") for n in os.listdir(p))
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(path)
+        return os.path.isdir(p) and any("=" in n for n in os.listdir(p))
+    return path_exists(spark, table)
+
+
+def read_dated(spark: SparkSession, table: str, date_col: str, dates) -> DataFrame | None:
+    """Rows of a date-partitioned sink table for the given dates only (others are not even listed)."""
+    paths = [f"{table.rstrip('/')}/{date_col}={d}" for d in sorted({str(d) for d in dates})]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return None
+    return spark.read.option("basePath", table).parquet(*paths)
 
 
 def read_table(spark: SparkSession, table: str, schema=None) -> DataFrame | None:

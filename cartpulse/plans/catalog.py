@@ -310,7 +310,7 @@ def q_sale_detail_stream(spark, sf):
     def start():
         wide = SS.sale_detail_stream(RP.stream_reader(spark, o_src, orders.schema),
                                      RP.stream_reader(spark, l_src, lines.schema), customer, part, nation)
-        return SS.start_file_sink(wide, f"{work}/out", f"{work}/checkpoint")
+        return SS.start_file_sink(wide, f"{work}/out", f"{work}/checkpoint", conf=SS.JOIN_QUERY_CONF)
 
     RP.replay([(orders, "o_orderdate", o_src, "parquet"), (lines, "create_time", l_src, "parquet")],
               N_SLICES_T, start)

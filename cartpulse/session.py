@@ -69,3 +69,29 @@ def is_local_path(path: str) -> bool:
 
 def local_listing(path: str) -> list[str]:
     return sorted(os.listdir(path)) if os.path.isdir(path) else []
+
+
+class query_conf:  # noqa: N801 - used as a context manager
+    """Session settings applied only while a streaming query is being started.
+
+    A streaming query copies the session configuration when it starts, so
+    settings made here stay with that query and are restored for the rest of
+    the session afterwards.
+    """
+
+    def __init__(self, spark: SparkSession, conf: dict[str, str]):
+        self.spark, self.conf, self.saved = spark, conf, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.timeparts import ntz_to_instant
+from cartpulse.session import query_conf
 from cartpulse.operators.sales import widen_lines
 
 
@@ -28,11 +29,18 @@ def sale_detail_stream(orders: DataFrame, lines: DataFrame, customer: DataFrame,
     return widen_lines(li.join(o, cond), customer, part, nation)
 
 
+# An inner stream-stream join emits a row as soon as both sides have arrived;
+# batches that only advance the watermark merely evict join state, which the
+# next data batch does as well, so they are skipped for this query.
+JOIN_QUERY_CONF = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-                    name: str | None = None) -> StreamingQuery:
+                    name: str | None = None, conf: dict | None = None) -> StreamingQuery:
     """Append a stream to a parquet folder (exactly-once via the sink's commit log)."""
     w = (df.writeStream.format("parquet").outputMode("append").option("path", path)
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    with query_conf(df.sparkSession, conf or {}):
+        return w.start()

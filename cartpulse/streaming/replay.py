@@ -50,15 +50,16 @@ def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
 
 
 def replay(sources: Sequence[tuple[DataFrame, str, str, str]], n_slices: int,
-           start: Callable[[], StreamingQuery], bounds_from: int = 0) -> None:
+           start: Callable[[], StreamingQuery], bounds_from: int = 0, persist: bool = False) -> None:
     """Stage ``sources`` slice by slice and run ``start()`` after each slice.
 
     ``sources``: (frame, time column, folder, format) tuples; all are cut at
     the same time bounds (taken from source ``bounds_from``), so related
-    streams advance together.
+    streams advance together. ``persist`` keeps inputs that are costly to
+    recompute (joins) in memory while they are cut; plain scans are cheaper
+    to re-read with column pruning.
     """
-    # The inputs are read once (persisted) and cut n times.
-    cached = [(df.persist(), col, path, fmt) for df, col, path, fmt in sources]
+    cached = [(df.persist() if persist else df, col, path, fmt) for df, col, path, fmt in sources]
     try:
         frame, ts, _, _ = cached[bounds_from]
         cuts = time_bounds(frame, ts, n_slices)
@@ -71,8 +72,9 @@ def replay(sources: Sequence[tuple[DataFrame, str, str, str]], n_slices: int,
                 stage_slice(part, path, fmt)
             run_available(start())
     finally:
-        for df, *_ in cached:
-            df.unpersist()
+        if persist:
+            for df, *_ in cached:
+                df.unpersist()
 
 
 def stream_reader(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

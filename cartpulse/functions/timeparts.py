@@ -65,6 +65,11 @@ def with_date_hour(df: DataFrame, ts: str = "ts", date_col: str = "log_date",
     return df.withColumn(date_col, F.to_date(wall)).withColumn(hour_col, two_digit_hour(wall))
 
 
+def wall_clock_text(col: str | Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a TIMESTAMP_NTZ, without any zone conversion."""
+    return F.substring(_c(col).cast("string"), 1, 19)
+
+
 def two_digit_hour(wall: Column) -> Column:
     """``HH`` of a wall-clock time, read straight from the NTZ value (no zone conversion)."""
     return F.lpad(F.hour(wall).cast("string"), 2, "0")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartpulse.functions.timeparts import wall_clock_text
+
 from cartpulse.constants import CDC_ENTRY_ROWDATA, CDC_INSERT, CDC_ORDER_TABLE
 
 
@@ -36,7 +38,7 @@ def change_log_from_tables(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     after = _cols(("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
                   ("order_status", F.col("o_orderstatus")),
                   ("total_amount", F.col("o_totalprice").cast("decimal(18,2)")),
-                  ("create_time", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+                  ("create_time", wall_clock_text("o_orderdate")))
     begin = orders.select(F.col("o_orderdate").alias("ts"), F.lit("order_info").alias("table"), F.lit("TRANSACTIONBEGIN").alias("entry_type"),
                           F.lit(None).cast("string").alias("event_type"),
                           F.lit(None).cast("array<array<struct<name:string,value:string>>>").alias("rows"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.constants import EVID_CLICK_ITEM, EVID_COUPON
-from cartpulse.functions.timeparts import with_date_hour
+from cartpulse.functions.timeparts import wall_clock_text, with_date_hour
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -70,7 +70,7 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+        wall_clock_text("o_orderdate").alias("create_time"),
     )
 
 
@@ -81,7 +81,7 @@ def hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("string").alias("id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("value").alias("total_amount"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
+        wall_clock_text("ts").alias("create_time"),
     )
 
 

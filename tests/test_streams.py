@@ -151,3 +151,31 @@ def test_publisher_serves_one_day_from_stream_tables(spark):
                                "order_amount", day, zero=0.0).collect()
     assert sorted(map(tuple, hours)) == sorted(map(tuple, want)) and len(hours) == 24
     assert str(pub.realtime_hours("dau", day).first()["day"]) == day
+
+
+def test_malformed_message_is_kept_and_stream_goes_on(spark):
+    from cartpulse.streaming import gmv_stream as GS
+    from cartpulse.streaming.replay import run_available
+    from cartpulse.operators import gmv as GMV
+    work = scratch_path(spark, "test_bad_json")
+    src = f"{work}/src"
+    first = ['{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}', "{bad"]
+    second = ['{"id":"2","total_amount":"7.00","create_time":"2024-01-01 10:40:00"}',
+              '{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}']  # re-sent copy
+    for lines in (first, second):
+        spark.createDataFrame([(v,) for v in lines], "value string").write.mode("append").text(src)
+        run_available(GS.start_order_stream(spark.readStream.text(src), f"{work}/orders", f"{work}/ckpt"))
+    stored = SK.read_table(spark, f"{work}/orders")
+    assert stored.where(F.col("_corrupt_record").isNotNull()).count() == 1
+    sums = GMV.gmv_hours(GS.read_orders(spark, f"{work}/orders")).collect()
+    assert [(r["create_hour"], r["order_amount"]) for r in sums] == [("10", 12.0)]
+
+
+def test_console_sink_runs(spark):
+    from cartpulse.streaming.replay import run_available
+    work = scratch_path(spark, "test_console")
+    spark.range(3).write.parquet(f"{work}/src")
+    q = (SK.console_sink(spark.readStream.schema("id long").parquet(f"{work}/src"), 100)
+         .option("checkpointLocation", f"{work}/ckpt").trigger(availableNow=True).start())
+    run_available(q)
+    assert q.lastProgress["numInputRows"] == 3

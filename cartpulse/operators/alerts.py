@@ -3,15 +3,16 @@
 A device raises an alert for a window when at least ``min_accounts``
 distinct accounts took a coupon in it and no item was clicked in it.
 
-Plan (batch):
+Plan (batch), all in exact integer arithmetic on epoch microseconds:
 
 1. keep only ``coupon`` / ``clickItem`` events - no other event can change
    the decision;
-2. pre-aggregate per (device, slide-sized bucket): coupon accounts, coupon
-   items, "clicked" flag. Windows are aligned to the slide, so a bucket lies
-   wholly inside every window that contains its start;
-3. expand each *bucket* (not each event) into the ``size / slide`` windows
-   containing it and merge per (device, window).
+2. pre-aggregate per (device, bucket) with bucket width = gcd(size, slide):
+   every bucket lies wholly inside or wholly outside any window;
+3. fan each *bucket* (not each event) out to the window indexes containing
+   it (``size / slide`` of them: 60 at 5 minutes / 5 seconds) as plain longs,
+   screen every window with fixed-width aggregates, and build the exact
+   account / item sets only for windows that pass the screen.
 
 A device holding a third of all events is spread over its many buckets and
 windows, and partial aggregation shrinks it before every shuffle.
@@ -19,42 +20,123 @@ windows, and partial aggregation shrinks it before every shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_SLIDE, ALERT_WINDOW,
                                  EVID_CLICK_ITEM, EVID_COUPON)
-from cartpulse.functions.timeparts import epoch_bucket
+from cartpulse.functions.timeparts import EPOCH_NTZ, epoch_bucket, ntz_to_epoch_us
+
+_UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
+
+
+def interval_us(text: str) -> int:
+    """Microseconds of a fixed-length duration such as ``"5 minutes"`` or ``"1 hour"``."""
+    m = re.fullmatch(r"\s*(\d+)\s*([a-z]+?)s?\s*", text.lower())
+    if not m or m.group(2) not in _UNIT_US:
+        raise ValueError(f"unsupported duration {text!r}")
+    return int(m.group(1)) * _UNIT_US[m.group(2)]
+
+
+def _lit_long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
+
+
+def floor_div(col: Column, n: int) -> Column:
+    """Exact floor division of a long column by a positive constant (also below zero)."""
+    return F.call_function("div", col - F.pmod(col, _lit_long(n)), _lit_long(n))
+
+
+class _Grid:
+    """Window / bucket index arithmetic for one (size, slide)."""
+
+    def __init__(self, window: str, slide: str):
+        self.size, self.slide = interval_us(window), interval_us(slide)
+        self.bucket = math.gcd(self.size, self.slide)
+
+    def bucket_of(self, ts: str | Column) -> Column:
+        return floor_div(ntz_to_epoch_us(ts), self.bucket)
+
+    def windows_of_bucket(self, j: Column) -> Column:
+        """Indexes k of the windows [k*slide, k*slide + size) that contain bucket j."""
+        t = j * _lit_long(self.bucket)
+        return F.sequence(floor_div(t - _lit_long(self.size), self.slide) + 1, floor_div(t, self.slide))
+
+    def buckets_of_window(self, k: Column) -> Column:
+        """Buckets j wholly inside window k (its bounds are multiples of the bucket width)."""
+        start = k * _lit_long(self.slide)
+        return F.sequence(floor_div(start, self.bucket), floor_div(start + _lit_long(self.size), self.bucket) - 1)
+
+    def start(self, k: Column) -> Column:
+        return F.timestamp_add("MICROSECOND", k * _lit_long(self.slide), EPOCH_NTZ())
+
+    def end(self, k: Column) -> Column:
+        return F.timestamp_add("MICROSECOND", k * _lit_long(self.slide) + _lit_long(self.size), EPOCH_NTZ())
+
+    def index_of_start(self, start: str | Column) -> Column:
+        return floor_div(ntz_to_epoch_us(start), self.slide)
 
 
 def _merge_sets(col: str):
     return F.array_distinct(F.flatten(F.collect_list(col)))
 
 
-def alert_windows(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> DataFrame:
-    """Per (mid, window): coupon accounts, coupon items, clicked flag (all windows with a relevant event)."""
+def _coupon_buckets(events: DataFrame, grid: _Grid) -> DataFrame:
+    """Per (mid, bucket j): coupon accounts / items (sets) and whether an item was clicked."""
     relevant = events.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
     is_coupon = F.col("evid") == F.lit(EVID_COUPON)
-    buckets = (relevant
-               .groupBy("mid", F.window("ts", slide).start.alias("bucket"))
-               .agg(F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-                    F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
-                    F.bool_or(F.col("evid") == F.lit(EVID_CLICK_ITEM)).alias("clicked")))
-    expanded = buckets.withColumn("w", F.window("bucket", window, slide))
-    return (expanded.groupBy("mid", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"))
+    return (relevant
+            .groupBy("mid", grid.bucket_of("ts").alias("j"))
+            .agg(F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
+                 F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
+                 F.bool_or(F.col("evid") == F.lit(EVID_CLICK_ITEM)).alias("clicked")))
+
+
+def alert_windows(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> DataFrame:
+    """Per (mid, window): coupon accounts, coupon items, clicked flag (all windows with a relevant event)."""
+    g = _Grid(window, slide)
+    fanned = _coupon_buckets(events, g).withColumn("k", F.explode(g.windows_of_bucket(F.col("j"))))
+    return (fanned.groupBy("mid", "k")
             .agg(_merge_sets("uids").alias("uids"), _merge_sets("item_ids").alias("item_ids"),
-                 F.bool_or("clicked").alias("clicked")))
+                 F.bool_or("clicked").alias("clicked"))
+            .select("mid", g.start(F.col("k")).alias("window_start"), g.end(F.col("k")).alias("window_end"),
+                    "uids", "item_ids", "clicked"))
 
 
 def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE,
                   min_accounts: int = ALERT_MIN_ACCOUNTS) -> DataFrame:
     """Alerted windows: (mid, window_start, window_end, uids, item_ids), sets sorted.
 
+    Two passes over the bucket aggregates:
+
+    1. screen every window with fixed-width aggregates only (codegen'd hash
+       aggregation on (mid, long index)): no click, and the sum of per-bucket
+       distinct accounts >= ``min_accounts`` - an upper bound of the window's
+       distinct accounts, so no alert is screened out;
+    2. for the windows that pass, merge the exact account / item sets of
+       their buckets (equi join on (mid, bucket)) and apply the exact rule.
+
     A NULL account is not counted (an unknown account is no evidence).
     """
-    w = alert_windows(events, window, slide)
-    return (w.where((F.size("uids") >= min_accounts) & ~F.coalesce(F.col("clicked"), F.lit(False)))
-            .select("mid", "window_start", "window_end",
+    g = _Grid(window, slide)
+    buckets = _coupon_buckets(events, g)  # read twice below; the planner reuses its shuffle
+    screened = (buckets.select("mid", "clicked", F.size("uids").alias("n"),
+                               F.explode(g.windows_of_bucket(F.col("j"))).alias("k"))
+                .groupBy("mid", "k")
+                .agg(F.bool_or("clicked").alias("clicked"), F.sum("n").alias("n"))
+                .where(~F.col("clicked") & (F.col("n") >= min_accounts))
+                .select("mid", "k"))
+    covered = screened.withColumn("j", F.explode(g.buckets_of_window(F.col("k"))))
+    sets = buckets.where(F.size("uids") > 0).select("mid", "j", "uids", "item_ids")
+    merged = (covered.join(sets, ["mid", "j"])
+              .groupBy("mid", "k")
+              .agg(_merge_sets("uids").alias("uids"), _merge_sets("item_ids").alias("item_ids")))
+    return (merged.where(F.size("uids") >= min_accounts)
+            .select("mid", g.start(F.col("k")).alias("window_start"), g.end(F.col("k")).alias("window_end"),
                     F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids")))
 
 
@@ -62,15 +144,15 @@ def alert_event_rows(events: DataFrame, alerts: DataFrame, window: str = ALERT_W
                      slide: str = ALERT_SLIDE) -> DataFrame:
     """One row per (alerted window, event of that device inside it): the distributed form of A6.
 
-    Each alerted window is expanded to the ``size / slide`` buckets it covers
-    and equi-joined with the events on (mid, bucket) - no range join, and a
-    hot device is spread over its buckets (AQE splits a skewed bucket).
+    Each alerted window is expanded to the buckets it covers and equi-joined
+    with the events on (mid, bucket) - no range join, and a hot device is
+    spread over its buckets (AQE splits a skewed bucket).
     """
-    step = F.expr(f"INTERVAL '{slide}'")
+    g = _Grid(window, slide)
     covered = (alerts.select("mid", "window_start", "window_end")
-               .withColumn("bucket", F.explode(F.sequence(F.col("window_start"), F.col("window_end") - step, step))))
-    bucketed = events.select("mid", "ts", "event_id", "evid", F.window("ts", slide).start.alias("bucket"))
-    return covered.join(bucketed, ["mid", "bucket"]).drop("bucket")
+               .withColumn("j", F.explode(g.buckets_of_window(g.index_of_start("window_start")))))
+    bucketed = events.select("mid", "ts", "event_id", "evid", g.bucket_of("ts").alias("j"))
+    return covered.join(bucketed, ["mid", "j"]).drop("j")
 
 
 def alert_events(events: DataFrame, alerts: DataFrame, window: str = ALERT_WINDOW,

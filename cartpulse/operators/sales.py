@@ -105,14 +105,14 @@ def page_number(start: int, length: int) -> int:
     return start // length + 1
 
 
-def _shares(counts: DataFrame, key: str) -> DataFrame:
+def _shares(counts: DataFrame) -> DataFrame:
     # the grand total is a scalar subquery over the (tiny) per-group counts
     return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
 
 
 def share_by_segment(detail: DataFrame) -> DataFrame:
     """Count and share of sale rows per user segment."""
-    return _shares(detail.groupBy("user_segment").agg(F.count("*").alias("n")), "user_segment")
+    return _shares(detail.groupBy("user_segment").agg(F.count("*").alias("n")))
 
 
 def age_band(age: Column) -> Column:
@@ -126,7 +126,7 @@ def age_band(age: Column) -> Column:
 def share_by_age_band(detail: DataFrame) -> DataFrame:
     """Count and share of sale rows per age band [0,20), [20,30), [30,inf)."""
     banded = detail.withColumn("age_band", age_band(F.col("user_age")))
-    return _shares(banded.groupBy("age_band").agg(F.count("*").alias("n")), "age_band")
+    return _shares(banded.groupBy("age_band").agg(F.count("*").alias("n")))
 
 
 def sales_by_province(detail: DataFrame, width: int = PROVINCE_CLASS_WIDTH,

@@ -161,6 +161,13 @@ def q_coupon_alerts(spark, sf):
                     sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
 
 
+def q_coupon_alerts_5min(spark, sf):
+    """The alert rule at its real setting: 5-minute windows sliding by 5 seconds (60 windows per bucket)."""
+    a = AL.coupon_alerts(TB.event_log(spark, sf))
+    return a.select("mid", "window_start", "window_end", F.size("uids").cast("bigint").alias("n_uids"),
+                    sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
+
+
 def _alert_events(spark, sf, alerts):
     return AL.alert_events(TB.event_log(spark, sf), alerts, ALERT_WINDOW_T, ALERT_SLIDE_T)
 
@@ -233,6 +240,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "realtime_hours_dau": q_realtime_hours_dau,
     "realtime_hours_gmv": q_realtime_hours_gmv,
     "coupon_alerts": q_coupon_alerts,
+    "coupon_alerts_5min": q_coupon_alerts_5min,
     "alert_events": q_alert_events,
     "alert_upsert": q_alert_upsert,
     "sale_detail_wide": q_sale_detail_wide,

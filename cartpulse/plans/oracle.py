@@ -48,15 +48,17 @@ EVENT_BASE = """ev AS (
          json_extract_string(props, '$.k') AS itemid, ts
   FROM events)"""
 
-EVENT_LOG = EVENT_BASE + f""",
+def event_log_sql(size_us: int, slide_us: int) -> str:
+    """CTEs ev / win / alerts / alert_ev for sliding windows of ``size_us`` every ``slide_us``."""
+    return EVENT_BASE + f""",
 win AS (
-  SELECT ev.*, unnest(range((epoch_us(ts) - {ALERT_SIZE_US}) // {ALERT_SLIDE_US} + 1,
-                            epoch_us(ts) // {ALERT_SLIDE_US} + 1)) AS k
+  SELECT ev.*, unnest(range((epoch_us(ts) - {size_us}) // {slide_us} + 1,
+                            epoch_us(ts) // {slide_us} + 1)) AS k
   FROM ev),
 alerts AS (
   SELECT mid, k,
-         make_timestamp(k * {ALERT_SLIDE_US}) AS window_start,
-         make_timestamp(k * {ALERT_SLIDE_US} + {ALERT_SIZE_US}) AS window_end,
+         make_timestamp(k * {slide_us}) AS window_start,
+         make_timestamp(k * {slide_us} + {size_us}) AS window_end,
          count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS n_uids,
          array_to_string(list_sort(list(DISTINCT uid) FILTER (WHERE evid = 'coupon' AND uid IS NOT NULL)), ',') AS uids,
          array_to_string(list_sort(list(DISTINCT itemid) FILTER (WHERE evid = 'coupon' AND itemid IS NOT NULL)), ',') AS item_ids
@@ -68,6 +70,9 @@ alert_ev AS (
   FROM alerts a JOIN win w ON a.mid = w.mid AND a.k = w.k
   GROUP BY a.mid, a.k)"""
 
+
+EVENT_LOG = event_log_sql(ALERT_SIZE_US, ALERT_SLIDE_US)
+
 SALE = """sale AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_detail_id,
          l_orderkey AS order_id, o_custkey AS user_id, l_partkey AS sku_id, c_mktsegment AS user_segment,
@@ -175,6 +180,8 @@ FROM sale GROUP BY province""",
 # emitted in append mode, i.e. only windows already closed by the watermark
 # (window end <= latest event time - 1 hour) are in the sink.
 ORACLE_SQL.update({
+    "coupon_alerts_5min": f"""WITH {event_log_sql(5 * 60_000_000, 5_000_000)}
+SELECT mid, window_start, window_end, n_uids, uids, item_ids FROM alerts""",
     "stream_dau": ORACLE_SQL["dau_first"],
     "stream_gmv": ORACLE_SQL["gmv_hours"],
     "stream_coupon_alerts": f"""WITH {EVENT_LOG}

@@ -58,6 +58,20 @@ def test_last_window_in_a_minute_wins(spark):
         assert d["ts"] == max(same_min)
 
 
+def test_grid_handles_size_not_multiple_of_slide(spark):
+    # 7-second windows every 5 seconds (buckets of gcd = 1 second); coupons at :05, :06, :07
+    rows = coupons(["a", "b", "c"], start="2024-01-01 10:00:05", step=1)
+    got = {(r["window_start"].second, r["window_end"].second)
+           for r in AL.coupon_alerts(events(spark, rows), "7 seconds", "5 seconds").collect()}
+    brute = {(k * 5, k * 5 + 7) for k in range(3) if all(k * 5 <= t < k * 5 + 7 for t in (5, 6, 7))}
+    assert got == brute == {(5, 12)}
+
+
+def test_interval_parsing():
+    assert AL.interval_us("5 minutes") == 300_000_000 and AL.interval_us("1 hour") == 3_600_000_000
+    assert AL.interval_us("5 seconds") == 5_000_000
+
+
 def test_events_list_is_time_ordered_and_complete(spark):
     rows = coupons(["a", "b", "c"]) + [("m", "a", "pageView", None, ts("2024-01-01 10:00:02.5"))]
     ev = events(spark, rows)

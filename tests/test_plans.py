@@ -1,7 +1,6 @@
 """Plan-shape checks: the properties that matter at scale, asserted on the physical plans."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -39,9 +38,11 @@ def test_rollups_read_only_needed_columns(spark):
 
 
 def test_alert_windows_expand_pre_aggregated_buckets(spark):
-    p = plan(E.queries()["coupon_alerts"](spark, SF_SMALL))
-    # Expand (window fan-out) sits above the first aggregation, not on raw events
-    assert p.index("Expand") < p.rindex("partial_collect_set")
+    p = plan(E.queries()["coupon_alerts_5min"](spark, SF_SMALL))
+    # the window fan-out (explode of window indexes) sits above the bucket aggregation, not on raw events
+    assert p.index("Generate explode(sequence") < p.rindex("partial_collect_set")
+    # the screen over all windows is a hash aggregation on (mid, long window index)
+    assert "HashAggregate(keys=[mid#" in p and ", k#" in p
 
 
 def test_sale_detail_shuffles_lines_twice(spark, no_broadcast):

@@ -118,7 +118,6 @@ def test_metric_selector(spark):
 def test_publisher_serves_one_day_from_stream_tables(spark):
     import datetime as dt
     from cartpulse.plans.publisher import Publisher
-    from cartpulse.plans import catalog as C
     from cartpulse.streaming import gmv_stream as GS
     from cartpulse.streaming.replay import replay, stream_reader
     from cartpulse.sources import tables as TB

@@ -48,6 +48,15 @@ def instant_to_ntz(col: str | Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), EPOCH_NTZ())
 
 
+def lit_long(n: int) -> Column:
+    return F.lit(n).cast("bigint")
+
+
+def floor_div(col: Column, n: int) -> Column:
+    """Exact floor division of a long column by a positive constant (also below zero)."""
+    return F.call_function("div", col - F.pmod(col, lit_long(n)), lit_long(n))
+
+
 def epoch_bucket(col: str | Column, bucket_ms: int) -> Column:
     """Integer bucket number of a wall time: epoch-ms div bucket (the alert doc id)."""
     return F.floor(ntz_to_epoch_ms(col) / F.lit(bucket_ms)).cast("bigint")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_SLIDE, ALERT_WINDOW,
                                  EVID_CLICK_ITEM, EVID_COUPON)
-from cartpulse.functions.timeparts import EPOCH_NTZ, epoch_bucket, ntz_to_epoch_us
+from cartpulse.functions.timeparts import EPOCH_NTZ, epoch_bucket, floor_div, lit_long, ntz_to_epoch_us
 
 _UNIT_US = {"microsecond": 1, "millisecond": 1000, "second": 1_000_000, "minute": 60_000_000,
             "hour": 3_600_000_000, "day": 86_400_000_000, "week": 7 * 86_400_000_000}
@@ -42,15 +42,6 @@ def interval_us(text: str) -> int:
     return int(m.group(1)) * _UNIT_US[m.group(2)]
 
 
-def _lit_long(n: int) -> Column:
-    return F.lit(n).cast("bigint")
-
-
-def floor_div(col: Column, n: int) -> Column:
-    """Exact floor division of a long column by a positive constant (also below zero)."""
-    return F.call_function("div", col - F.pmod(col, _lit_long(n)), _lit_long(n))
-
-
 class _Grid:
     """Window / bucket index arithmetic for one (size, slide)."""
 
@@ -63,19 +54,19 @@ class _Grid:
 
     def windows_of_bucket(self, j: Column) -> Column:
         """Indexes k of the windows [k*slide, k*slide + size) that contain bucket j."""
-        t = j * _lit_long(self.bucket)
-        return F.sequence(floor_div(t - _lit_long(self.size), self.slide) + 1, floor_div(t, self.slide))
+        t = j * lit_long(self.bucket)
+        return F.sequence(floor_div(t - lit_long(self.size), self.slide) + 1, floor_div(t, self.slide))
 
     def buckets_of_window(self, k: Column) -> Column:
         """Buckets j wholly inside window k (its bounds are multiples of the bucket width)."""
-        start = k * _lit_long(self.slide)
-        return F.sequence(floor_div(start, self.bucket), floor_div(start + _lit_long(self.size), self.bucket) - 1)
+        start = k * lit_long(self.slide)
+        return F.sequence(floor_div(start, self.bucket), floor_div(start + lit_long(self.size), self.bucket) - 1)
 
     def start(self, k: Column) -> Column:
-        return F.timestamp_add("MICROSECOND", k * _lit_long(self.slide), EPOCH_NTZ())
+        return F.timestamp_add("MICROSECOND", k * lit_long(self.slide), EPOCH_NTZ())
 
     def end(self, k: Column) -> Column:
-        return F.timestamp_add("MICROSECOND", k * _lit_long(self.slide) + _lit_long(self.size), EPOCH_NTZ())
+        return F.timestamp_add("MICROSECOND", k * lit_long(self.slide) + lit_long(self.size), EPOCH_NTZ())
 
     def index_of_start(self, start: str | Column) -> Column:
         return floor_div(ntz_to_epoch_us(start), self.slide)

@@ -32,19 +32,21 @@ def filter_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def filter_seen_bounded(batch: DataFrame, seen: DataFrame, keys: Sequence[str],
-                        max_keys: int = 2_000_000) -> DataFrame:
+                        max_keys: int = 2_000_000, n_keys: int | None = None) -> DataFrame:
     """Same result as :func:`filter_seen`, cheaper for a small micro-batch.
 
     When the batch has at most ``max_keys`` distinct keys (checked, not
     assumed), those keys are broadcast into a semi join over the seen set:
     only matching seen rows are kept and the large seen set is scanned but
     never shuffled. A bigger batch takes the plain shuffle anti join.
-    Callers should persist ``batch`` (it is read more than once).
+    Callers should persist ``batch`` (it is read more than once); ``n_keys``
+    is the batch's distinct key count when the caller already knows it.
     """
     from cartpulse.operators.joins import has_at_most
     keys = list(keys)
     batch_keys = batch.select(*keys).distinct()
-    if not has_at_most(batch_keys, max_keys):
+    small = n_keys <= max_keys if n_keys is not None else has_at_most(batch_keys, max_keys)
+    if not small:
         return filter_seen(batch, seen, keys)
     hits = seen.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
     return batch.join(hits, keys, "left_anti")

@@ -321,7 +321,7 @@ def q_sale_detail_stream(spark, sf):
         return SS.start_file_sink(wide, f"{work}/out", f"{work}/checkpoint", conf=SS.JOIN_QUERY_CONF)
 
     RP.replay([(orders, "o_orderdate", o_src, "parquet"), (lines, "create_time", l_src, "parquet")],
-              N_SLICES_T, start, persist=True)
+              N_SLICES_T, start)
     return spark.read.parquet(f"{work}/out")
 
 

@@ -36,12 +36,13 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
         # the deduplicated batch is used twice (its keys are broadcast, its rows anti-joined)
         firsts = first_per_key(src, keys, order).persist()
         try:
-            # the dates of one micro-batch: a handful of values
-            dates = [r[0] for r in firsts.select("log_date").distinct().collect()]
+            # one small job: the micro-batch's dates (a handful) and its key count
+            per_date = firsts.groupBy("log_date").count().collect()
+            dates, n_keys = [r[0] for r in per_date], sum(r[1] for r in per_date)
             stored = read_dated(spark, rows_table, "log_date", dates)
             new = firsts
             if stored is not None:
-                new = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys)
+                new = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys, n_keys=n_keys)
             write_dated_batch(new.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
         finally:
             firsts.unpersist()

@@ -1,10 +1,12 @@
 """Replay a table as a stream of time-ordered file slices.
 
-The file source orders new files by modification time, so a slice written
-by a later job is a later arrival. Each slice is staged, then the stream is
-(re)started with ``availableNow`` from its checkpoint and processes exactly
-the new files - one micro-batch per slice, and a restart between slices,
-which is also how a stream survives a lost driver.
+Each input is written once into a staging folder partitioned by time slice
+(one job per input, whatever the number of slices). Slice by slice, its
+files are then published into the stream's source folder by rename - an
+atomic hand-over, as a file-based ingestion would do - and the stream is
+(re)started with ``availableNow`` from its checkpoint, so it processes
+exactly the new slice: one micro-batch per slice, and a restart between
+slices, which is also how a stream survives a lost driver.
 """
 
 from __future__ import annotations
@@ -15,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartpulse.functions.timeparts import ntz_to_epoch_us
+from cartpulse.functions.timeparts import floor_div, lit_long, ntz_to_epoch_us
+
+SLICE_COL = "_slice"
 
 
 def time_bounds(df: DataFrame, ts: str, n_slices: int) -> list[int]:
@@ -26,17 +30,44 @@ def time_bounds(df: DataFrame, ts: str, n_slices: int) -> list[int]:
     return [lo + i * step for i in range(n_slices)] + [hi]
 
 
+def slice_index(ts: str, cuts: list[int]) -> F.Column:
+    """0-based slice of each row for equal-width ``cuts`` (the last slice takes the remainder)."""
+    lo, step, last = cuts[0], cuts[1] - cuts[0], len(cuts) - 2
+    return F.least(floor_div(ntz_to_epoch_us(ts) - lit_long(lo), step), F.lit(last)).cast("int")
+
+
 def slice_of(df: DataFrame, ts: str, lo: int, hi: int) -> DataFrame:
     us = ntz_to_epoch_us(ts)
     return df.where((us >= F.lit(lo)) & (us < F.lit(hi)))
 
 
-def stage_slice(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    w = df.write.mode("append")
+def stage_slices(df: DataFrame, ts: str, cuts: list[int], staging: str, fmt: str = "parquet") -> None:
+    """Write ``df`` once, partitioned by slice number."""
+    staged = df.withColumn(SLICE_COL, slice_index(ts, cuts))
     if fmt == "text":
-        w.text(path)
-    else:
-        w.parquet(path)
+        staged = staged.select("value", SLICE_COL)
+    w = staged.write.mode("overwrite").partitionBy(SLICE_COL)
+    w.text(staging) if fmt == "text" else w.parquet(staging)
+
+
+def publish_slice(spark: SparkSession, staging: str, i: int, dest: str) -> int:
+    """Move the data files of slice ``i`` into ``dest`` (renames only); returns the number moved."""
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(f"{staging}/{SLICE_COL}={i}")
+    dst = jvm.org.apache.hadoop.fs.Path(dest)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(dst)
+    if not fs.exists(src):
+        return 0
+    moved = 0
+    for st in fs.listStatus(src):
+        name = st.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if not fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dst, f"s{i:05d}-{name}")):
+            raise OSError(f"could not publish {st.getPath()} into {dest}")
+        moved += 1
+    return moved
 
 
 def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
@@ -50,31 +81,22 @@ def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
 
 
 def replay(sources: Sequence[tuple[DataFrame, str, str, str]], n_slices: int,
-           start: Callable[[], StreamingQuery], bounds_from: int = 0, persist: bool = False) -> None:
-    """Stage ``sources`` slice by slice and run ``start()`` after each slice.
-
-    ``sources``: (frame, time column, folder, format) tuples; all are cut at
-    the same time bounds (taken from source ``bounds_from``), so related
-    streams advance together. ``persist`` keeps inputs that are costly to
-    recompute (joins) in memory while they are cut; plain scans are cheaper
-    to re-read with column pruning.
+           start: Callable[[], StreamingQuery], bounds_from: int = 0) -> None:
+    """Stage ``sources`` once, then publish slice by slice and run ``start()`` after each slice.
+
+    ``sources``: (frame, time column, source folder, format) tuples; all are
+    cut at the same time bounds (taken from source ``bounds_from``), so
+    related streams advance together.
     """
-    cached = [(df.persist() if persist else df, col, path, fmt) for df, col, path, fmt in sources]
-    try:
-        frame, ts, _, _ = cached[bounds_from]
-        cuts = time_bounds(frame, ts, n_slices)
-        for i in range(n_slices):
-            lo, hi = cuts[i], cuts[i + 1]
-            for df, col, path, fmt in cached:
-                part = slice_of(df, col, lo, hi)
-                if fmt == "text":
-                    part = part.select("value")
-                stage_slice(part, path, fmt)
-            run_available(start())
-    finally:
-        if persist:
-            for df, *_ in cached:
-                df.unpersist()
+    spark = sources[0][0].sparkSession
+    frame, ts, _, _ = sources[bounds_from]
+    cuts = time_bounds(frame, ts, n_slices)
+    for df, col, path, fmt in sources:
+        stage_slices(df, col, cuts, f"{path}_staging", fmt)
+    for i in range(n_slices):
+        for _, _, path, _ in sources:
+            publish_slice(spark, f"{path}_staging", i, path)
+        run_available(start())
 
 
 def stream_reader(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

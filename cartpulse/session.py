@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,10 +66,6 @@ def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-def local_listing(path: str) -> list[str]:
-    return sorted(os.listdir(path)) if os.path.isdir(path) else []
-
-
 class query_conf:  # noqa: N801 - used as a context manager
     """Session settings applied only while a streaming query is being started.
 

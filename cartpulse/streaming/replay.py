@@ -36,11 +36,6 @@ def slice_index(ts: str, cuts: list[int]) -> F.Column:
     return F.least(floor_div(ntz_to_epoch_us(ts) - lit_long(lo), step), F.lit(last)).cast("int")
 
 
-def slice_of(df: DataFrame, ts: str, lo: int, hi: int) -> DataFrame:
-    us = ntz_to_epoch_us(ts)
-    return df.where((us >= F.lit(lo)) & (us < F.lit(hi)))
-
-
 def stage_slices(df: DataFrame, ts: str, cuts: list[int], staging: str, fmt: str = "parquet") -> None:
     """Write ``df`` once, partitioned by slice number."""
     staged = df.withColumn(SLICE_COL, slice_index(ts, cuts))

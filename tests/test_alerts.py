@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from cartpulse.operators import alerts as AL
 from conftest import ts
 
@@ -99,3 +101,17 @@ def test_prefiltered_plan_equals_direct_window_rule(spark):
         if len(uids) >= 3 and not any(r["evid"] == "clickItem" for r in rs):
             want.add(key)
     assert got == want
+
+
+@pytest.mark.parametrize("window,slide", [("6 hours", "1 hour"), ("5 minutes", "5 seconds"), ("7 seconds", "5 seconds")])
+def test_two_pass_screen_equals_exhaustive_windows(spark, window, slide):
+    """The screened plan returns exactly the alerts of the exhaustive one-pass window merge."""
+    from cartpulse.sources.tables import event_log
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    ev = event_log(spark, SF_SMALL)
+    fast = {tuple(r) for r in AL.coupon_alerts(ev, window, slide).collect()}
+    every = AL.alert_windows(ev, window, slide)
+    full = {tuple(r) for r in every.where((F.size("uids") >= 3) & ~F.col("clicked")).select(
+        "mid", "window_start", "window_end", F.array_sort("uids"), F.array_sort("item_ids")).collect()}
+    assert fast == full

@@ -51,3 +51,11 @@ def test_order_messages_split_create_time(spark):
     rows = {r["id"]: r for r in JL.valid_rows(JL.parse_orders(msgs)).collect()}
     assert rows["1"]["create_hour"] == "10" and rows["1"]["total_amount"] == 12.5
     assert rows["2"]["create_date"] is None and rows["2"]["create_hour"] is None
+
+
+def test_topic_reader_needs_the_connector(spark):
+    import pytest
+    from cartpulse.sources.kafka import read_topic
+    with pytest.raises(Exception) as err:
+        read_topic(spark, "localhost:1", "GMALL_EVENT")
+    assert "kafka" in str(err.value).lower()

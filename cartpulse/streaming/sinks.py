@@ -93,3 +93,23 @@ def read_latest(spark: SparkSession, table: str, key: str, version: str) -> Data
 def console_sink(df: DataFrame, num_rows: int = 100):
     """Print a stream's rows (the original printed counts and the first 100 rows per batch)."""
     return df.writeStream.format("console").option("numRows", num_rows).option("truncate", "false")
+
+
+def compact_latest(spark: SparkSession, table: str, key: str, version: str, dest: str,
+                   partition_by: list[str] | None = None) -> DataFrame:
+    """Fold a document log into one row per key, written as a new table at ``dest``.
+
+    ``dest`` must be a new folder (a job cannot overwrite what it reads);
+    readers switch to it afterwards. The written table also ends the
+    lineage of the merged view.
+    """
+    if path_exists(spark, dest):
+        raise FileExistsError(dest)
+    latest = read_latest(spark, table, key, version)
+    if latest is None:
+        raise FileNotFoundError(table)
+    w = latest.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(dest)
+    return spark.read.parquet(dest)

@@ -79,6 +79,8 @@ def test_alert_docs_log_upserts_last_window(spark):
     SK.write_batch(alert_docs(spark.createDataFrame([w(10, 310)], schema)), f"{work}/docs", 1)
     got = SK.read_latest(spark, f"{work}/docs", "alert_id", "ts").collect()
     assert len(got) == 1 and got[0]["ts"] == t + dt.timedelta(seconds=310)
+    compacted = SK.compact_latest(spark, f"{work}/docs", "alert_id", "ts", f"{work}/docs_compact").collect()
+    assert [r["ts"] for r in compacted] == [got[0]["ts"]]
 
 
 def test_live_gmv_stream_and_watermark_dedup(spark):

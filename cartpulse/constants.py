@@ -1,10 +1,6 @@
 """Fixed values that must equal the original system's for identical results."""
 
-# --- fixed values: stream / index names (all overridable by parameters) ---
-TOPIC_STARTUP = "GMALL_STARTUP"
-TOPIC_ORDER = "GMALL_ORDER"
-TOPIC_EVENT = "GMALL_EVENT"
-INDEX_COUPON_ALERT = "gmall_coupon_alert"
+# Stream, topic and table names are parameters of the readers and writers.
 
 # --- fixed values: event classes used by the coupon alert ---
 EVID_COUPON = "coupon"

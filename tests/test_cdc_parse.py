@@ -57,5 +57,5 @@ def test_topic_reader_needs_the_connector(spark):
     import pytest
     from cartpulse.sources.kafka import read_topic
     with pytest.raises(Exception) as err:
-        read_topic(spark, "localhost:1", "GMALL_EVENT")
+        read_topic(spark, "localhost:1", "events")
     assert "kafka" in str(err.value).lower()

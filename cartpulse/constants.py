@@ -21,9 +21,7 @@ KPI_NEW_MID = ("new_mid", "新增设备")
 KPI_ORDER_AMOUNT = ("order_amount", "新增交易额")
 
 # --- fixed values: sale-detail page ---
-SALE_DEFAULT_DATE = "2019-03-04"
 AGE_BAND_LABELS = ("20岁以下", "20-30岁", "30岁以上")
 AGE_BAND_EDGES = (20, 30)
-PAGE_SIZES = (5, 10, 20, 50, 100)
 PROVINCE_CLASS_WIDTH = 100
 PROVINCE_CLASS_MAX = 600

@@ -88,11 +88,12 @@ def split_create_time(df: DataFrame, col: str = "create_time", date_col: str = "
                       hour_col: str = "create_hour") -> DataFrame:
     """``yyyy-MM-dd HH:mm:ss`` -> DATE and the real two-digit hour.
 
-    A missing or blank-less value gives NULL date/hour (the row is kept and
-    counted, but falls out of dated sums).
+    A missing or malformed value gives a NULL date (the row is kept and
+    counted, but falls out of dated sums); the hour is set only next to a
+    valid date and a clock starting with an hour 00-23.
     """
     day = F.split_part(F.col(col), F.lit(" "), F.lit(1))
     clock = F.split_part(F.col(col), F.lit(" "), F.lit(2))
-    return (df.withColumn(date_col, F.try_to_date(day, "yyyy-MM-dd") if hasattr(F, "try_to_date")
-                          else F.to_date(day, "yyyy-MM-dd"))
-              .withColumn(hour_col, F.when(F.length(clock) >= 2, F.substring(clock, 1, 2))))
+    out = df.withColumn(date_col, F.try_to_date(day, "yyyy-MM-dd"))
+    valid_hour = F.col(date_col).isNotNull() & clock.rlike("^([01][0-9]|2[0-3])(:|$)")
+    return out.withColumn(hour_col, F.when(valid_hour, F.substring(clock, 1, 2)))

@@ -20,6 +20,15 @@ def test_missing_create_time_is_counted_not_summed(spark):
     assert GMV.undated_orders(facts).first()["undated"] == 1
 
 
+def test_malformed_create_times(spark):
+    from cartpulse.functions.timeparts import split_create_time
+    df = spark.createDataFrame([("2024-01-01 10:05:00",), ("garbage",), ("2024-13-45 99:00:00",), ("2024-01-01",),
+                                ("2024-01-01 24:00:00",)], "create_time string")
+    got = [(None if r["create_date"] is None else str(r["create_date"]), r["create_hour"])
+           for r in split_create_time(df).collect()]
+    assert got == [("2024-01-01", "10"), (None, None), (None, None), ("2024-01-01", None), ("2024-01-01", None)]
+
+
 def test_money_sum_is_exact(spark):
     o = spark.createDataFrame([(str(i), "u", 0.1, "2024-01-01 10:00:00") for i in range(10)], ORDER_SCHEMA)
     assert GMV.gmv_total(GMV.order_facts(o)).first()["order_amount"] == 1.0

@@ -22,13 +22,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(best).select(*keys, "_first.*")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` treating NULL = NULL (a NULL date is still a key); planned as an equi join."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, cond, how)
+
+
 def filter_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``seen`` (left anti join).
+    """Rows of ``batch`` whose key is not in ``seen`` (left anti join, NULL-safe keys).
 
     No broadcast hint: the seen set grows with the data. Catalyst/AQE pick a
     broadcast only when the measured size allows it.
     """
-    return batch.join(seen.select(*keys), list(keys), "left_anti")
+    return _null_safe_join(batch, seen, list(keys), "left_anti")
 
 
 def filter_seen_bounded(batch: DataFrame, seen: DataFrame, keys: Sequence[str],
@@ -48,5 +55,5 @@ def filter_seen_bounded(batch: DataFrame, seen: DataFrame, keys: Sequence[str],
     small = n_keys <= max_keys if n_keys is not None else has_at_most(batch_keys, max_keys)
     if not small:
         return filter_seen(batch, seen, keys)
-    hits = seen.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
-    return batch.join(hits, keys, "left_anti")
+    hits = _null_safe_join(seen.select(*keys), F.broadcast(batch_keys), keys, "left_semi")
+    return _null_safe_join(batch, hits, keys, "left_anti")

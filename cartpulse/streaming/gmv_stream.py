@@ -1,4 +1,4 @@
-"""Streaming order value: parse order messages, store them, sum at read time."""
+"""Streaming order value: parse order messages, store each order once, sum at read time."""
 
 from __future__ import annotations
 
@@ -8,39 +8,63 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.money import money_sum
 from cartpulse.operators.dedup import first_per_key
+from cartpulse.schemas import CORRUPT_COL
 from cartpulse.sources.json_logs import parse_orders
 from cartpulse.streaming.sinks import read_dated, read_table, write_dated_batch
 
 
-def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
-    """Order JSON messages -> order table partitioned by ``create_date`` (one folder per micro-batch)."""
-    parsed = parse_orders(messages)
+ORDER_KEYS = ["create_date", "id"]  # copies of one order carry the same date
+
+
+def order_batch_writer(order_table: str):
+    """``foreachBatch`` writer: store each order id once.
+
+    In the batch, the first copy per id is kept (partial aggregation); across
+    batches, ids already stored under the batch's dates are dropped by the
+    bounded anti join used for devices. Unparseable messages are stored as
+    they are (counted, never merged). The table then needs no dedup when read.
+    """
+    from cartpulse.operators.dedup import filter_seen_bounded
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        write_dated_batch(batch_df, order_table, batch_id, "create_date")
+        spark = batch_df.sparkSession
+        valid = batch_df.where(F.col(CORRUPT_COL).isNull())
+        firsts = first_per_key(valid, ORDER_KEYS, ["create_time", "total_amount", "user_id"]).persist()
+        try:
+            per_date = firsts.groupBy("create_date").count().collect()
+            dates, n_keys = [r[0] for r in per_date], sum(r[1] for r in per_date)
+            stored = read_dated(spark, order_table, "create_date", dates)
+            new = firsts
+            if stored is not None:
+                seen = stored.where((F.col("batch_id") != batch_id) & F.col(CORRUPT_COL).isNull())
+                new = filter_seen_bounded(firsts, seen, ORDER_KEYS, n_keys=n_keys)
+            rows = new.unionByName(batch_df.where(F.col(CORRUPT_COL).isNotNull()))
+            write_dated_batch(rows, order_table, batch_id, "create_date")
+        finally:
+            firsts.unpersist()
 
-    w = (parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True})))
+    return write
+
+
+def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, trigger: dict | None = None,
+                       name: str | None = None) -> StreamingQuery:
+    """Order JSON messages -> order table laid out ``create_date=/batch_id=``, one row per order id."""
+    w = (parse_orders(messages).writeStream.foreachBatch(order_batch_writer(order_table))
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
     return w.start()
 
 
 def read_orders(spark: SparkSession, order_table: str, dates: list | None = None) -> DataFrame | None:
-    """Stored orders, one row per order id (a re-sent message counts once: earliest batch wins).
-
-    ``dates`` (``datetime.date`` values) restricts the read to those
-    ``create_date`` folders *before* the dedup: copies of one order carry the
-    same date, so the result is the same and only those folders are listed.
-    """
+    """Stored, parseable orders (already one row per id); ``dates`` lists only those date folders."""
     if dates is None:
         stored = read_table(spark, order_table)
     else:
         stored = read_dated(spark, order_table, "create_date", dates)
     if stored is None:
         return None
-    return first_per_key(stored.where(F.col("_corrupt_record").isNull()), ["id"], ["batch_id"])
+    return stored.where(F.col(CORRUPT_COL).isNull())
 
 
 def live_gmv_hours(parsed_orders: DataFrame) -> DataFrame:

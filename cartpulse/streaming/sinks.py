@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from cartpulse.session import is_local_path
 
 
+HIVE_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark writes for a NULL partition value
+
+
 def batch_folder(table: str, batch_id: int) -> str:
     return f"{table.rstrip('/')}/batch_id={batch_id}"
 
@@ -63,7 +66,8 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 def read_dated(spark: SparkSession, table: str, date_col: str, dates) -> DataFrame | None:
     """Rows of a date-partitioned sink table for the given dates only (others are not even listed)."""
-    paths = [f"{table.rstrip('/')}/{date_col}={d}" for d in sorted({str(d) for d in dates})]
+    names = sorted({HIVE_DEFAULT_PARTITION if d is None else str(d) for d in dates})
+    paths = [f"{table.rstrip('/')}/{date_col}={d}" for d in names]
     paths = [p for p in paths if path_exists(spark, p)]
     if not paths:
         return None

@@ -160,14 +160,17 @@ def test_malformed_message_is_kept_and_stream_goes_on(spark):
     from cartpulse.operators import gmv as GMV
     work = scratch_path(spark, "test_bad_json")
     src = f"{work}/src"
-    first = ['{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}', "{bad"]
+    undated = '{"id":"9","total_amount":"1.00"}'
+    first = ['{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}', "{bad", undated, undated]
     second = ['{"id":"2","total_amount":"7.00","create_time":"2024-01-01 10:40:00"}',
-              '{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}']  # re-sent copy
+              '{"id":"1","total_amount":"5.00","create_time":"2024-01-01 10:05:00"}', undated]  # re-sent copies
     for lines in (first, second):
         spark.createDataFrame([(v,) for v in lines], "value string").write.mode("append").text(src)
         run_available(GS.start_order_stream(spark.readStream.text(src), f"{work}/orders", f"{work}/ckpt"))
     stored = SK.read_table(spark, f"{work}/orders")
     assert stored.where(F.col("_corrupt_record").isNotNull()).count() == 1
+    assert stored.where(F.col("_corrupt_record").isNull()).count() == 3  # ids 1, 2, 9 once each
+    assert GMV.undated_orders(GS.read_orders(spark, f"{work}/orders")).first()["undated"] == 1
     sums = GMV.gmv_hours(GS.read_orders(spark, f"{work}/orders")).collect()
     assert [(r["create_hour"], r["order_amount"]) for r in sums] == [("10", 12.0)]
 

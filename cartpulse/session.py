@@ -90,3 +90,17 @@ class query_conf:  # noqa: N801 - used as a context manager
             else:
                 self.spark.conf.set(k, v)
         return False
+
+
+def start_stream(writer, spark: SparkSession, conf: dict[str, str] | None = None, partitions: int | None = None):
+    """Start a streaming query with its own shuffle partition count.
+
+    A stream's state stores and per-batch jobs are sized for one micro-batch,
+    not for the session's largest batch job: ``partitions`` (default: the
+    cluster's cores) is fixed into the checkpoint at the first start and
+    reused on every restart.
+    """
+    settings = {"spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism)}
+    settings.update(conf or {})
+    with query_conf(spark, settings):
+        return writer.start()

@@ -17,6 +17,7 @@ from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_S
                                  EVID_CLICK_ITEM, EVID_COUPON)
 from cartpulse.functions.timeparts import epoch_bucket, instant_to_ntz, ntz_to_instant
 from cartpulse.streaming.sinks import write_batch
+from cartpulse.session import start_stream
 
 
 def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, delay: str = "1 minute",
@@ -56,4 +57,4 @@ def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, c
          .trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return start_stream(w, alerts.sparkSession)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.cdc import row_inserts
+from cartpulse.session import start_stream
 
 
 def start_cdc_stream(changes: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
@@ -15,4 +16,4 @@ def start_cdc_stream(changes: DataFrame, out_path: str, checkpoint: str, trigger
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return start_stream(w, changes.sparkSession)

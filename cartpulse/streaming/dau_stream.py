@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER
 from cartpulse.operators.dedup import filter_seen_bounded, first_per_key
+from cartpulse.session import start_stream
 from cartpulse.streaming.sinks import read_dated, write_batch, write_dated_batch
 
 
@@ -62,7 +63,7 @@ def start_dau_stream(startup: DataFrame, rows_table: str, checkpoint: str, count
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return start_stream(w, startup.sparkSession)
 
 
 def dau_watermark_dedup(startup: DataFrame, delay: str = "1 day") -> DataFrame:

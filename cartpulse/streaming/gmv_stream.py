@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.functions.money import money_sum
 from cartpulse.operators.dedup import first_per_key
 from cartpulse.schemas import CORRUPT_COL
+from cartpulse.session import start_stream
 from cartpulse.sources.json_logs import parse_orders
 from cartpulse.streaming.sinks import read_dated, read_table, write_dated_batch
 
@@ -53,7 +54,7 @@ def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, t
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return w.start()
+    return start_stream(w, messages.sparkSession)
 
 
 def read_orders(spark: SparkSession, order_table: str, dates: list | None = None) -> DataFrame | None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.timeparts import ntz_to_instant
-from cartpulse.session import query_conf
+from cartpulse.session import start_stream
 from cartpulse.operators.sales import widen_lines
 
 
@@ -42,5 +42,4 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | N
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    with query_conf(df.sparkSession, conf or {}):
-        return w.start()
+    return start_stream(w, df.sparkSession, conf)

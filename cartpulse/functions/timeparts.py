@@ -95,5 +95,8 @@ def split_create_time(df: DataFrame, col: str = "create_time", date_col: str = "
     day = F.split_part(F.col(col), F.lit(" "), F.lit(1))
     clock = F.split_part(F.col(col), F.lit(" "), F.lit(2))
     out = df.withColumn(date_col, F.try_to_date(day, "yyyy-MM-dd"))
-    valid_hour = F.col(date_col).isNotNull() & clock.rlike("^([01][0-9]|2[0-3])(:|$)")
-    return out.withColumn(hour_col, F.when(valid_hour, F.substring(clock, 1, 2)))
+    hh = F.substring(clock, 1, 2)
+    valid_hour = (F.col(date_col).isNotNull()
+                  & F.substring(clock, 1, 1).between("0", "2") & F.substring(clock, 2, 1).between("0", "9")
+                  & (hh <= F.lit("23")) & F.substring(clock, 3, 1).isin("", ":"))
+    return out.withColumn(hour_col, F.when(valid_hour, hh))

@@ -34,7 +34,7 @@ class Publisher:
             return self.spark.createDataFrame([], "mid string, log_date date, log_hour string")
         return rows.select("mid", "log_date", "log_hour")
 
-    def _orders(self, dates: list) -> DataFrame:
+    def _orders(self, dates: list | None) -> DataFrame:
         orders = read_orders(self.spark, self.order_table, dates)
         if orders is None:
             return self.spark.createDataFrame([], "id string, total_amount double, create_date date, create_hour string")
@@ -54,3 +54,27 @@ class Publisher:
         dau_hours = DAU.dau_hours(self._dau().where(F.col("log_date").isin(*two_days)))
         gmv_hours = GMV.gmv_hours(self._orders(two_days))
         return DASH.realtime_hours_for(metric, dau_hours, gmv_hours, date)
+
+    # --- the same answers through Spark SQL over temp views (named parameters, pruned by date) ---
+
+    SQL = {
+        "dau_total": "SELECT count(*) AS dau FROM {dau} WHERE log_date = :d",
+        "dau_hours": "SELECT log_hour, count(*) AS dau FROM {dau} WHERE log_date = :d GROUP BY log_hour",
+        "gmv_total": "SELECT CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+                     "FROM {orders} WHERE create_date = :d",
+        "gmv_hours": "SELECT create_hour, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS order_amount "
+                     "FROM {orders} WHERE create_date = :d GROUP BY create_hour",
+    }
+
+    def register_views(self, prefix: str = "cp") -> dict[str, str]:
+        """Temp views over the stored tables (parseable orders only); returns their names."""
+        names = {"dau": f"{prefix}_dau_rows", "orders": f"{prefix}_order_rows"}
+        self._dau().createOrReplaceTempView(names["dau"])
+        self._orders(None).createOrReplaceTempView(names["orders"])
+        self._views = names
+        return names
+
+    def sql(self, name: str, date: str) -> DataFrame:
+        """One of the four dashboard lookups (``SQL`` keys) for ``date`` via ``spark.sql``."""
+        views = getattr(self, "_views", None) or self.register_views()
+        return self.spark.sql(self.SQL[name].format(**views), args={"d": dt.date.fromisoformat(date)})

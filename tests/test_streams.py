@@ -152,6 +152,14 @@ def test_publisher_serves_one_day_from_stream_tables(spark):
                                "order_amount", day, zero=0.0).collect()
     assert sorted(map(tuple, hours)) == sorted(map(tuple, want)) and len(hours) == 24
     assert str(pub.realtime_hours("dau", day).first()["day"]) == day
+    # the SQL lookups agree with the DataFrame path and read only the day's folders
+    assert pub.sql("dau_total", day).first()["dau"] == served["dau"]
+    assert pub.sql("gmv_total", day).first()["order_amount"] == served["order_amount"]
+    sql_hours = {r["create_hour"]: r["order_amount"] for r in pub.sql("gmv_hours", day).collect()}
+    assert sql_hours == {r["hour"]: r["today"] for r in hours if r["today"] != 0.0}
+    assert sum(r["dau"] for r in pub.sql("dau_hours", day).collect()) == served["dau"]
+    plan = pub.sql("dau_hours", day)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_date" in plan
 
 
 def test_malformed_message_is_kept_and_stream_goes_on(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartpulse.functions.timeparts import epoch_bucket
@@ -22,6 +23,21 @@ def with_batch_id(df: DataFrame, batch_ms: int, ts: str = "ts") -> DataFrame:
     return df.withColumn("batch_id", epoch_bucket(ts, batch_ms))
 
 
+def _cross_batch(startup: DataFrame, batch_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(in-batch firsts, kept rows); both carry ``n_in``, the input rows of that (key, batch)."""
+    keys = [*DAU_KEYS, "batch_id"]
+    batched = with_batch_id(startup, batch_ms)
+    rest = [c for c in batched.columns if c not in keys]
+    firsts = (batched.groupBy(*keys)
+              .agg(F.min_by(F.struct(*rest), F.struct(*DAU_ORDER)).alias("_first"), F.count("*").alias("n_in"))
+              .select(*keys, "_first.*", "n_in"))
+    seen = (firsts.groupBy(*[F.col(k).alias(f"_s_{k}") for k in DAU_KEYS])
+            .agg(F.min("batch_id").alias("_s_first_batch")))
+    cond = [firsts[k] == seen[f"_s_{k}"] for k in DAU_KEYS] + [seen["_s_first_batch"] < firsts["batch_id"]]
+    kept = firsts.join(seen, cond, "left_anti")
+    return firsts, kept
+
+
 def dau_cross_batch(startup: DataFrame, batch_ms: int) -> DataFrame:
     """Rows kept by the two-stage stream dedup, computed for every micro-batch at once.
 
@@ -32,19 +48,23 @@ def dau_cross_batch(startup: DataFrame, batch_ms: int) -> DataFrame:
     aggregate), so every row is compared with exactly one seen row: no pairs
     inside a group even when a hot device appears in every batch.
     """
-    firsts = first_per_key(with_batch_id(startup, batch_ms), [*DAU_KEYS, "batch_id"], DAU_ORDER)
-    seen = (firsts.groupBy(*[F.col(k).alias(f"_s_{k}") for k in DAU_KEYS])
-            .agg(F.min("batch_id").alias("_s_first_batch")))
-    cond = [firsts[k] == seen[f"_s_{k}"] for k in DAU_KEYS] + [seen["_s_first_batch"] < firsts["batch_id"]]
-    return firsts.join(seen, cond, "left_anti")
+    return _cross_batch(startup, batch_ms)[1].drop("n_in")
 
 
 def dedup_counts(startup: DataFrame, batch_ms: int) -> DataFrame:
-    """Per micro-batch: records in, and device rows left after both dedup stages."""
-    inputs = with_batch_id(startup, batch_ms).groupBy("batch_id").agg(F.count("*").alias("n_before"))
-    kept = dau_cross_batch(startup, batch_ms).groupBy("batch_id").agg(F.count("*").alias("n_after"))
-    return (inputs.join(kept, "batch_id", "left")
-            .select("batch_id", "n_before", F.coalesce("n_after", F.lit(0)).cast("bigint").alias("n_after")))
+    """Per micro-batch: records in, and device rows left after both dedup stages.
+
+    One pass: the in-batch dedup carries each (key, batch)'s input count; a
+    key's first batch comes from a window over (mid, log_date) (at most one
+    row per batch of the day per key), and one aggregation per batch counts
+    both numbers.
+    """
+    firsts, _ = _cross_batch(startup, batch_ms)
+    first_batch = F.min("batch_id").over(Window.partitionBy(*DAU_KEYS))
+    return (firsts.withColumn("_first_batch", first_batch)
+            .groupBy("batch_id")
+            .agg(F.sum("n_in").alias("n_before"),
+                 F.count_if(F.col("batch_id") == F.col("_first_batch")).alias("n_after")))
 
 
 def dau_total(dau: DataFrame, date: str | None = None) -> DataFrame:
@@ -65,3 +85,16 @@ def new_devices(dau: DataFrame) -> DataFrame:
     """Devices whose first day ever is the date: (log_date, new_mid)."""
     first_day = dau.groupBy("mid").agg(F.min("log_date").alias("log_date"))
     return first_day.groupBy("log_date").agg(F.count("*").alias("new_mid"))
+
+
+def dau_and_new_devices(dau: DataFrame) -> DataFrame:
+    """(log_date, dau, new_mid) in one pass over the device rows.
+
+    A device's first day comes from a window over the device (one row per
+    day it was active), so active and new devices are counted by the same
+    aggregation.
+    """
+    first_day = F.min("log_date").over(Window.partitionBy("mid"))
+    return (dau.select("mid", "log_date").withColumn("_first_day", first_day)
+            .groupBy("log_date")
+            .agg(F.count("*").alias("dau"), F.count_if(F.col("log_date") == F.col("_first_day")).alias("new_mid")))

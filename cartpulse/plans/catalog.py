@@ -137,7 +137,7 @@ def q_hours_map(spark, sf):
 def q_realtime_total(spark, sf):
     dau = _dau(spark, sf, ())
     gmv = GMV.gmv_total(GMV.order_facts(TB.hourly_orders(spark, sf)))
-    return DASH.realtime_total(DAU.dau_total(dau), DAU.new_devices(dau), gmv)
+    return DASH.realtime_total(DAU.dau_and_new_devices(dau), None, gmv)
 
 
 def q_realtime_hours_dau(spark, sf):

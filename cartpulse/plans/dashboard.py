@@ -79,25 +79,30 @@ def hours_map(hour_values: DataFrame, day: str, hour: str, value: str) -> DataFr
             .agg(F.to_json(F.map_from_entries(entries)).alias("hours")))
 
 
-def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame, gmv_per_day: DataFrame,
+def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame | None, gmv_per_day: DataFrame,
                    date: str | None = None) -> DataFrame:
     """KPI rows (day, id, name, value) for every day with active devices, or for one ``date``.
 
-    ``dau_per_day``: (log_date, dau); ``new_per_day``: (log_date, new_mid);
+    ``dau_per_day``: (log_date, dau) or (log_date, dau, new_mid) with
+    ``new_per_day`` None; ``new_per_day``: (log_date, new_mid);
     ``gmv_per_day``: (create_date, order_amount). A day without orders has a
     NULL amount; a day without devices has 0 active and 0 new devices.
     """
-    dau = dau_per_day.select(F.col("log_date").alias("day"), "dau")
-    nm = new_per_day.select(F.col("log_date").alias("day"), "new_mid")
+    combined = new_per_day is None
+    dau = dau_per_day.select(F.col("log_date").alias("day"), "dau", *(["new_mid"] if combined else []))
+    nm = None if combined else new_per_day.select(F.col("log_date").alias("day"), "new_mid")
     gmv = gmv_per_day.select(F.col("create_date").alias("day"), "order_amount")
     if date is not None:
         d = F.lit(date).cast("date")
         days = dau_per_day.sparkSession.range(1).select(d.alias("day"))
-        dau, nm, gmv = (x.where(F.col("day") == d) for x in (dau, nm, gmv))
+        dau, gmv = dau.where(F.col("day") == d), gmv.where(F.col("day") == d)
+        nm = None if nm is None else nm.where(F.col("day") == d)
         wide = days.join(dau, "day", "left")
     else:
         wide = dau
-    wide = wide.join(nm, "day", "left").join(gmv, "day", "left")
+    if nm is not None:
+        wide = wide.join(nm, "day", "left")
+    wide = wide.join(gmv, "day", "left")
 
     def kpi(pair, v):
         return F.struct(F.lit(pair[0]).alias("id"), F.lit(pair[1]).alias("name"), v.cast("double").alias("value"))

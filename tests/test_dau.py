@@ -73,3 +73,13 @@ def test_dedup_counts_per_batch(spark):
                          (3, "a", "u", "s", ts("2024-01-01 11:00:00"))])
     got = {r["batch_id"] % 24: (r["n_before"], r["n_after"]) for r in DAU.dedup_counts(df, 3_600_000).collect()}
     assert got == {10: (2, 1), 11: (1, 0)}
+
+
+def test_one_pass_dau_and_new_devices_equal_separate_rollups(spark):
+    from cartpulse.sources.tables import startup_log
+    from conftest import SF_SMALL
+    dau = DAU.dau_rows(startup_log(spark, SF_SMALL))
+    both = {r["log_date"]: (r["dau"], r["new_mid"]) for r in DAU.dau_and_new_devices(dau).collect()}
+    totals = {r["log_date"]: r["dau"] for r in DAU.dau_total(dau).collect()}
+    new = {r["log_date"]: r["new_mid"] for r in DAU.new_devices(dau).collect()}
+    assert both == {d: (n, new.get(d, 0)) for d, n in totals.items()}

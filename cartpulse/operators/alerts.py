@@ -135,42 +135,49 @@ def alert_event_rows(events: DataFrame, alerts: DataFrame, window: str = ALERT_W
                      slide: str = ALERT_SLIDE) -> DataFrame:
     """One row per (alerted window, event of that device inside it): the distributed form of A6.
 
-    Each alerted window is expanded to the buckets it covers and equi-joined
-    with the events on (mid, bucket) - no range join, and a hot device is
-    spread over its buckets (AQE splits a skewed bucket).
+    Each alerted window (with whatever columns ``alerts`` carries) is expanded
+    to the buckets it covers and equi-joined with the events on
+    (mid, bucket) - no range join, and a hot device is spread over its
+    buckets (AQE splits a skewed bucket).
     """
     g = _Grid(window, slide)
-    covered = (alerts.select("mid", "window_start", "window_end")
-               .withColumn("j", F.explode(g.buckets_of_window(g.index_of_start("window_start")))))
+    covered = alerts.withColumn("j", F.explode(g.buckets_of_window(g.index_of_start("window_start"))))
     bucketed = events.select("mid", "ts", "event_id", "evid", g.bucket_of("ts").alias("j"))
     return covered.join(bucketed, ["mid", "j"]).drop("j")
 
 
 def alert_events(events: DataFrame, alerts: DataFrame, window: str = ALERT_WINDOW,
                  slide: str = ALERT_SLIDE) -> DataFrame:
-    """Every event id (``evid``) seen by the device in each alerted window, in (ts, event_id) order.
+    """Alerted windows with every event id (``evid``) of the device in them, in (ts, event_id) order.
 
-    The list of one window is assembled in one task; its length is bounded by
-    one device's events in one window (use :func:`alert_event_rows` to keep
-    it as rows).
+    Other columns of ``alerts`` (e.g. the account / item sets) are carried
+    through, so documents can be built from this one frame. The list of one
+    window is assembled in one task; its length is bounded by one device's
+    events in one window (use :func:`alert_event_rows` to keep it as rows).
     """
+    keys = ["mid", "window_start", "window_end"]
+    extra = [c for c in alerts.columns if c not in keys]
     rows = alert_event_rows(events, alerts, window, slide)
-    return (rows.groupBy("mid", "window_start", "window_end")
-            .agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "evid"))).alias("evs"))
-            .select("mid", "window_start", "window_end", F.transform("evs", lambda x: x["evid"]).alias("events")))
+    return (rows.groupBy(*keys)
+            .agg(*[F.first(c).alias(c) for c in extra],  # constant within a window
+                 F.array_sort(F.collect_list(F.struct("ts", "event_id", "evid"))).alias("evs"))
+            .select(*keys, *extra, F.transform("evs", lambda x: x["evid"]).alias("events")))
 
 
 def alert_documents(alerts: DataFrame, events_per_window: DataFrame | None = None,
                     bucket_ms: int = ALERT_ID_BUCKET_MS) -> DataFrame:
     """Alert documents keyed ``mid:<window_end epoch-ms div bucket_ms>``; last window in a bucket wins.
 
+    ``alerts`` may already carry ``events`` (the output of :func:`alert_events`).
+
     This is the effect of writing documents by id into an index: a later
     alert of the same device and minute overwrites the earlier one.
     """
     docs = alerts
     if events_per_window is not None:
-        docs = docs.join(events_per_window, ["mid", "window_start", "window_end"], "left")
-    else:
+        docs = docs.join(events_per_window.select("mid", "window_start", "window_end", "events"),
+                         ["mid", "window_start", "window_end"], "left")
+    elif "events" not in docs.columns:
         docs = docs.withColumn("events", F.lit(None).cast("array<string>"))
     docs = docs.withColumn("alert_id", F.concat_ws(":", F.col("mid"), epoch_bucket("window_end", bucket_ms).cast("string")))
     cols = ["mid", "uids", "item_ids", "events", "window_start", "window_end"]

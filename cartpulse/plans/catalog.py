@@ -179,8 +179,8 @@ def q_alert_events(spark, sf):
 
 
 def q_alert_upsert(spark, sf):
-    alerts = _alerts(spark, sf)
-    docs = AL.alert_documents(alerts, _alert_events(spark, sf, alerts), ALERT_BUCKET_MS_T)
+    # one alert computation: the event lists carry the account / item sets along
+    docs = AL.alert_documents(_alert_events(spark, sf, _alerts(spark, sf)), bucket_ms=ALERT_BUCKET_MS_T)
     return docs.select("alert_id", "mid", "ts", "window_start", sorted_csv("uids").alias("uids"),
                        sorted_csv("item_ids").alias("item_ids"), F.array_join("events", ",").alias("events"))
 

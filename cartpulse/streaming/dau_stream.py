@@ -4,10 +4,10 @@ Per micro-batch (``foreachBatch``):
 
 1. in-batch dedup: smallest (ts, event_id) per (mid, log_date);
 2. cross-batch dedup: drop keys already stored by an earlier batch. The
-   stored device rows are the state; only the micro-batch's keys are
-   broadcast (a micro-batch is bounded by the trigger limits) into a semi
-   join over the stored rows, so the state is scanned with pruning but
-   never shuffled;
+   stored device rows are the state; the micro-batch's keys are broadcast
+   into a semi join over the stored rows when their count is within a
+   checked bound (else a shuffle anti join), so the state is scanned with
+   pruning but never shuffled;
 3. write the new rows under ``log_date=<d>/batch_id=<n>`` (replaced if the
    batch is replayed, and excluded from step 2 then, so a replay changes
    nothing). Step 2 lists and reads only the folders of the batch's dates.

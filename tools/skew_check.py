@@ -63,6 +63,8 @@ def main():
         "dau_cross_batch": lambda: DAU.dau_cross_batch(startup, 3_600_000),
         "new_devices": lambda: DAU.new_devices(DAU.dau_rows(startup)),
         "coupon_alerts_5min": lambda: AL.coupon_alerts(elog),
+        "alert_events (6 h / 1 h)": lambda: AL.alert_events(elog, AL.coupon_alerts(elog, "6 hours", "1 hour"),
+                                                            "6 hours", "1 hour"),
         "sale_detail (hot customer)": lambda: SALES.sale_detail(
             lineitem, orders, TB.load_table(spark, sf, "customer"), TB.load_table(spark, sf, "part"),
             TB.load_table(spark, sf, "nation")),

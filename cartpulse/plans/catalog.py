@@ -296,7 +296,8 @@ def q_stream_coupon_alerts(spark, sf):
         alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), ALERT_WINDOW_T, ALERT_SLIDE_T,
                                  ALERT_DELAY_T)
         return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
-                                     ALERT_BUCKET_MS_T)
+                                     ALERT_BUCKET_MS_T, landed_events=lambda session: session.read.parquet(src),
+                                     window=ALERT_WINDOW_T, slide=ALERT_SLIDE_T)
 
     RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
     a = SK.read_table(spark, f"{work}/windows")

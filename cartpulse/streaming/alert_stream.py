@@ -9,7 +9,9 @@ window wins when the document log is read).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,19 +39,38 @@ def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALE
 
 
 def alert_docs(alerts: DataFrame, bucket_ms: int = ALERT_ID_BUCKET_MS) -> DataFrame:
+    events = F.col("events") if "events" in alerts.columns else F.lit(None).cast("array<string>")
     return alerts.select(
         F.concat_ws(":", F.col("mid"), epoch_bucket("window_end", bucket_ms).cast("string")).alias("alert_id"),
-        "mid", "uids", "item_ids", F.col("window_end").alias("ts"), "window_start")
+        "mid", "uids", "item_ids", events.alias("events"), F.col("window_end").alias("ts"), "window_start")
 
 
 def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, checkpoint: str,
                        bucket_ms: int = ALERT_ID_BUCKET_MS, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, landed_events: Callable[[SparkSession], DataFrame] | None = None,
+                       window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> StreamingQuery:
+    """Write each micro-batch's closed alert windows and their alert documents.
+
+    ``landed_events`` (a reader of the event log as landed so far) adds each
+    document's event list: only events inside the batch's windows' time
+    range are read (a pushed-down ``ts`` range), then joined on
+    (device, bucket) as in batch.
+    """
+    from cartpulse.operators.alerts import alert_events
+
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
             write_batch(batch_df, windows_table, batch_id)
-            write_batch(alert_docs(batch_df, bucket_ms), docs_table, batch_id)
+            docs = batch_df
+            if landed_events is not None:
+                span = batch_df.agg(F.min("window_start").alias("lo"), F.max("window_end").alias("hi")).first()
+                if span["lo"] is not None:
+                    ts = F.col("ts")
+                    lo, hi = (F.lit(span[k].isoformat(sep=" ")).cast("timestamp_ntz") for k in ("lo", "hi"))
+                    ev = landed_events(batch_df.sparkSession).where((ts >= lo) & (ts < hi))
+                    docs = alert_events(ev, batch_df, window, slide)
+            write_batch(alert_docs(docs, bucket_ms), docs_table, batch_id)
         finally:
             batch_df.unpersist()
 

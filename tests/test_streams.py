@@ -212,3 +212,34 @@ def test_processing_time_trigger(spark):
     finally:
         q.stop()
     assert first == DAU.dau_rows(data).count() == read_table(spark, f"{work}/rows").count()
+
+
+def test_stream_alert_documents_carry_event_lists(spark):
+    """Stream documents (closed windows) equal the batch documents of the same windows."""
+    import datetime as dt
+    from cartpulse.operators import alerts as AL
+    from cartpulse.plans import catalog as C
+    from cartpulse.sources.tables import event_log, load_table
+    from cartpulse.streaming import alert_stream as AS
+    from cartpulse.streaming.replay import replay, stream_reader
+    from conftest import SF_ORACLE
+    work = scratch_path(spark, "test_alert_docs")
+    events = event_log(spark, SF_ORACLE)
+    src = f"{work}/src"
+
+    def start():
+        alerts = AS.alert_stream(stream_reader(spark, src, events.schema), C.ALERT_WINDOW_T, C.ALERT_SLIDE_T, "1 hour")
+        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/ckpt", C.ALERT_BUCKET_MS_T,
+                                     landed_events=lambda s: s.read.parquet(src),
+                                     window=C.ALERT_WINDOW_T, slide=C.ALERT_SLIDE_T)
+
+    replay([(events, "ts", src, "parquet")], 3, start)
+    streamed = {r["alert_id"]: (r["ts"], r["events"]) for r in
+                SK.read_latest(spark, f"{work}/docs", "alert_id", "ts").collect()}
+    last = load_table(spark, SF_ORACLE, "events").agg(F.max("ts")).first()[0]
+    closed = AL.coupon_alerts(events, C.ALERT_WINDOW_T, C.ALERT_SLIDE_T).where(
+        F.col("window_end") <= F.lit((last - dt.timedelta(hours=1)).isoformat(sep=" ")).cast("timestamp_ntz"))
+    batch = AL.alert_documents(AL.alert_events(events, closed, C.ALERT_WINDOW_T, C.ALERT_SLIDE_T),
+                               bucket_ms=C.ALERT_BUCKET_MS_T)
+    expected = {r["alert_id"]: (r["ts"], r["events"]) for r in batch.collect()}
+    assert expected and streamed == expected and all(e for _, e in expected.values())

@@ -4,7 +4,8 @@ Sliding windows are aggregated with a watermark in append mode, so each
 window is emitted once, when it can no longer change (an alert is never
 retracted by a later click). Each micro-batch's alerts are then written as
 windows and as alert documents (one per device and bucket; the newest
-window wins when the document log is read).
+window wins when the document log is read), with the windows' event lists
+read from the landed event log when a reader for it is given.
 """
 
 from __future__ import annotations

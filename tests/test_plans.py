@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from cartpulse.plans.catalog import ALL_QUERIES
 from conftest import SF_SMALL
 
-BATCH = [k for k in E.queries() if not k.startswith("stream_") and k != "sale_detail_stream"]
+BATCH = [k for k in ALL_QUERIES if not k.startswith("stream_") and k != "sale_detail_stream"]
 
 
 def plan(df) -> str:

@@ -39,9 +39,11 @@ GROUP, GROUP_BYTES = "<IIII", 16  # ids, blocks, bytes of the order-0 table, ids
 
 def order0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids and their frequencies, at least 1 each, adding up to 2**ORDER0_BITS."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     spare = (1 << ORDER0_BITS) - len(symbols)
-    freq = 1 + counts.astype(np.int64) * spare // len(ids)
+    freq = 1 + counts * spare // len(ids)
     freq[np.argmax(freq)] += (1 << ORDER0_BITS) - freq.sum()
     return symbols.astype(np.uint32), freq
 

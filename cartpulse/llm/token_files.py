@@ -39,7 +39,7 @@ SECTION, SECTION_BYTES = "<cQ", 9
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 GROUP_IDS = 4096 * BLOCK
-CACHE_WORDS = 500_000  # then the cache starts anew
+CACHE_WORDS = 250_000  # words of one generation; the one before is kept beside it
 PLAIN = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # no "<" or ">": special tokens take the whole tokenizer
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
@@ -61,6 +61,7 @@ class WordCache(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.model, self.letters, self.pieces = tokenizer, tokenizer.model, _byte_letters(), {}
+        self.before: dict[bytes, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
@@ -70,15 +71,19 @@ class WordCache(dict):
         return found
 
     def __missing__(self, word: bytes) -> bytes:
+        found = self.before.pop(word, None)  # words of the last generation move on, the others leave with it
+        if found is None:
+            if word.isalpha():  # ASCII letters only
+                found = self._piece(word.lower().decode())
+            elif PLAIN.fullmatch(text := word.decode("utf-8", "replace")):
+                found = b"".join([self._piece(p) for p in PIECES.findall(text.lower())])
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                found = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= CACHE_WORDS:
+            self.before = dict(self)
             self.clear()
-            self.pieces.clear()
-        text = word.decode("utf-8", "replace")
-        if PLAIN.fullmatch(text):
-            found = b"".join([self._piece(p) for p in PIECES.findall(text.lower())])
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            self.pieces = {}
         self[word] = found
         return found
 

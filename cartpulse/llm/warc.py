@@ -112,9 +112,11 @@ def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT, id_col: str =
 def write_archives(pages: DataFrame, folder: str, **options) -> DataFrame:
     """Write the archives below ``folder``; returns the manifest ``(path, records, bytes)``, stored."""
     rows = plan_records(pages, **options)
-    sample = (rows.select("page_id", F.substring("payload", 1, SAMPLE_BYTES).alias("head")).filter(F.octet_length("head") > 0)
-              .orderBy(F.xxhash64("page_id"), "page_id", "head").limit(SAMPLE_RECORDS).select("head").collect())
-    words = train_dictionary([bytes(r["head"]) for r in sample])
+    # the ids are picked first: only the sample's payloads travel, not each task's share of candidates
+    picked = F.broadcast(rows.select("page_id").filter("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS))
+    heads = rows.join(picked, "page_id", "left_semi").groupBy("page_id").agg(F.min(F.substring("payload", 1, SAMPLE_BYTES)).alias("head"))
+    sample = [bytes(r["head"]) for r in heads.orderBy("page_id").collect()]
+    words = train_dictionary([head for head in sample if head])
 
     def run(batches):
         out, n, size, path = None, 0, 0, f"{folder}/{uuid.uuid4().hex}.warc.zst"

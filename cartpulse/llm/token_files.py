@@ -41,16 +41,18 @@ END_ID = 2
 GROUP_IDS = 4096 * BLOCK
 CACHE_WORDS = 250_000  # words of one generation; the one before is kept beside it
 PLAIN = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # no "<" or ">": special tokens take the whole tokenizer
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = "!#$%&()*+,-./:;=?|"  # no quote, which may begin a piece of letters
+FORMATS = [f"<{n}I" for n in range(16)]
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
 def _byte_letters() -> dict[int, str]:
-    """The byte-level alphabet: printable bytes stand for themselves, the others, in order, for 256 and up."""
+    """The byte-level alphabet where it differs: printable bytes stand for themselves,
+    the others, in order, for 256 and up."""
     out, spare = {}, 256
     for b in range(256):
-        if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF:
-            out[b] = chr(b)
-        else:
+        if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF):
             out[b], spare = chr(spare), spare + 1
     return out
 
@@ -66,16 +68,21 @@ class WordCache(dict):
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            tokens = self.model.tokenize("".join(self.letters[b] for b in piece.encode()) if not piece.isascii() else piece)
-            found = self.pieces[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(letters)]
+            found = self.pieces[piece] = struct.pack(FORMATS[len(ids)] if len(ids) < 16 else f"<{len(ids)}I", *ids)
         return found
 
     def __missing__(self, word: bytes) -> bytes:
         found = self.before.pop(word, None)  # words of the last generation move on, the others leave with it
         if found is None:
-            if word.isalpha():  # ASCII letters only
-                found = self._piece(word.lower().decode())
-            elif PLAIN.fullmatch(text := word.decode("utf-8", "replace")):
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(MARKS)  # the common word: letters, then marks or nothing
+            if LETTERS.fullmatch(core):
+                found = self._piece(core.lower())
+                if len(core) < len(text):
+                    found += self._piece(text[len(core):])
+            elif PLAIN.fullmatch(text):
                 found = b"".join([self._piece(p) for p in PIECES.findall(text.lower())])
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids

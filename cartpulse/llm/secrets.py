@@ -45,11 +45,6 @@ def flagged_windows(run: str, window: int, least: float) -> list[tuple[int, int]
     total, letters, digits, out = 0.0, 0, 0, []
     limit = (math.log2(window) - least) * window + 1e-9  # entropy >= least exactly when the sum of c*log2(c) <= limit
     for i, ch in enumerate(run):
-        c = counts.get(ch, 0)
-        counts[ch] = c + 1
-        total += term[c + 1] - term[c]
-        letters += ch.isalpha()
-        digits += ch.isdigit()
         if i >= window:
             old = run[i - window]
             c = counts[old]
@@ -57,6 +52,11 @@ def flagged_windows(run: str, window: int, least: float) -> list[tuple[int, int]
             total += term[c - 1] - term[c]
             letters -= old.isalpha()
             digits -= old.isdigit()
+        c = counts.get(ch, 0)
+        counts[ch] = c + 1
+        total += term[c + 1] - term[c]
+        letters += ch.isalpha()
+        digits += ch.isdigit()
         if i >= window - 1 and total <= limit and letters and digits:
             start = i - window + 1
             if out and start <= out[-1][1]:

@@ -1,0 +1,19 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+from cartpulse.session import build_session  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return build_session(master="local[*]", shuffle_partitions=8)  # shared with the other tests, which stop it
+
+
+def doc_frame(spark, rows, extra=""):
+    return spark.createDataFrame(rows, "doc_id long, text string" + extra)

@@ -93,7 +93,7 @@ def read_archive(source):
         if one.eof:
             yield parse(b"".join(parts))
             one, parts = unpack.decompressobj(), []
-    if any(parts):
+    if parts:  # fed, but its frame did not end
         raise ValueError("archive ends inside a record")
 
 

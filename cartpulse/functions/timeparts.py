@@ -59,7 +59,7 @@ def floor_div(col: Column, n: int) -> Column:
 
 def epoch_bucket(col: str | Column, bucket_ms: int) -> Column:
     """Integer bucket number of a wall time: epoch-ms div bucket (the alert doc id)."""
-    return F.floor(ntz_to_epoch_ms(col) / F.lit(bucket_ms)).cast("bigint")
+    return floor_div(ntz_to_epoch_ms(col), bucket_ms)
 
 
 def with_date_hour(df: DataFrame, ts: str = "ts", date_col: str = "log_date",

@@ -114,7 +114,7 @@ def coupon_alerts(events: DataFrame, window: str = ALERT_WINDOW, slide: str = AL
     A NULL account is not counted (an unknown account is no evidence).
     """
     g = _Grid(window, slide)
-    buckets = _coupon_buckets(events, g)  # read twice below; the planner reuses its shuffle
+    buckets = _coupon_buckets(events, g)  # read twice below, each time from the events
     screened = (buckets.select("mid", "clicked", F.size("uids").alias("n"),
                                F.explode(g.windows_of_bucket(F.col("j"))).alias("k"))
                 .groupBy("mid", "k")

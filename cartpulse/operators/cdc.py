@@ -14,13 +14,16 @@ def row_inserts(changes: DataFrame, table: str = CDC_ORDER_TABLE, event_type: st
     """After-images of one table's inserts, one JSON object per row (all values strings).
 
     Only row-data entries are looked at; updates, deletes, other tables and
-    non-row entries (transaction markers) are skipped. NULL column values stay
+    non-row entries (transaction markers) are skipped. Of a column that repeats in
+    a row the last value counts. NULL column values stay
     ``null`` in the JSON.
     """
     picked = changes.where((F.col("entry_type") == CDC_ENTRY_ROWDATA)
                            & (F.col("table") == table) & (F.col("event_type") == event_type))
     rows = picked.select(F.explode("rows").alias("cols"))
-    return rows.select(F.to_json(F.map_from_entries("cols"), {"ignoreNullFields": "false"}).alias("value"))
+    # the last value of a repeated column wins: a column stays unless a later one has its name
+    last = F.filter("cols", lambda c, i: ~F.exists(F.slice("cols", i + 2, F.size("cols")), lambda later: later["name"] == c["name"]))
+    return rows.select(F.to_json(F.map_from_entries(last), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def _cols(*pairs) -> F.Column:

@@ -81,7 +81,7 @@ def hours_map(hour_values: DataFrame, day: str, hour: str, value: str) -> DataFr
 
 def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame | None, gmv_per_day: DataFrame,
                    date: str | None = None) -> DataFrame:
-    """KPI rows (day, id, name, value) for every day with active devices, or for one ``date``.
+    """KPI rows (day, id, name, value) for every day with devices or orders, or for one ``date``.
 
     ``dau_per_day``: (log_date, dau) or (log_date, dau, new_mid) with
     ``new_per_day`` None; ``new_per_day``: (log_date, new_mid);
@@ -99,7 +99,7 @@ def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame | None, gmv_pe
         nm = None if nm is None else nm.where(F.col("day") == d)
         wide = days.join(dau, "day", "left")
     else:
-        wide = dau
+        wide = dau.join(gmv.where("day is not null").select("day"), "day", "full")
     if nm is not None:
         wide = wide.join(nm, "day", "left")
     wide = wide.join(gmv, "day", "left")

@@ -140,12 +140,13 @@ d AS (SELECT log_date AS day, count(*) AS dau FROM dau GROUP BY 1),
 nm AS (SELECT log_date AS day, count(*) AS new_mid
        FROM (SELECT mid, min(log_date) AS log_date FROM dau GROUP BY mid) GROUP BY 1),
 g AS (SELECT create_date AS day, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS amt
-      FROM hourly GROUP BY 1)
-SELECT d.day, 'dau' AS id, '新增日活' AS name, CAST(d.dau AS DOUBLE) AS value FROM d
+      FROM hourly GROUP BY 1),
+dd AS (SELECT day FROM d UNION SELECT day FROM g WHERE day IS NOT NULL)
+SELECT dd.day, 'dau' AS id, '新增日活' AS name, CAST(COALESCE(d.dau, 0) AS DOUBLE) AS value FROM dd LEFT JOIN d USING (day)
 UNION ALL
-SELECT d.day, 'new_mid', '新增设备', CAST(COALESCE(nm.new_mid, 0) AS DOUBLE) FROM d LEFT JOIN nm USING (day)
+SELECT dd.day, 'new_mid', '新增设备', CAST(COALESCE(nm.new_mid, 0) AS DOUBLE) FROM dd LEFT JOIN nm USING (day)
 UNION ALL
-SELECT d.day, 'order_amount', '新增交易额', g.amt FROM d LEFT JOIN g USING (day)""",
+SELECT dd.day, 'order_amount', '新增交易额', g.amt FROM dd LEFT JOIN g USING (day)""",
     "realtime_hours_dau": _hours_sql(DAU + ",\ndh AS (SELECT log_date, log_hour, count(*) AS dau FROM dau GROUP BY 1, 2)",
                                      "dh", "log_date", "log_hour", "dau", "0"),
     "realtime_hours_gmv": _hours_sql(GMV_HOURS, "gh", "create_date", "create_hour", "order_amount", "0.0"),

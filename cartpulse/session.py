@@ -56,16 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder below the shared checkpoint dir (never reused)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    if base.startswith("file:"):
-        base = base[len("file:"):]
+    base = ensure_checkpoint_dir(spark).rstrip("/")  # with its scheme: the default file system may be another one
     return "/".join([base, "cartpulse", *parts, uuid.uuid4().hex])
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 class query_conf:  # noqa: N801 - used as a context manager
     """Session settings applied only while a streaming query is being started.
 

@@ -23,8 +23,10 @@ SLICE_COL = "_slice"
 
 
 def time_bounds(df: DataFrame, ts: str, n_slices: int) -> list[int]:
-    """Epoch-µs cut points splitting the time range of ``df.ts`` into equal slices."""
+    """Epoch-µs cut points splitting the time range of ``df.ts`` into equal slices; none without a time."""
     row = df.agg(F.min(ntz_to_epoch_us(ts)).alias("lo"), F.max(ntz_to_epoch_us(ts)).alias("hi")).first()
+    if row["lo"] is None:
+        return []
     lo, hi = int(row["lo"]), int(row["hi"]) + 1
     step = max(1, -(-(hi - lo) // n_slices))
     return [lo + i * step for i in range(n_slices)] + [hi]
@@ -65,12 +67,9 @@ def publish_slice(spark: SparkSession, staging: str, i: int, dest: str) -> int:
     return moved
 
 
-def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` run to finish; re-raise its failure."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
+def run_available(query: StreamingQuery) -> None:
+    """Wait for an ``availableNow`` run to finish, however long it takes; re-raise its failure."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
@@ -86,6 +85,8 @@ def replay(sources: Sequence[tuple[DataFrame, str, str, str]], n_slices: int,
     spark = sources[0][0].sparkSession
     frame, ts, _, _ = sources[bounds_from]
     cuts = time_bounds(frame, ts, n_slices)
+    if not cuts:
+        return
     for df, col, path, fmt in sources:
         stage_slices(df, col, cuts, f"{path}_staging", fmt)
     for i in range(n_slices):

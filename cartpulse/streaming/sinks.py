@@ -9,14 +9,9 @@ the newest version of each key wins (an append-only log merged on read).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartpulse.session import is_local_path
-
-
 HIVE_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark writes for a NULL partition value
 
 
@@ -51,17 +46,15 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+    """Asked of the path's own file system; a path without scheme belongs to the default one, as in Spark's readers."""
     fs, p = _fs_path(spark, path)
     return bool(fs.exists(p))
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    if is_local_path(table):
-        p = table[len("file:"):] if table.startswith("file:") else table
-        return os.path.isdir(p) and any("=" in n for n in os.listdir(p))
-    return path_exists(spark, table)
+    """True once the table folder holds a partition folder."""
+    fs, p = _fs_path(spark, table)
+    return bool(fs.exists(p)) and any("=" in st.getPath().getName() for st in fs.listStatus(p))
 
 
 def read_dated(spark: SparkSession, table: str, date_col: str, dates) -> DataFrame | None:

@@ -25,6 +25,11 @@ def test_only_order_info_inserts_are_published(spark):
     assert out == [{"id": "1", "total_amount": "5.00", "note": None}]
 
 
+def test_last_value_of_a_repeated_column_wins(spark):
+    df = spark.createDataFrame([change("order_info", "ROWDATA", "INSERT", [("id", "1"), ("note", "a"), ("id", "2"), ("note", None)])], CHANGE_RECORD)
+    assert [json.loads(r["value"]) for r in CDC.row_inserts(df).collect()] == [{"id": "2", "note": None}]
+
+
 def test_malformed_json_is_kept_as_corrupt_row(spark):
     msgs = spark.createDataFrame([('{"mid":"m1","uid":"u1","ts":1589000000000}',), ("{bad",)], "value string")
     parsed = JL.parse_startup(msgs)

@@ -56,3 +56,11 @@ def test_hours_map_is_hour_ordered_json(spark):
     import datetime as dt
     hv = spark.createDataFrame([(dt.date(2024, 1, 2), "11", 3), (dt.date(2024, 1, 2), "02", 2)], "d date, h string, n long")
     assert DASH.hours_map(hv, "d", "h", "n").first()["hours"] == '{"02":2,"11":3}'
+
+
+def test_day_with_orders_and_no_device_has_kpi_rows(spark):
+    dau = spark.createDataFrame([("2024-01-01", 3, 1)], "log_date string, dau long, new_mid long").selectExpr("cast(log_date as date) log_date", "dau", "new_mid")
+    gmv = spark.createDataFrame([("2024-01-02", 9.0), (None, 4.0)], "create_date string, order_amount double").selectExpr("cast(create_date as date) create_date", "order_amount")
+    got = {(str(r["day"]), r["id"]): r["value"] for r in DASH.realtime_total(dau, None, gmv).collect()}
+    assert got == {("2024-01-01", "dau"): 3.0, ("2024-01-01", "new_mid"): 1.0, ("2024-01-01", "order_amount"): None,
+                   ("2024-01-02", "dau"): 0.0, ("2024-01-02", "new_mid"): 0.0, ("2024-01-02", "order_amount"): 9.0}

@@ -243,3 +243,31 @@ def test_stream_alert_documents_carry_event_lists(spark):
                                bucket_ms=C.ALERT_BUCKET_MS_T)
     expected = {r["alert_id"]: (r["ts"], r["events"]) for r in batch.collect()}
     assert expected and streamed == expected and all(e for _, e in expected.values())
+
+
+def test_orders_without_id_are_all_kept(spark):
+    from cartpulse.operators import gmv as GMV
+    from cartpulse.streaming import gmv_stream as GS
+    from cartpulse.streaming.replay import run_available
+    work = scratch_path(spark, "test_no_id")
+    lines = ['{"total_amount":"5.00","create_time":"2024-01-01 10:05:00"}', '{"total_amount":"7.00","create_time":"2024-01-01 10:40:00"}']
+    for value in lines:
+        spark.createDataFrame([(value,)], "value string").write.mode("append").text(f"{work}/src")
+        run_available(GS.start_order_stream(spark.readStream.text(f"{work}/src"), f"{work}/orders", f"{work}/ckpt"))
+    sums = GMV.gmv_hours(GS.read_orders(spark, f"{work}/orders")).collect()
+    assert [(r["create_hour"], r["order_amount"]) for r in sums] == [("10", 12.0)]
+
+
+def test_storage_checks_ask_the_paths_own_file_system(spark):
+    """A path without scheme belongs to the default file system, here one that only Hadoop's API can open."""
+    work = scratch_path(spark, "test_default_fs").removeprefix("file:")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    spark.range(2).selectExpr("id", "current_date() as d").write.partitionBy("d").parquet(f"file:{work}/t")
+    conf.set("fs.viewfs.mounttable.cartpulse.link./shared", f"file:{work}")
+    conf.set("fs.defaultFS", "viewfs://cartpulse/")
+    try:
+        assert SK.table_exists(spark, "/shared/t") and SK.path_exists(spark, "/shared/t") and not SK.table_exists(spark, "/shared/none")
+        assert SK.read_table(spark, "/shared/t").count() == 2
+    finally:
+        conf.set("fs.defaultFS", old)

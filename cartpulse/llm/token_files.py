@@ -39,7 +39,7 @@ SECTION, SECTION_BYTES = "<cQ", 9
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 GROUP_IDS = 4096 * BLOCK
-CACHE_WORDS = 250_000  # words of one generation; the one before is kept beside it
+CACHE_WORDS = 400_000  # words of one generation; the one before is kept beside it
 PLAIN = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # no "<" or ">": special tokens take the whole tokenizer
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = "!#$%&()*+,-./:;=?|"  # no quote, which may begin a piece of letters

@@ -3,10 +3,9 @@
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
 tables. Column names match the oracle SQL one for one.
 
-Test-table parameters: the event log is sparse (about 10 events per user per
-day), so alert queries use 6-hour windows sliding by 1 hour and one alert
-document per device per day; the library defaults stay 5 minutes / 5 seconds
-/ one per minute. Micro-batches of the replayed start-up log are 1 hour of
+Alert queries run at the real setting (5-minute windows every 5 seconds, one
+document a device and minute: ``*_5min``, ``*_minute``, ``stream_alert_documents``)
+and at 6 hours / 1 hour / one document a day. Micro-batches of the replayed start-up log are 1 hour of
 event time.
 """
 
@@ -180,7 +179,15 @@ def q_alert_events(spark, sf):
 
 def q_alert_upsert(spark, sf):
     # one alert computation: the event lists carry the account / item sets along
-    docs = AL.alert_documents(_alert_events(spark, sf, _alerts(spark, sf)), bucket_ms=ALERT_BUCKET_MS_T)
+    return _doc_columns(AL.alert_documents(_alert_events(spark, sf, _alerts(spark, sf)), bucket_ms=ALERT_BUCKET_MS_T))
+
+
+def q_alert_documents_minute(spark, sf):
+    ev = TB.event_log(spark, sf)
+    return _doc_columns(AL.alert_documents(AL.alert_events(ev, AL.coupon_alerts(ev))))
+
+
+def _doc_columns(docs):
     return docs.select("alert_id", "mid", "ts", "window_start", sorted_csv("uids").alias("uids"),
                        sorted_csv("item_ids").alias("item_ids"), F.array_join("events", ",").alias("events"))
 
@@ -243,6 +250,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "coupon_alerts_5min": q_coupon_alerts_5min,
     "alert_events": q_alert_events,
     "alert_upsert": q_alert_upsert,
+    "alert_documents_minute": q_alert_documents_minute,
     "sale_detail_wide": q_sale_detail_wide,
     "sale_detail_search": q_sale_detail_search,
     "sale_detail_page": q_sale_detail_page,
@@ -296,15 +304,29 @@ def q_stream_coupon_alerts(spark, sf):
         alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), ALERT_WINDOW_T, ALERT_SLIDE_T,
                                  ALERT_DELAY_T)
         return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
-                                     ALERT_BUCKET_MS_T, landed_events=lambda session: session.read.parquet(src),
-                                     window=ALERT_WINDOW_T, slide=ALERT_SLIDE_T)
+                                     ALERT_BUCKET_MS_T, window=ALERT_WINDOW_T, slide=ALERT_SLIDE_T)
 
     RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
-    a = SK.read_table(spark, f"{work}/windows")
+    a = AS.read_alerts(spark, f"{work}/windows")
     return a.select("mid", "window_start", "window_end", F.size("uids").cast("bigint").alias("n_uids"),
                     sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
 
 
+def q_stream_alert_documents(spark, sf):
+    """Alert documents at the real setting: 5-minute windows every 5 seconds, one document a device and minute."""
+    work = scratch_path(spark, "stream_alert_docs")
+    events = TB.event_log(spark, sf)
+    src = f"{work}/source"
+
+    def start():
+        alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), delay=ALERT_DELAY_T, every_event=True)
+        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
+                                     landed_events=lambda session: session.read.parquet(src))
+
+    RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
+    return _doc_columns(AS.read_alert_docs(spark, f"{work}/docs"))
+
+
 def q_sale_detail_stream(spark, sf):
     work = scratch_path(spark, "stream_sale")
     orders = TB.load_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
@@ -342,6 +364,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_dau": q_stream_dau,
     "stream_gmv": q_stream_gmv,
     "stream_coupon_alerts": q_stream_coupon_alerts,
+    "stream_alert_documents": q_stream_alert_documents,
     "sale_detail_stream": q_sale_detail_stream,
     "stream_cdc_order_inserts": q_stream_cdc_order_inserts,
 }

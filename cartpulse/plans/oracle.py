@@ -43,9 +43,11 @@ gh AS (
   FROM hourly GROUP BY create_date, create_hour)"""
 
 EVENT_BASE = """ev AS (
-  SELECT event_id, CAST(user_id % 10 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+  SELECT event_id, CAST(user_id // 5 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
          CASE event_type WHEN 'purchase' THEN 'coupon' WHEN 'view' THEN 'clickItem' ELSE event_type END AS evid,
-         json_extract_string(props, '$.k') AS itemid, ts
+         json_extract_string(props, '$.k') AS itemid,
+         date_trunc('day', ts) + to_microseconds((user_id // 5 % 24) * 3600000000
+           + (epoch_us(ts) - epoch_us(date_trunc('day', ts))) // 144) AS ts
   FROM events)"""
 
 def event_log_sql(size_us: int, slide_us: int) -> str:
@@ -71,6 +73,17 @@ alert_ev AS (
   GROUP BY a.mid, a.k)"""
 
 
+def alert_documents_sql(log: str, bucket_us: int) -> str:
+    """One document per device and ``bucket_us`` of window end; the newest window wins."""
+    return f"""WITH {log},
+docs AS (
+  SELECT a.mid || ':' || CAST(epoch_us(a.window_end) // {bucket_us} AS VARCHAR) AS alert_id, a.mid,
+         a.window_end AS ts, a.window_start, a.uids, a.item_ids, e.events
+  FROM alerts a LEFT JOIN alert_ev e ON a.mid = e.mid AND a.k = e.k)
+SELECT alert_id, mid, ts, window_start, uids, item_ids, events FROM (
+  SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC) AS rn FROM docs) WHERE rn = 1"""
+
+
 EVENT_LOG = event_log_sql(ALERT_SIZE_US, ALERT_SLIDE_US)
 
 SALE = """sale AS (
@@ -154,13 +167,7 @@ SELECT dd.day, 'order_amount', '新增交易额', g.amt FROM dd LEFT JOIN g USIN
     "alert_events": f"""WITH {EVENT_LOG}
 SELECT a.mid, a.window_start, a.window_end, e.n_events, e.events
 FROM alerts a JOIN alert_ev e ON a.mid = e.mid AND a.k = e.k""",
-    "alert_upsert": f"""WITH {EVENT_LOG},
-docs AS (
-  SELECT a.mid || ':' || CAST(epoch_us(a.window_end) // 86400000000 AS VARCHAR) AS alert_id, a.mid,
-         a.window_end AS ts, a.window_start, a.uids, a.item_ids, e.events
-  FROM alerts a LEFT JOIN alert_ev e ON a.mid = e.mid AND a.k = e.k)
-SELECT alert_id, mid, ts, window_start, uids, item_ids, events FROM (
-  SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ts DESC) AS rn FROM docs) WHERE rn = 1""",
+    "alert_upsert": alert_documents_sql(EVENT_LOG, 86_400_000_000),
     "sale_detail_wide": f"WITH {SALE} SELECT * FROM sale",
     "sale_detail_search": f"WITH {SEARCH} SELECT * FROM found",
     "sale_detail_page": f"""WITH {SEARCH}
@@ -177,17 +184,15 @@ SELECT province, sum(sku_num) AS quantity, CAST(sum(CAST(order_price AS DECIMAL(
 FROM sale GROUP BY province""",
 }
 
-# Streams: same result as the batch twin on time-ordered input. Alerts are
-# emitted in append mode, i.e. only windows already closed by the watermark
-# (window end <= latest event time - 1 hour) are in the sink.
+# Streams: same result as the batch twin on time-ordered input.
 ORACLE_SQL.update({
     "coupon_alerts_5min": f"""WITH {event_log_sql(5 * 60_000_000, 5_000_000)}
 SELECT mid, window_start, window_end, n_uids, uids, item_ids FROM alerts""",
     "stream_dau": ORACLE_SQL["dau_first"],
     "stream_gmv": ORACLE_SQL["gmv_hours"],
-    "stream_coupon_alerts": f"""WITH {EVENT_LOG}
-SELECT mid, window_start, window_end, n_uids, uids, item_ids FROM alerts
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    "stream_coupon_alerts": ORACLE_SQL["coupon_alerts"],
+    "alert_documents_minute": alert_documents_sql(event_log_sql(5 * 60_000_000, 5_000_000), 60_000_000),
+    "stream_alert_documents": alert_documents_sql(event_log_sql(5 * 60_000_000, 5_000_000), 60_000_000),
     "sale_detail_stream": ORACLE_SQL["sale_detail_wide"],
     "stream_cdc_order_inserts": ORACLE_SQL["cdc_order_inserts"],
 })

@@ -7,9 +7,11 @@ by Catalyst.
 Stand-ins (the test tables are TPC-H-like plus an ``events`` log):
 
 * start-up log: ``events`` with ``mid = uid = user_id``;
-* event log: ``events`` with ``mid = user_id % 10`` (ten shared devices),
-  ``uid = user_id``, ``purchase`` -> ``coupon``, ``view`` -> ``clickItem``,
-  ``itemid = props.k``;
+* event log: ``events`` with ``mid = user_id div 5`` (five accounts share a
+  device, so devices grow with the users), ``uid = user_id``, ``purchase`` ->
+  ``coupon``, ``view`` -> ``clickItem``, ``itemid = props.k``. A device is in
+  use for ten minutes a day: the time of day is shrunk 144-fold and starts at
+  the device's hour, so that accounts meet inside the alert's 5-minute window;
 * order (daily): ``orders`` (``create_time`` = order date at midnight);
 * order (hourly): ``purchase`` events (``total_amount = value``).
 """
@@ -20,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartpulse.constants import EVID_CLICK_ITEM, EVID_COUPON
-from cartpulse.functions.timeparts import wall_clock_text, with_date_hour
+from cartpulse.functions.timeparts import EPOCH_NTZ, floor_div, lit_long, ntz_to_epoch_us, wall_clock_text, with_date_hour
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-EVENT_DEVICES = 10  # event log: users share ten devices
+ACCOUNTS_PER_DEVICE = 5
+DAY_US, HOUR_US = 86_400_000_000, 3_600_000_000
+BURST_SHRINK = 144  # a day's events fall into ten minutes
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -48,16 +52,20 @@ def startup_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour events: (event_id, mid, uid, evid, itemid, ts)."""
+    device = floor_div(F.col("user_id"), ACCOUNTS_PER_DEVICE)
+    us = ntz_to_epoch_us("ts")
+    day = floor_div(us, DAY_US) * lit_long(DAY_US)
+    burst = day + (device % 24) * lit_long(HOUR_US) + floor_div(us - day, BURST_SHRINK)
     ev = load_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
     return ev.select(
         "event_id",
-        (F.col("user_id") % EVENT_DEVICES).cast("string").alias("mid"),
+        device.cast("string").alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
         F.when(F.col("event_type") == "purchase", F.lit(EVID_COUPON))
          .when(F.col("event_type") == "view", F.lit(EVID_CLICK_ITEM))
          .otherwise(F.col("event_type")).alias("evid"),
         F.get_json_object("props", "$.k").alias("itemid"),
-        "ts",
+        F.timestamp_add("MICROSECOND", burst, EPOCH_NTZ()).alias("ts"),
     )
 
 

@@ -1,11 +1,14 @@
 """Streaming coupon alerts on event time.
 
-Sliding windows are aggregated with a watermark in append mode, so each
-window is emitted once, when it can no longer change (an alert is never
-retracted by a later click). Each micro-batch's alerts are then written as
-windows and as alert documents (one per device and bucket; the newest
-window wins when the document log is read), with the windows' event lists
-read from the landed event log when a reader for it is given.
+Sliding windows are aggregated in update mode: the micro-batch that brings a
+window its third account reports it at once, and windows at the end of the log
+need no later event to come out. A window that reached the account count is
+written again whenever it changes, with its click flag, so a later click takes
+the alert back. The windows and the alert documents are append-only logs of
+such versions; :func:`read_alerts` and :func:`read_alert_docs` resolve them
+(newest batch per window, unclicked windows only; per document the newest
+window). The watermark only bounds the state: Spark counts the events it
+refuses in each batch's progress (``numRowsDroppedByWatermark``).
 """
 
 from __future__ import annotations
@@ -19,45 +22,79 @@ from pyspark.sql.streaming import StreamingQuery
 from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_SLIDE, ALERT_WINDOW,
                                  EVID_CLICK_ITEM, EVID_COUPON)
 from cartpulse.functions.timeparts import epoch_bucket, instant_to_ntz, ntz_to_instant
-from cartpulse.streaming.sinks import write_batch
+from cartpulse.operators.alerts import alert_events
+from cartpulse.streaming.sinks import read_table, write_batch
 from cartpulse.session import start_stream
 
+WINDOW_SCHEMA = ("mid string, window_start timestamp_ntz, window_end timestamp_ntz, uids array<string>, "
+                 "item_ids array<string>, clicked boolean, batch_id long")
+DOC_SCHEMA = ("alert_id string, mid string, uids array<string>, item_ids array<string>, events array<string>, "
+              "ts timestamp_ntz, window_start timestamp_ntz, clicked boolean, batch_id long")
+
 
 def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, delay: str = "1 minute",
-                 min_accounts: int = ALERT_MIN_ACCOUNTS) -> DataFrame:
-    """Closed alert windows of an event stream (mid, window_start, window_end, uids, item_ids)."""
+                 min_accounts: int = ALERT_MIN_ACCOUNTS, every_event: bool = False) -> DataFrame:
+    """Windows with enough coupon accounts (mid, window_start, window_end, uids, item_ids, clicked).
+
+    Only coupons and item clicks enter the state. With ``every_event`` all events do, so that
+    any event of a window brings the window out again - needed where event lists are written.
+    """
     is_coupon = F.col("evid") == F.lit(EVID_COUPON)
-    timed = (events.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
-             .withColumn("event_time", ntz_to_instant("ts"))
-             .withWatermark("event_time", delay))
+    relevant = events if every_event else events.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
+    timed = relevant.withColumn("event_time", ntz_to_instant("ts")).withWatermark("event_time", delay)
     agg = (timed.groupBy("mid", F.window("event_time", window, slide).alias("w"))
            .agg(F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
                 F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
-                F.bool_or(F.col("evid") == F.lit(EVID_CLICK_ITEM)).alias("clicked")))
-    return (agg.where((F.size("uids") >= min_accounts) & ~F.coalesce(F.col("clicked"), F.lit(False)))
+                F.coalesce(F.bool_or(F.col("evid") == F.lit(EVID_CLICK_ITEM)), F.lit(False)).alias("clicked")))
+    return (agg.where(F.size("uids") >= min_accounts)
             .select("mid", instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
-                    F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids")))
+                    F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids"), "clicked"))
 
 
 def alert_docs(alerts: DataFrame, bucket_ms: int = ALERT_ID_BUCKET_MS) -> DataFrame:
     events = F.col("events") if "events" in alerts.columns else F.lit(None).cast("array<string>")
     return alerts.select(
         F.concat_ws(":", F.col("mid"), epoch_bucket("window_end", bucket_ms).cast("string")).alias("alert_id"),
-        "mid", "uids", "item_ids", events.alias("events"), F.col("window_end").alias("ts"), "window_start")
+        "mid", "uids", "item_ids", events.alias("events"), F.col("window_end").alias("ts"), "window_start",
+        F.col("clicked") if "clicked" in alerts.columns else F.lit(False).alias("clicked"))
+
+
+def _current(log: DataFrame, keys: list[str]) -> DataFrame:
+    """Newest version per key; keys whose newest version was clicked are gone."""
+    rest = [c for c in log.columns if c not in (*keys, "batch_id")]
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v")).select(*keys, "_v.*")
+    return newest.where(~F.col("clicked")).drop("clicked")
+
+
+def read_alerts(spark: SparkSession, windows_table: str) -> DataFrame:
+    """Alerted windows as of the last batch: (mid, window_start, window_end, uids, item_ids)."""
+    log = read_table(spark, windows_table, WINDOW_SCHEMA)
+    log = spark.createDataFrame([], WINDOW_SCHEMA) if log is None else log
+    return _current(log, ["mid", "window_start", "window_end"])
+
+
+def read_alert_docs(spark: SparkSession, docs_table: str) -> DataFrame:
+    """Alert documents as of the last batch: of each ``alert_id`` the one of the newest alerted window."""
+    log = read_table(spark, docs_table, DOC_SCHEMA)
+    log = spark.createDataFrame([], DOC_SCHEMA) if log is None else log
+    docs = _current(log, ["alert_id", "window_start"])
+    rest = [c for c in docs.columns if c != "alert_id"]
+    return docs.groupBy("alert_id").agg(F.max_by(F.struct(*rest), "ts").alias("_d")).select("alert_id", "_d.*")
 
 
 def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, checkpoint: str,
                        bucket_ms: int = ALERT_ID_BUCKET_MS, trigger: dict | None = None,
                        name: str | None = None, landed_events: Callable[[SparkSession], DataFrame] | None = None,
                        window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> StreamingQuery:
-    """Write each micro-batch's closed alert windows and their alert documents.
+    """Write each micro-batch's changed alert windows and their alert documents.
 
     ``landed_events`` (a reader of the event log as landed so far) adds each
     document's event list: only events inside the batch's windows' time
     range are read (a pushed-down ``ts`` range), then joined on
-    (device, bucket) as in batch.
+    (device, bucket) as in batch. ``alerts`` should then be made with
+    ``every_event``, else a list misses what comes after its window's last
+    coupon or click.
     """
-    from cartpulse.operators.alerts import alert_events
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -75,7 +112,7 @@ def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, c
         finally:
             batch_df.unpersist()
 
-    w = (alerts.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = (alerts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)

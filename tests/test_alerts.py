@@ -110,8 +110,8 @@ def test_two_pass_screen_equals_exhaustive_windows(spark, window, slide):
     from conftest import SF_SMALL
     from pyspark.sql import functions as F
     ev = event_log(spark, SF_SMALL)
-    fast = {tuple(r) for r in AL.coupon_alerts(ev, window, slide).collect()}
+    fast = {str(tuple(r)) for r in AL.coupon_alerts(ev, window, slide).collect()}
     every = AL.alert_windows(ev, window, slide)
-    full = {tuple(r) for r in every.where((F.size("uids") >= 3) & ~F.col("clicked")).select(
+    full = {str(tuple(r)) for r in every.where((F.size("uids") >= 3) & ~F.col("clicked")).select(
         "mid", "window_start", "window_end", F.array_sort("uids"), F.array_sort("item_ids")).collect()}
-    assert fast == full
+    assert fast == full and (fast or window == "7 seconds")

@@ -56,16 +56,54 @@ def test_stream_queries_equal_batch_twins(spark):
         assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, c.select(*cols).collect())), s
 
 
-def test_stream_alerts_are_closed_batch_windows(spark):
+def test_stream_alerts_are_the_batch_alerts(spark):
     import __spark_entry__ as E
     q = E.queries()
-    s = {tuple(r) for r in q["stream_coupon_alerts"](spark, SF_SMALL).collect()}
-    b = {tuple(r) for r in q["coupon_alerts"](spark, SF_SMALL).collect()}
-    assert s <= b
-    from cartpulse.sources.tables import load_table
-    last = load_table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
+    for s, b in (("stream_coupon_alerts", "coupon_alerts"), ("stream_alert_documents", "alert_documents_minute")):
+        streamed, batch = q[s](spark, SF_SMALL), q[b](spark, SF_SMALL)
+        assert batch.count() > 0
+        cols = batch.columns
+        assert sorted(map(tuple, streamed.select(*cols).collect())) == sorted(map(tuple, batch.collect())), s
+
+
+def _alert_run(spark, work, name, batches):
+    """Feeds the batches one by one; returns the alerted windows as read after each."""
+    from cartpulse.streaming import alert_stream as AS
+    from cartpulse.streaming.replay import run_available, stream_reader
+    schema = "event_id long, mid string, uid string, evid string, itemid string, ts timestamp_ntz"
+    out, n = [], 0
+    for rows in batches:
+        spark.createDataFrame([(n + i, *r) for i, r in enumerate(rows)], schema).write.mode("append").parquet(f"{work}/src")
+        n += len(rows)
+        alerts = AS.alert_stream(stream_reader(spark, f"{work}/src", spark.read.parquet(f"{work}/src").schema))
+        run_available(AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/ckpt"))
+        out.append({(r["window_start"], tuple(r["uids"])) for r in AS.read_alerts(spark, f"{work}/windows").collect()})
+    return out
+
+
+def test_newest_burst_alerts_at_once_and_a_late_click_takes_it_back(spark):
+    """Five accounts within five seconds at the end of the log: the batch's windows, without later events."""
     import datetime as dt
-    assert s == {r for r in b if r[2] <= last - dt.timedelta(hours=1)}
+    from cartpulse.operators import alerts as AL
+    from cartpulse.streaming import alert_stream as AS
+    t = dt.datetime(2024, 1, 1, 10, 0, 1)
+    burst = [("m", u, "coupon", "i", t + dt.timedelta(seconds=k)) for k, u in enumerate("abcde")]
+    click = [("m", "z", "clickItem", "i", t + dt.timedelta(seconds=2))]
+    work = scratch_path(spark, "test_burst")
+    after = _alert_run(spark, work, "burst", [burst[:2], burst[2:], click])
+    schema = "event_id long, mid string, uid string, evid string, itemid string, ts timestamp_ntz"
+    batch = lambda rows: {(r["window_start"], tuple(r["uids"])) for r in
+                          AL.coupon_alerts(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema)).collect()}
+    assert after[0] == set() and after[1] == batch(burst) and len(after[1]) == 60
+    assert after[2] == batch(burst + click)
+    docs = AS.read_alert_docs(spark, f"{work}/docs").collect()
+    assert {r["window_start"] for r in docs} <= {w for w, _ in after[2]}
+
+
+def test_alert_tables_without_a_batch_read_as_empty(spark):
+    from cartpulse.streaming import alert_stream as AS
+    work = scratch_path(spark, "test_no_alerts")
+    assert AS.read_alerts(spark, f"{work}/windows").count() == 0 and AS.read_alert_docs(spark, f"{work}/docs").count() == 0
 
 
 def test_alert_docs_log_upserts_last_window(spark):
@@ -77,7 +115,8 @@ def test_alert_docs_log_upserts_last_window(spark):
     w = lambda s, e: ("m", t + dt.timedelta(seconds=s), t + dt.timedelta(seconds=e), ["a"], ["i"])
     SK.write_batch(alert_docs(spark.createDataFrame([w(0, 300), w(5, 305)], schema)), f"{work}/docs", 0)
     SK.write_batch(alert_docs(spark.createDataFrame([w(10, 310)], schema)), f"{work}/docs", 1)
-    got = SK.read_latest(spark, f"{work}/docs", "alert_id", "ts").collect()
+    from cartpulse.streaming.alert_stream import read_alert_docs
+    got = read_alert_docs(spark, f"{work}/docs").collect()
     assert len(got) == 1 and got[0]["ts"] == t + dt.timedelta(seconds=310)
     compacted = SK.compact_latest(spark, f"{work}/docs", "alert_id", "ts", f"{work}/docs_compact").collect()
     assert [r["ts"] for r in compacted] == [got[0]["ts"]]
@@ -214,37 +253,6 @@ def test_processing_time_trigger(spark):
     assert first == DAU.dau_rows(data).count() == read_table(spark, f"{work}/rows").count()
 
 
-def test_stream_alert_documents_carry_event_lists(spark):
-    """Stream documents (closed windows) equal the batch documents of the same windows."""
-    import datetime as dt
-    from cartpulse.operators import alerts as AL
-    from cartpulse.plans import catalog as C
-    from cartpulse.sources.tables import event_log, load_table
-    from cartpulse.streaming import alert_stream as AS
-    from cartpulse.streaming.replay import replay, stream_reader
-    from conftest import SF_ORACLE
-    work = scratch_path(spark, "test_alert_docs")
-    events = event_log(spark, SF_ORACLE)
-    src = f"{work}/src"
-
-    def start():
-        alerts = AS.alert_stream(stream_reader(spark, src, events.schema), C.ALERT_WINDOW_T, C.ALERT_SLIDE_T, "1 hour")
-        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/ckpt", C.ALERT_BUCKET_MS_T,
-                                     landed_events=lambda s: s.read.parquet(src),
-                                     window=C.ALERT_WINDOW_T, slide=C.ALERT_SLIDE_T)
-
-    replay([(events, "ts", src, "parquet")], 3, start)
-    streamed = {r["alert_id"]: (r["ts"], r["events"]) for r in
-                SK.read_latest(spark, f"{work}/docs", "alert_id", "ts").collect()}
-    last = load_table(spark, SF_ORACLE, "events").agg(F.max("ts")).first()[0]
-    closed = AL.coupon_alerts(events, C.ALERT_WINDOW_T, C.ALERT_SLIDE_T).where(
-        F.col("window_end") <= F.lit((last - dt.timedelta(hours=1)).isoformat(sep=" ")).cast("timestamp_ntz"))
-    batch = AL.alert_documents(AL.alert_events(events, closed, C.ALERT_WINDOW_T, C.ALERT_SLIDE_T),
-                               bucket_ms=C.ALERT_BUCKET_MS_T)
-    expected = {r["alert_id"]: (r["ts"], r["events"]) for r in batch.collect()}
-    assert expected and streamed == expected and all(e for _, e in expected.values())
-
-
 def test_orders_without_id_are_all_kept(spark):
     from cartpulse.operators import gmv as GMV
     from cartpulse.streaming import gmv_stream as GS

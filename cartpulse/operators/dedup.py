@@ -38,22 +38,15 @@ def filter_seen(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataF
     return _null_safe_join(batch, seen, list(keys), "left_anti")
 
 
-def filter_seen_bounded(batch: DataFrame, seen: DataFrame, keys: Sequence[str],
-                        max_keys: int = 2_000_000, n_keys: int | None = None) -> DataFrame:
-    """Same result as :func:`filter_seen`, cheaper for a small micro-batch.
-
-    When the batch has at most ``max_keys`` distinct keys (checked, not
-    assumed), those keys are broadcast into a semi join over the seen set:
-    only matching seen rows are kept and the large seen set is scanned but
-    never shuffled. A bigger batch takes the plain shuffle anti join.
-    Callers should persist ``batch`` (it is read more than once); ``n_keys``
-    is the batch's distinct key count when the caller already knows it.
+def filter_seen_by_batch(batch: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Same result as :func:`filter_seen` for a batch with one row per key.
+
+    The seen rows are first cut to the batch's keys by a semi join, then
+    anti-joined. No hint and no row count: the planner broadcasts the batch's
+    keys when their measured bytes allow it - persist and fill ``batch`` before,
+    its cache then carries exact sizes - so the large seen set is scanned but
+    not shuffled; otherwise both are shuffled.
     """
-    from cartpulse.operators.joins import has_at_most
     keys = list(keys)
-    batch_keys = batch.select(*keys).distinct()
-    small = n_keys <= max_keys if n_keys is not None else has_at_most(batch_keys, max_keys)
-    if not small:
-        return filter_seen(batch, seen, keys)
-    hits = _null_safe_join(seen.select(*keys), F.broadcast(batch_keys), keys, "left_semi")
+    hits = _null_safe_join(seen.select(*keys), batch.select(*keys), keys, "left_semi")
     return _null_safe_join(batch, hits, keys, "left_anti")

@@ -11,38 +11,54 @@ from pyspark.sql import functions as F
 
 from cartpulse.constants import AGE_BAND_EDGES, AGE_BAND_LABELS, PROVINCE_CLASS_MAX, PROVINCE_CLASS_WIDTH
 from cartpulse.functions.money import money_sum
-from cartpulse.operators.joins import broadcast_if_small
-
-NATION_ROWS_BOUND = 10_000  # nations/provinces: a fixed, small dimension
 
 SALE_COLUMNS = ["order_detail_id", "order_id", "user_id", "sku_id", "user_segment", "user_age",
                 "sku_price", "sku_name", "sku_tm_id", "sku_num", "order_price", "province", "dt"]
 
 
+CUSTOMER_COLUMNS = {"user_segment", "province"}
+PART_COLUMNS = {"user_age", "sku_price", "sku_name", "sku_tm_id"}
+
+
 def sale_detail(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, part: DataFrame,
-                nation: DataFrame, date: str | None = None, keyword: str | None = None) -> DataFrame:
+                nation: DataFrame, date: str | None = None, keyword: str | None = None,
+                columns: list[str] | None = None) -> DataFrame:
     """Wide sale-detail rows; optional day and keyword filters are applied before the joins.
 
     Each input is projected to its used columns first (narrow shuffles). The
-    fact-to-fact join (lines x orders on the order key) and the customer and
-    part lookups are shuffle joins unless AQE measures a side small enough to
-    broadcast; only the nation table, whose size is checked, is hinted.
+    fact-to-fact join (lines x orders on the order key) and the dimension
+    lookups are shuffle joins unless the planner or AQE measures a side small
+    enough to broadcast; nothing is hinted. A line whose customer, product or
+    nation row is missing keeps its place with NULL attributes (a keyword
+    needs the product's name, so it drops such lines).
+
+    ``columns`` names the result's columns; a dimension none of them (nor the
+    keyword) needs is not joined, as its key is unique and its join adds no row.
     """
+    wanted = set(columns or SALE_COLUMNS)
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"))
     if date is not None:
         o = o.where(F.col("dt") == F.lit(date).cast("date"))
     # orders x customers first: the wide line side is then shuffled twice
     # (by order key, by part key) instead of three times.
-    oc = attach_customer(o, customer, nation)
+    oc = attach_customer(o, customer, nation) if wanted & CUSTOMER_COLUMNS else o
     lines = li.join(oc, li.l_orderkey == oc.o_orderkey)
-    return _project(attach_part(lines, part, keyword))
+    return _project(attach_part(lines, part, keyword) if keyword or wanted & PART_COLUMNS else lines, columns)
+
+
+def unmatched_lines(detail: DataFrame) -> DataFrame:
+    """How many sale rows found no customer, no product, no province: one row of counts."""
+    return detail.agg(F.count_if(F.col("user_segment").isNull()).alias("no_customer"),
+                      F.count_if(F.col("sku_name").isNull()).alias("no_product"),
+                      F.count_if(F.col("province").isNull()).alias("no_province"),
+                      F.count("*").alias("n"))
 
 
 def attach_customer(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = broadcast_if_small(nation.select("n_nationkey", "n_name"), NATION_ROWS_BOUND)
-    return (orders.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    n = nation.select("n_nationkey", "n_name")
+    return (orders.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
                   .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
 
@@ -50,7 +66,7 @@ def attach_part(lines: DataFrame, part: DataFrame, keyword: str | None = None) -
     p = part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
     if keyword:
         p = p.where(F.lower("p_name").contains(keyword.lower()))
-    return lines.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.join(p, F.col("l_partkey") == F.col("p_partkey"), "inner" if keyword else "left")
 
 
 def widen_lines(lines: DataFrame, customer: DataFrame, part: DataFrame, nation: DataFrame,
@@ -59,8 +75,8 @@ def widen_lines(lines: DataFrame, customer: DataFrame, part: DataFrame, nation:
     return _project(attach_part(attach_customer(lines, customer, nation), part, keyword))
 
 
-def _project(wide: DataFrame) -> DataFrame:
-    return wide.select(
+def _project(wide: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    exprs = [
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_detail_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
@@ -73,8 +89,10 @@ def _project(wide: DataFrame) -> DataFrame:
         F.col("l_quantity").alias("sku_num"),
         F.col("l_extendedprice").alias("order_price"),
         F.col("n_name").alias("province"),
-        "dt",
-    )
+        F.col("dt"),
+    ]
+    named = dict(zip(SALE_COLUMNS, exprs))
+    return wide.select(*[named[c] for c in columns or SALE_COLUMNS])
 
 
 def search(detail: DataFrame, date: str | None = None, keyword: str | None = None) -> DataFrame:
@@ -100,6 +118,29 @@ def page(detail: DataFrame, start: int, length: int, order: tuple[str, ...] = ("
     return rows
 
 
+def sale_page(matched: DataFrame, start: int, length: int) -> DataFrame:
+    """The whole sale page as one row: ``total``, the page's rows ``detail``, and of all matched rows
+    the counts per user segment and per age band with their shares (``segments``, ``age_bands``).
+
+    ``matched`` is read twice - give it stored. Nothing matched: total 0 and empty arrays.
+    """
+    counts = (matched.groupBy("user_segment", age_band(F.col("user_age")).alias("age_band"))
+              .agg(F.count("*").alias("n")))  # segments x bands rows
+    order = ("order_id", "order_detail_id")
+    rows = page(matched, start, length, order, with_total=False)
+    rest = [c for c in rows.columns if c not in order]
+    detail = rows.agg(F.array_sort(F.collect_list(F.struct(*order, *rest)))).scalar()
+
+    def shares(key):
+        per_key = counts.groupBy(key).agg(F.sum("n").alias("n"))
+        with_share = _shares(per_key)
+        return with_share.agg(F.array_sort(F.collect_list(F.struct(key, "n", "share")))).scalar()
+
+    return (counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+            .select("total", detail.alias("detail"), shares("user_segment").alias("segments"),
+                    shares("age_band").alias("age_bands")))
+
+
 def page_number(start: int, length: int) -> int:
     """1-based page number of a row offset."""
     return start // length + 1

@@ -42,6 +42,9 @@ BATCH_MS_T = 3_600_000
 SEARCH_KEYWORD_T = "ring"
 PAGE_START_T = 20
 PAGE_LENGTH_T = 20
+DAY_T, DAY_BEFORE_T = "2024-01-15", "2024-01-14"  # events: the dashboard's date
+SALE_DAY_T = "1997-09-21"  # orders: the sale page's date
+PROVINCE_WIDTH_T, PROVINCE_TOP_T = 1000, 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,9 +201,9 @@ def _tables(spark, sf, *names):
     return [TB.load_table(spark, sf, n) for n in names]
 
 
-def _sale(spark, sf, date=None, keyword=None):
+def _sale(spark, sf, date=None, keyword=None, columns=None):
     return SALES.sale_detail(*_tables(spark, sf, "lineitem", "orders", "customer", "part", "nation"),
-                             date=date, keyword=keyword)
+                             date=date, keyword=keyword, columns=columns)
 
 
 def q_sale_detail_wide(spark, sf):
@@ -216,15 +219,79 @@ def q_sale_detail_page(spark, sf):
 
 
 def q_sale_share_segment(spark, sf):
-    return SALES.share_by_segment(_sale(spark, sf))
+    return SALES.share_by_segment(_sale(spark, sf, columns=["user_segment"]))
 
 
 def q_sale_share_band(spark, sf):
-    return SALES.share_by_age_band(_sale(spark, sf))
+    return SALES.share_by_age_band(_sale(spark, sf, columns=["user_age"]))
 
 
 def q_sales_by_province(spark, sf):
-    return SALES.sales_by_province(_sale(spark, sf))
+    return SALES.sales_by_province(_sale(spark, sf, columns=["province", "sku_num", "order_price"]))
+
+
+def q_sales_by_province_scaled(spark, sf):
+    """The map's classes with a width that tells the provinces of the test tables apart."""
+    detail = _sale(spark, sf, columns=["province", "sku_num", "order_price"])
+    return SALES.sales_by_province(detail, PROVINCE_WIDTH_T, PROVINCE_TOP_T)
+
+
+def q_sale_detail_day(spark, sf):
+    return _sale(spark, sf, SALE_DAY_T, SEARCH_KEYWORD_T)
+
+
+def q_sale_detail_page_full(spark, sf):
+    """The sale page in one row: total, page, shares of the matched rows; the matches are joined once and stored."""
+    path = f"{scratch_path(spark, 'sale_page')}/matched"
+    _sale(spark, sf, keyword=SEARCH_KEYWORD_T).write.parquet(path)
+    page = SALES.sale_page(spark.read.parquet(path), PAGE_START_T, PAGE_LENGTH_T)
+
+    def text(array, key):
+        one = lambda x: F.concat_ws(":", F.coalesce(x[key], F.lit("")), x["n"], F.round(x["share"], 6))
+        return F.array_join(F.transform(array, one), ",")
+
+    return page.select("total", F.array_join(F.transform("detail", lambda x: x["order_detail_id"]), ",").alias("page"),
+                       text("segments", "user_segment").alias("segments"), text("age_bands", "age_band").alias("age_bands"))
+
+
+# ---------------------------------------------------------------- one date, as the dashboard asks
+
+def q_dau_total_day(spark, sf):
+    return DAU.dau_total(DAU.dau_rows(TB.startup_log(spark, sf, [DAY_T]).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER)))
+
+
+def q_dau_hours_day(spark, sf):
+    rows = TB.startup_log(spark, sf, [DAY_T]).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *ROLLUP)
+    return DAU.dau_hours(DAU.dau_rows(rows), DAY_T)
+
+
+def q_gmv_total_day(spark, sf):
+    return GMV.gmv_total(GMV.order_facts(TB.daily_orders(spark, sf, [SALE_DAY_T])), SALE_DAY_T)
+
+
+def q_gmv_hours_day(spark, sf):
+    return GMV.gmv_hours(GMV.order_facts(TB.hourly_orders(spark, sf, [DAY_T])), DAY_T)
+
+
+def _realtime_hours_day(spark, sf, metric):
+    days = [DAY_T, DAY_BEFORE_T]
+    rows = TB.startup_log(spark, sf, days).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *ROLLUP)
+    return DASH.realtime_hours_for(metric, DAU.dau_hours(DAU.dau_rows(rows)),
+                                   GMV.gmv_hours(GMV.order_facts(TB.hourly_orders(spark, sf, days))), DAY_T)
+
+
+def q_realtime_hours_dau_day(spark, sf):
+    return _realtime_hours_day(spark, sf, "dau")
+
+
+def q_realtime_hours_gmv_day(spark, sf):
+    return _realtime_hours_day(spark, sf, "order_amount")
+
+
+def q_realtime_total_day(spark, sf):
+    # new devices need the device history up to the date
+    gmv = GMV.gmv_total(GMV.order_facts(TB.hourly_orders(spark, sf, [DAY_T])), DAY_T)
+    return DASH.realtime_total(DAU.dau_and_new_devices(_dau(spark, sf, ())), None, gmv, DAY_T)
 
 
 BATCH_QUERIES: dict[str, Query] = {
@@ -257,6 +324,16 @@ BATCH_QUERIES: dict[str, Query] = {
     "sale_share_segment": q_sale_share_segment,
     "sale_share_band": q_sale_share_band,
     "sales_by_province": q_sales_by_province,
+    "sales_by_province_scaled": q_sales_by_province_scaled,
+    "sale_detail_day": q_sale_detail_day,
+    "sale_detail_page_full": q_sale_detail_page_full,
+    "dau_total_day": q_dau_total_day,
+    "dau_hours_day": q_dau_hours_day,
+    "gmv_total_day": q_gmv_total_day,
+    "gmv_hours_day": q_gmv_hours_day,
+    "realtime_hours_dau_day": q_realtime_hours_dau_day,
+    "realtime_hours_gmv_day": q_realtime_hours_gmv_day,
+    "realtime_total_day": q_realtime_total_day,
 }
 
 # ---------------------------------------------------------------- streams

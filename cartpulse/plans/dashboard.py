@@ -9,6 +9,8 @@ in the same aggregation - no self join; missing hours are filled from a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,23 +88,26 @@ def realtime_total(dau_per_day: DataFrame, new_per_day: DataFrame | None, gmv_pe
     ``dau_per_day``: (log_date, dau) or (log_date, dau, new_mid) with
     ``new_per_day`` None; ``new_per_day``: (log_date, new_mid);
     ``gmv_per_day``: (create_date, order_amount). A day without orders has a
-    NULL amount; a day without devices has 0 active and 0 new devices.
+    NULL amount; a day without devices has 0 active and 0 new devices. The
+    inputs are merged by one aggregation over their days, without a join.
     """
     combined = new_per_day is None
-    dau = dau_per_day.select(F.col("log_date").alias("day"), "dau", *(["new_mid"] if combined else []))
-    nm = None if combined else new_per_day.select(F.col("log_date").alias("day"), "new_mid")
-    gmv = gmv_per_day.select(F.col("create_date").alias("day"), "order_amount")
+    none = F.lit(None)
+
+    def part(df, day, dau=none, new_mid=none, amount=none):
+        return df.select(F.col(day).alias("day"), dau.cast("bigint").alias("dau"), new_mid.cast("bigint").alias("new_mid"),
+                         amount.cast("double").alias("order_amount"))
+
+    parts = [part(dau_per_day, "log_date", F.col("dau"), F.col("new_mid") if combined else none),
+             part(gmv_per_day.where("create_date is not null"), "create_date", amount=F.col("order_amount"))]
+    if not combined:
+        parts.append(part(new_per_day, "log_date", new_mid=F.col("new_mid")))
     if date is not None:
         d = F.lit(date).cast("date")
-        days = dau_per_day.sparkSession.range(1).select(d.alias("day"))
-        dau, gmv = dau.where(F.col("day") == d), gmv.where(F.col("day") == d)
-        nm = None if nm is None else nm.where(F.col("day") == d)
-        wide = days.join(dau, "day", "left")
-    else:
-        wide = dau.join(gmv.where("day is not null").select("day"), "day", "full")
-    if nm is not None:
-        wide = wide.join(nm, "day", "left")
-    wide = wide.join(gmv, "day", "left")
+        # the asked-for day always gets its rows
+        parts = [p.where(F.col("day") == d) for p in parts] + [part(dau_per_day.sparkSession.range(1).select(d.alias("day")), "day")]
+    wide = (reduce(DataFrame.unionByName, parts).groupBy("day")
+            .agg(F.max("dau").alias("dau"), F.max("new_mid").alias("new_mid"), F.max("order_amount").alias("order_amount")))
 
     def kpi(pair, v):
         return F.struct(F.lit(pair[0]).alias("id"), F.lit(pair[1]).alias("name"), v.cast("double").alias("value"))

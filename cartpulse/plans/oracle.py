@@ -93,8 +93,8 @@ SALE = """sale AS (
          l_quantity AS sku_num, l_extendedprice AS order_price, n_name AS province, CAST(o_orderdate AS DATE) AS dt
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN part ON l_partkey = p_partkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 SEARCH = SALE + """,
@@ -196,3 +196,31 @@ SELECT mid, window_start, window_end, n_uids, uids, item_ids FROM alerts""",
     "sale_detail_stream": ORACLE_SQL["sale_detail_wide"],
     "stream_cdc_order_inserts": ORACLE_SQL["cdc_order_inserts"],
 })
+
+
+def _on(query: str, column: str, date: str) -> str:
+    return f"SELECT * FROM ({ORACLE_SQL[query]}) WHERE {column} = DATE '{date}'"
+
+
+ORACLE_SQL.update({
+    "sales_by_province_scaled": ORACLE_SQL["sales_by_province"].replace("sum(sku_num) / 100), 5)", "sum(sku_num) / 1000), 999)"),
+    "sale_detail_day": f"""WITH {SALE}
+SELECT * FROM sale WHERE dt = DATE '1997-09-21' AND contains(lower(sku_name), 'ring')""",
+    "sale_detail_page_full": f"""WITH {SEARCH},
+banded AS (SELECT *, CASE WHEN user_age IS NULL THEN NULL WHEN user_age < 20 THEN '20岁以下'
+                          WHEN user_age < 30 THEN '20-30岁' ELSE '30岁以上' END AS age_band FROM found),
+seg AS (SELECT user_segment AS k, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM banded GROUP BY 1),
+band AS (SELECT age_band AS k, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM banded GROUP BY 1),
+paged AS (SELECT * FROM found ORDER BY order_id, order_detail_id LIMIT 20 OFFSET 20)
+SELECT (SELECT count(*) FROM found) AS total,
+       (SELECT string_agg(order_detail_id, ',' ORDER BY order_id, order_detail_id) FROM paged) AS page,
+       (SELECT string_agg(concat_ws(':', coalesce(k, ''), n, share), ',' ORDER BY k NULLS FIRST) FROM seg) AS segments,
+       (SELECT string_agg(concat_ws(':', coalesce(k, ''), n, share), ',' ORDER BY k NULLS FIRST) FROM band) AS age_bands""",
+    "dau_total_day": _on("dau_total", "log_date", "2024-01-15"),
+    "dau_hours_day": _on("dau_hours", "log_date", "2024-01-15"),
+    "gmv_total_day": _on("gmv_total", "create_date", "1997-09-21"),
+    "gmv_hours_day": _on("gmv_hours", "create_date", "2024-01-15"),
+    "realtime_hours_dau_day": _on("realtime_hours_dau", "day", "2024-01-15"),
+    "realtime_hours_gmv_day": _on("realtime_hours_gmv", "day", "2024-01-15"),
+    "realtime_total_day": _on("realtime_total", "day", "2024-01-15"),
+})

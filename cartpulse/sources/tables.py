@@ -18,6 +18,10 @@ Stand-ins (the test tables are TPC-H-like plus an ``events`` log):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,9 +41,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def startup_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def startup_log(spark: SparkSession, sf_dir: str, dates: Sequence[str] | None = None) -> DataFrame:
     """Start-up records: (event_id, mid, uid, type, ts, log_date, log_hour)."""
-    ev = load_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    ev = on_days(load_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]), "ts", dates)
     df = ev.select(
         "event_id",
         F.col("user_id").cast("string").alias("mid"),
@@ -69,10 +73,19 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def on_days(df: DataFrame, ts: str, dates: Sequence[str] | None) -> DataFrame:
+    """Rows whose ``ts`` lies on one of the dates (None: all), as time ranges that reach the scan."""
+    if dates is None:
+        return df
+    start = [F.lit(d).cast("date") for d in dates]
+    ranges = [(F.col(ts) >= d.cast("timestamp_ntz")) & (F.col(ts) < F.date_add(d, 1).cast("timestamp_ntz")) for d in start]
+    return df.where(reduce(or_, ranges, F.lit(False)))
+
+
+def daily_orders(spark: SparkSession, sf_dir: str, dates: Sequence[str] | None = None) -> DataFrame:
     """Order rows from ``orders``: (id, user_id, order_status, total_amount, create_time)."""
-    o = load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                             "o_orderdate"])
+    o = on_days(load_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                     "o_orderdate"]), "o_orderdate", dates)
     return o.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.col("o_custkey").cast("string").alias("user_id"),
@@ -82,9 +95,9 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hourly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_orders(spark: SparkSession, sf_dir: str, dates: Sequence[str] | None = None) -> DataFrame:
     """Order rows from ``purchase`` events: (id, user_id, total_amount, create_time)."""
-    ev = load_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    ev = on_days(load_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"]), "ts", dates)
     return ev.where(F.col("event_type") == "purchase").select(
         F.col("event_id").cast("string").alias("id"),
         F.col("user_id").cast("string").alias("user_id"),

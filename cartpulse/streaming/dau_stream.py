@@ -4,10 +4,10 @@ Per micro-batch (``foreachBatch``):
 
 1. in-batch dedup: smallest (ts, event_id) per (mid, log_date);
 2. cross-batch dedup: drop keys already stored by an earlier batch. The
-   stored device rows are the state; the micro-batch's keys are broadcast
-   into a semi join over the stored rows when their count is within a
-   checked bound (else a shuffle anti join), so the state is scanned with
-   pruning but never shuffled;
+   stored device rows are the state; they are cut to the micro-batch's keys
+   by a semi join, in which the planner broadcasts the keys when their
+   measured bytes allow it, so the state is then scanned with pruning but
+   not shuffled;
 3. write the new rows under ``log_date=<d>/batch_id=<n>`` (replaced if the
    batch is replayed, and excluded from step 2 then, so a replay changes
    nothing). Step 2 lists and reads only the folders of the batch's dates.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER
-from cartpulse.operators.dedup import filter_seen_bounded, first_per_key
+from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.session import start_stream
 from cartpulse.streaming.sinks import read_dated, write_batch, write_dated_batch
 
@@ -34,16 +34,15 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
         spark = batch_df.sparkSession
         seen_in, kept_out = Observation(f"in_{batch_id}"), Observation(f"out_{batch_id}")
         src = batch_df.observe(seen_in, F.count(F.lit(1)).alias("n"))
-        # the deduplicated batch is used twice (its keys are broadcast, its rows anti-joined)
+        # the deduplicated batch is used twice (its keys cut the stored rows, its rows are anti-joined)
         firsts = first_per_key(src, keys, order).persist()
         try:
-            # one small job: the micro-batch's dates (a handful) and its key count
-            per_date = firsts.groupBy("log_date").count().collect()
-            dates, n_keys = [r[0] for r in per_date], sum(r[1] for r in per_date)
+            # one small job: fills the cache and brings the micro-batch's dates (a handful)
+            dates = [r[0] for r in firsts.groupBy("log_date").count().collect()]
             stored = read_dated(spark, rows_table, "log_date", dates)
             new = firsts
             if stored is not None:
-                new = filter_seen_bounded(firsts, stored.where(F.col("batch_id") != batch_id), keys, n_keys=n_keys)
+                new = filter_seen_by_batch(firsts, stored.where(F.col("batch_id") != batch_id), keys)
             write_dated_batch(new.observe(kept_out, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
         finally:
             firsts.unpersist()

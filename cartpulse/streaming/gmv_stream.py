@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.money import money_sum
-from cartpulse.operators.dedup import first_per_key
+from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.schemas import CORRUPT_COL
 from cartpulse.session import start_stream
 from cartpulse.sources.json_logs import parse_orders
@@ -22,24 +22,21 @@ def order_batch_writer(order_table: str):
 
     In the batch, the first copy per id is kept (partial aggregation); across
     batches, ids already stored under the batch's dates are dropped by the
-    bounded anti join used for devices. Unparseable messages and orders
+    anti join used for devices. Unparseable messages and orders
     without an id are stored as they are (never merged). The table then needs no dedup when read.
     """
-    from cartpulse.operators.dedup import filter_seen_bounded
-
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         single = F.col(CORRUPT_COL).isNotNull() | F.col("id").isNull()  # no id to merge by: stored one by one
         valid = batch_df.where(~single)
         firsts = first_per_key(valid, ORDER_KEYS, ["create_time", "total_amount", "user_id"]).persist()
         try:
-            per_date = firsts.groupBy("create_date").count().collect()
-            dates, n_keys = [r[0] for r in per_date], sum(r[1] for r in per_date)
+            dates = [r[0] for r in firsts.groupBy("create_date").count().collect()]
             stored = read_dated(spark, order_table, "create_date", dates)
             new = firsts
             if stored is not None:
                 seen = stored.where((F.col("batch_id") != batch_id) & F.col(CORRUPT_COL).isNull() & F.col("id").isNotNull())
-                new = filter_seen_bounded(firsts, seen, ORDER_KEYS, n_keys=n_keys)
+                new = filter_seen_by_batch(firsts, seen, ORDER_KEYS)
             rows = new.unionByName(batch_df.where(single))
             write_dated_batch(rows, order_table, batch_id, "create_date")
         finally:

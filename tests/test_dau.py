@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cartpulse.functions.timeparts import with_date_hour
 from cartpulse.operators import dau as DAU
-from cartpulse.operators.dedup import filter_seen, filter_seen_bounded
+from cartpulse.operators.dedup import filter_seen, filter_seen_by_batch
 from conftest import ts
 
 SCHEMA = "event_id long, mid string, uid string, type string, ts timestamp_ntz"
@@ -46,7 +46,7 @@ def test_filter_seen_variants_agree(spark):
     seen = startup(spark, [(9, "a", "u", "s", ts("2024-01-02 00:00:00")), (8, "c", "u", "s", ts("2024-01-02 00:00:00"))])
     keys = ["mid", "log_date"]
     a = {r["event_id"] for r in filter_seen(batch, seen, keys).collect()}
-    b = {r["event_id"] for r in filter_seen_bounded(batch, seen, keys).collect()}
+    b = {r["event_id"] for r in filter_seen_by_batch(batch, seen, keys).collect()}
     # "c" was seen on the 2nd only: its late row of the 1st is kept (keyed by the row's own date)
     assert a == b == {2, 3}
 

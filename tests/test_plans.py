@@ -50,7 +50,7 @@ def test_sale_detail_shuffles_lines_twice(spark, no_broadcast):
     p = plan(E.queries()["sale_detail_wide"](spark, SF_SMALL))
     assert "Exchange hashpartitioning(l_partkey" in p and "Exchange hashpartitioning(l_orderkey" in p
     assert "Exchange hashpartitioning(o_custkey" in p
-    assert p.count("Exchange hashpartitioning") == 6  # lines x2, orders x2, customer, part
+    assert p.count("Exchange hashpartitioning") == 8  # lines x2, orders x3, customer, part, nation
 
 
 def test_keyword_filter_reaches_the_part_scan(spark):
@@ -73,9 +73,15 @@ def test_page_is_a_top_k_not_a_global_sort(spark):
     assert "TakeOrderedAndProject" in p and "rangepartitioning" not in p
 
 
-def test_nation_broadcast_is_size_checked(spark):
-    from cartpulse.operators.joins import broadcast_if_small, has_at_most
-    from cartpulse.sources.tables import load_table
-    n = load_table(spark, SF_SMALL, "nation")
-    assert has_at_most(n, 25) and not has_at_most(n, 24)
-    assert broadcast_if_small(n, 24) is n  # over the bound: no hint, the planner decides
+def test_shares_join_only_the_tables_they_need(spark, no_broadcast):
+    scans = lambda name: {t for t in ("lineitem", "orders", "customer", "part", "nation")
+                          if f"{t}.parquet" in plan(E.queries()[name](spark, SF_SMALL))}
+    assert scans("sale_share_segment") == {"lineitem", "orders", "customer", "nation"}
+    assert scans("sales_by_province") == {"lineitem", "orders", "customer", "nation"}
+    assert scans("sale_share_band") == {"lineitem", "orders", "part"}
+
+
+@pytest.mark.parametrize("name,column", [("dau_total_day", "ts"), ("gmv_total_day", "o_orderdate"), ("gmv_hours_day", "ts")])
+def test_a_date_reaches_the_scan(spark, name, column):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert f"GreaterThanOrEqual({column}" in p and f"LessThan({column}" in p, p

@@ -55,3 +55,31 @@ def test_province_classes(spark):
                                "province string, sku_num double, order_price double")
     got = {r["province"]: r["color_class"] for r in SALES.sales_by_province(df).collect()}
     assert got == {"a": 0, "b": 2, "c": 5}
+
+
+def test_lines_without_dimension_rows_are_kept(spark):
+    from cartpulse.sources.tables import load_table
+    t = {n: load_table(spark, SF_SMALL, n) for n in ("lineitem", "orders", "customer", "part", "nation")}
+    t["part"] = t["part"].where("p_partkey % 2 = 0")
+    t["customer"] = t["customer"].where("c_custkey % 3 > 0")
+    d = SALES.sale_detail(*t.values())
+    counts = SALES.unmatched_lines(d).first()
+    assert counts["n"] == t["lineitem"].count() and counts["no_product"] > 0 and counts["no_customer"] > 0
+
+
+def test_columns_skip_joins_without_changing_rows(spark):
+    full, few = detail(spark), detail(spark, columns=["user_segment", "order_id"])
+    assert few.columns == ["user_segment", "order_id"]
+    assert sorted(map(str, few.collect())) == sorted(map(str, full.select(*few.columns).collect()))
+
+
+def test_sale_page_of_nothing_is_one_empty_row(spark):
+    got = SALES.sale_page(detail(spark).where("false"), 0, 10).collect()
+    assert [tuple(r) for r in got] == [(0, [], [], [])]
+
+
+def test_sale_page_shares_are_of_the_matched_rows(spark):
+    d = detail(spark, keyword="ring")
+    r = SALES.sale_page(d, 10, 5).first()
+    assert r["total"] == d.count() == sum(x["n"] for x in r["segments"]) == sum(x["n"] for x in r["age_bands"])
+    assert [x["order_detail_id"] for x in r["detail"]] == [x["order_detail_id"] for x in SALES.page(d, 10, 5).collect()]

@@ -39,8 +39,7 @@ SECTION, SECTION_BYTES = "<cQ", 9
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 GROUP_IDS = 4096 * BLOCK
-CACHE_WORDS = 150_000   # words of one generation; the one before is kept beside it
-CACHE_PIECES = 300_000  # likewise for the pieces words are cut into, which many words share
+CACHE_WORDS = 250_000  # words of one generation; the one before is kept beside it
 PLAIN = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # no "<" or ">": special tokens take the whole tokenizer
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 MARKS = "!#$%&()*+,-./:;=?|"  # no quote, which may begin a piece of letters
@@ -65,17 +64,10 @@ class WordCache(dict):
         super().__init__()
         self.tokenizer, self.model, self.letters, self.pieces = tokenizer, tokenizer.model, _byte_letters(), {}
         self.before: dict[bytes, bytes] = {}
-        self.pieces_before: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            found = self.pieces_before.get(piece)
-            if len(self.pieces) >= CACHE_PIECES:
-                self.pieces_before, self.pieces = self.pieces, {}
-            if found is not None:
-                self.pieces[piece] = found
-                return found
             letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.model.tokenize(letters)]
             found = self.pieces[piece] = struct.pack(FORMATS[len(ids)] if len(ids) < 16 else f"<{len(ids)}I", *ids)
@@ -98,6 +90,7 @@ class WordCache(dict):
         if len(self) >= CACHE_WORDS:
             self.before = dict(self)
             self.clear()
+            self.pieces = {}
         self[word] = found
         return found
 

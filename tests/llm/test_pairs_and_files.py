@@ -2,6 +2,7 @@
 
 import io
 import itertools
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -302,3 +303,29 @@ def test_packing_odd_rows(spark):
     assert sorted(r.n_tokens for r in rows) == [1, 1, 1, 1, 5, 5, 5, 5, 30_001]
     empty = packing.pack(frame(spark, []))
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_tokens", "bucket", "padded_len", "batch", "slot"]
+
+
+def least_padding(hist, buckets):
+    """Least total padding by the plain quadratic recurrence over the exact lengths."""
+    lengths = sorted(hist)
+    best = [0] + [math.inf] * len(lengths)
+    for _ in range(buckets):
+        best = [0] + [min(best[i] + sum(hist[x] * (lengths[j - 1] - x) for x in lengths[i:j]) for i in range(j)) for j in range(1, len(lengths) + 1)]
+    return best[-1]
+
+
+def test_bounds_are_exact_over_512_tokens(spark):
+    """Long lengths a few words apart are told apart: the one of 4007 tokens goes with those of 5000, not with those of 4000."""
+    hist = {3: 5, 4000: 200, 4007: 1, 5000: 200, 5007: 1, 6000: 200, 6007: 1}
+    rows = packing.pack(frame(spark, list(enumerate("w " * (x - 1) for x, n in hist.items() for _ in range(n)))), buckets=4).collect()
+    assert Counter(r.n_tokens for r in rows) == hist
+    assert sum(r.padded_len - r.n_tokens for r in rows) == least_padding(hist, 4)
+
+
+def test_bounds_of_many_long_lengths():
+    rnd = np.random.default_rng(5)
+    hist = {int(x): int(n) for x, n in zip(rnd.choice(40_000, 70, replace=False) + 500, rnd.integers(1, 4_000, 70))}
+    lengths = np.array(sorted(hist))
+    n = np.array([hist[x] for x in lengths.tolist()])
+    bounds = packing.bucket_bounds(lengths, n, n * lengths, 9)
+    assert len(bounds) == 9 and sum(c * (min(b for b in bounds if b >= x) - x) for x, c in hist.items()) == least_padding(hist, 9)

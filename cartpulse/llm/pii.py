@@ -10,10 +10,12 @@ and the four kinds.
 *Unary potentials* are a maximum-entropy model over shape features (digit count,
 Luhn check, signs, dots, letters, the shape of the neighbours).
 *Chain edges* join neighbouring variables, *skip edges* each token with the next
-token of the same key (same digits for seven or more, same address): a
-group of k repeats has k-1 edges, never all pairs, and labels spread along them.
+token of the same key (same digits for seven or more, same address) or, where one of
+them lies in a known span, with that one: a group of k repeats has k-1 edges, never
+all pairs, and known data reaches each of its repeats over one edge. Such an edge weighs
+``SAME`` for agreement, whatever the sample shows: a repeat of known data is of its kind throughout the document.
 *Inference* is loopy sum-product message passing, all documents of a batch at
-once (their graphs are disjoint blocks of one edge list), with damping and a fixed number of sweeps.
+once (their graphs are disjoint blocks of one edge list), with damping, until no message changes.
 
 Training is piecewise: unary weights by gradient steps on a bounded sample of
 tokens labelled by the patterns (``SAMPLE_TOKENS``, smallest hash of document and
@@ -46,7 +48,7 @@ HAS_MARK = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 EDGES_OF_TOKEN = re.compile(r"^[^0-9A-Za-z+(]*(.*?)[^0-9A-Za-z)]*$", re.S)
 
-SAMPLE_DOCS, SAMPLE_TOKENS, STEPS, SWEEPS, DAMPING, LEAST = 4_000, 40_000, 150, 10, 0.3, 0.9
+SAMPLE_DOCS, SAMPLE_TOKENS, STEPS, DAMPING, TOLERANCE, SAME, LEAST = 4_000, 40_000, 150, 0.3, 1e-6, 20.0, 0.9
 FEATURES = 40
 
 
@@ -117,11 +119,12 @@ def _shape(core: str) -> tuple[int, list[int]]:
     return n, on
 
 
-def graph(text: str):
-    """Tokens, feature lists, chain pairs and skip pairs of one document."""
+def graph(text: str, base=()):
+    """Tokens, feature lists, chain pairs and skip pairs of one document; ``base`` holds its known spans."""
     tokens = variables(text)
     shapes = [_shape(t[2]) for t in tokens]
-    chain, skip, last = [], [], {}
+    known = token_labels(tokens, base, []) if base else [0] * len(tokens)
+    chain, groups = [], {}
     for i, (s, _, core) in enumerate(tokens):
         n, on = shapes[i]
         if i and s - tokens[i - 1][1] <= 2:
@@ -130,10 +133,17 @@ def graph(text: str):
             shapes[i - 1][1].append(37 if n >= 7 else 38)
         key = NOT_DIGIT.sub("", core) if n >= 7 else core.lower() if "@" in core else None
         if key:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
-    return tokens, [on for _, on in shapes], chain, skip
+            groups.setdefault(key, []).append(i)
+    skip = []
+    for group in groups.values():
+        sure = next((i for i in group if known[i]), None)
+        hub = group[0] if sure is None else sure
+        for i in group:
+            if i != hub:
+                skip.append((min(hub, i), max(hub, i)))
+            if sure is None or known[i] and i > sure:
+                hub = i
+    return tokens, [on for _, on in shapes], chain, sorted(skip, key=lambda pair: pair[::-1])
 
 
 def token_labels(tokens, base, dropped) -> list[int]:
@@ -204,29 +214,38 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
     return {"unary": weights.round(6), "chain": agreement("before").round(6), "skip": ((alike + alike.T) / 2).round(6)}
 
 
-def marginals(unary: np.ndarray, edges: np.ndarray, potentials: np.ndarray, sweeps: int = SWEEPS) -> np.ndarray:
+def marginals(unary: np.ndarray, edges: np.ndarray, potentials: np.ndarray, sweeps: int | None = None, reach: int | None = None) -> np.ndarray:
     """Loopy sum-product: (tokens, labels) log potentials, (edges, 2) token pairs and their
-    (edges, labels, labels) log potentials in; marginal probabilities out. Exact on trees of depth below ``sweeps``."""
+    (edges, labels, labels) log potentials in; marginal probabilities out. Exact on trees.
+
+    Messages pass until none changes by ``TOLERANCE`` (or, if given, for ``sweeps``); an edge rests while nothing
+    changes at its ends. After more than twice ``reach`` sweeps (tokens of the largest graph: all
+    evidence has crossed it, damped) the steps shrink, so loops whose messages swing come to rest too."""
     u, v = edges[:, 0], edges[:, 1]
     to_v, to_u = np.zeros((len(edges), LABELS)), np.zeros((len(edges), LABELS))
-
-    def beliefs():
-        out = unary.copy()
-        for label in range(LABELS):
-            out[:, label] += np.bincount(v, to_v[:, label], len(unary)) + np.bincount(u, to_u[:, label], len(unary))
-        return out
+    belief, live, step, done = unary.copy(), np.arange(len(edges)), 1 - DAMPING, 0
 
     def passed(scores, axis):
         new = scores.max(axis=axis)
         new += np.log(np.exp(scores - np.expand_dims(new, axis)).sum(axis=axis))
         return new - new.max(axis=1, keepdims=True)
 
-    for _ in range(sweeps if len(edges) else 0):
-        now = beliefs()
-        new_v = passed((now[u] - to_u)[:, :, None] + potentials, 1)
-        new_u = passed((now[v] - to_v)[:, None, :] + potentials, 2)
-        to_v, to_u = DAMPING * to_v + (1 - DAMPING) * new_v, DAMPING * to_u + (1 - DAMPING) * new_u
-    out = np.exp(beliefs() - beliefs().max(axis=1, keepdims=True))
+    while len(live) and (sweeps is None or done < sweeps):
+        a, b, pair = u[live], v[live], potentials[live]
+        by_v = step * (passed((belief[a] - to_u[live])[:, :, None] + pair, 1) - to_v[live])
+        by_u = step * (passed((belief[b] - to_v[live])[:, None, :] + pair, 2) - to_u[live])
+        to_v[live] += by_v
+        to_u[live] += by_u
+        for label in range(LABELS):
+            belief[:, label] += np.bincount(b, by_v[:, label], len(unary)) + np.bincount(a, by_u[:, label], len(unary))
+        done += 1
+        if sweeps is None:
+            moved = np.zeros(len(unary), bool)
+            moved[b[np.abs(by_v).max(axis=1) > TOLERANCE]] = True
+            moved[a[np.abs(by_u).max(axis=1) > TOLERANCE]] = True
+            live = np.flatnonzero(moved[u] | moved[v])
+            step *= 0.9 if done > 100 + 2 * (len(unary) if reach is None else reach) else 1
+    out = np.exp(belief - belief.max(axis=1, keepdims=True))
     return out / out.sum(axis=1, keepdims=True)
 
 
@@ -249,24 +268,25 @@ def find_spans(texts: list[str], model: dict | None) -> list[tuple[list, list]]:
         found.append((base, []))
         if model is None:
             continue
-        tokens, features, chain, skip = graph(text)
+        tokens, features, chain, skip = graph(text, base)
         inside = token_labels(tokens, base, [])
         if not all(inside):
             graphs.append((len(found) - 1, tokens, features, chain, skip, inside))
     if not graphs:
         return found
     edges, kinds, at = [], [], 0
-    for _, tokens, _, chain, skip, _ in graphs:
+    for _, tokens, _, chain, skip, inside in graphs:
         edges += [(at + a, at + b) for a, b in chain] + [(at + a, at + b) for a, b in skip]
-        kinds += [0] * len(chain) + [1] * len(skip)
+        kinds += [0] * len(chain) + [2 if inside[a] or inside[b] else 1 for a, b in skip]
         at += len(tokens)
     weights = model["unary"]
     unary = np.array([weights[on].sum(axis=0) for g in graphs for on in g[2]])
     known = np.array([x for g in graphs for x in g[5]])
-    unary[known > 0] = -30.0  # tokens of known spans are observed
-    unary[known > 0, known[known > 0]] = 30.0
-    potentials = np.stack([model["chain"], model["skip"]])[np.array(kinds, np.int64)]
-    p = marginals(unary, np.array(edges, np.int64).reshape(-1, 2), potentials)
+    sure = 30.0 + SAME * len(edges)  # tokens of known spans are observed: no number of messages outweighs them
+    unary[known > 0] = -sure
+    unary[known > 0, known[known > 0]] = sure
+    potentials = np.stack([model["chain"], model["skip"], SAME * np.eye(LABELS)])[np.array(kinds, np.int64)]
+    p = marginals(unary, np.array(edges, np.int64).reshape(-1, 2), potentials, reach=max(len(g[1]) for g in graphs))
     at = 0
     for where, tokens, _, chain, _, inside in graphs:
         near, added = {b for _, b in chain}, []

@@ -185,6 +185,37 @@ def test_skip_edges_link_repeats_linearly():
     assert len(tokens) == 50 and len(skip) == 49 and not chain
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    return pii.train(table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text"))
+
+
+@pytest.mark.parametrize("known_at", [0, 20, 49])
+def test_known_data_reaches_all_repeats(field, known_at):
+    """The number is known once, by its '+'; alone, no bare repeat of it counts as personal data."""
+    words = ["call 15551234567 now"] * 50
+    assert pii.find_spans([" ".join(words)], field) == [([], [])]
+    words[known_at] = "call +15551234567 now"
+    (known, added), = pii.find_spans([" ".join(words)], field)
+    assert len(known) == 1 and len(added) == 49 and {k for k, _, _ in added} == {3}
+
+
+def test_evidence_crosses_a_long_chain():
+    """Message passing ends when messages rest, not after a number of sweeps: the far end is exact too."""
+    n = 60
+    unary, same = np.zeros((n, pii.LABELS)), np.where(np.eye(pii.LABELS) > 0, 6.0, 0.0)
+    unary[0, 4] = 30
+    p = pii.marginals(unary, np.array([(i, i + 1) for i in range(n - 1)]), np.stack([same] * (n - 1)))
+    step = np.exp(same) / np.exp(same).sum(axis=1, keepdims=True)
+    assert np.allclose(p[-1], np.linalg.matrix_power(step, n - 1)[4], atol=1e-3)
+
+
+def test_swinging_messages_come_to_rest():
+    pairs = np.array([(a, b) for a in range(5) for b in range(a)])
+    unary = np.random.default_rng(1).normal(size=(5, pii.LABELS))
+    assert np.isfinite(pii.marginals(unary, pairs, np.stack([-25.0 * np.eye(pii.LABELS)] * len(pairs)))).all()
+
+
 def test_op4_against_brute_force_and_added_spans(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}

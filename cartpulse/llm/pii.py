@@ -9,10 +9,14 @@ with its neighbour, a repeat of known data in another notation.
 and the four kinds.
 *Unary potentials* are a maximum-entropy model over shape features (digit count,
 Luhn check, signs, dots, letters, the shape of the neighbours).
-*Chain edges* join neighbouring variables, *skip edges* each token with the next
-token of the same key (same digits for seven or more, same address) or, where one of
-them lies in a known span, with that one: a group of k repeats has k-1 edges, never
-all pairs, and known data reaches each of its repeats over one edge. Such an edge weighs
+*Chain edges* join neighbouring variables, *skip edges* each token with the last
+one of the same key or, where one of them lies in a known span, with that one: never
+all pairs, and known data reaches each of its repeats over one edge. Keys are the address, numbers with
+dots between (of any length), and the last ``SUFFIX`` digits up to a token's end, counted on into the number tokens right
+before it. Numbers of one key are laid on each other from their ends as far as their digits
+agree, and tokens are joined group by group: ``+49 30 901820`` meets ``030 901820``, one token meets all its groups.
+Shorter numbers without dots have no key: seven digits are the least of a phone number.
+An edge from known data weighs
 ``SAME`` for agreement, whatever the sample shows: a repeat of known data is of its kind throughout the document.
 *Inference* is loopy sum-product message passing, all documents of a batch at
 once (their graphs are disjoint blocks of one edge list), with damping, until no message changes.
@@ -50,6 +54,10 @@ EDGES_OF_TOKEN = re.compile(r"^[^0-9A-Za-z+(]*(.*?)[^0-9A-Za-z)]*$", re.S)
 
 SAMPLE_DOCS, SAMPLE_TOKENS, STEPS, DAMPING, TOLERANCE, SAME, LEAST = 4_000, 40_000, 150, 0.3, 1e-6, 20.0, 0.9
 FEATURES = 40
+SUFFIX, SURE, REACH = 7, 9, 19  # digits of a key: the shortest number of a kind; of a known phone number; looked at before a token's end: the longest
+DOTTED = re.compile(r"[0-9]++(?:\[?\.\]?[0-9]++)+")
+NUMBER = re.compile(r"[0-9()+./-]+")
+DIGITS_OF = {3: (13, 19), 4: (7, 15)}  # least and most digits of a card and a phone number
 
 
 def luhn(digits: str) -> bool:
@@ -119,28 +127,68 @@ def _shape(core: str) -> tuple[int, list[int]]:
     return n, on
 
 
+def _overlaid(a: list[int], b: list[int], digits: list[str]):
+    """Token pairs of two numbers, given as tokens from the last back, laid on each other from the end: those whose
+    common digits are the whole of one of both, leading zeros apart. Where a token has digits before them,
+    the other number must end there, or ``SURE`` digits agree."""
+    left, right = ("".join(digits[i] for i in reversed(x)) for x in (a, b))
+    same = next((k for k, (c, d) in enumerate(zip(reversed(left), reversed(right))) if c != d), min(len(left), len(right)))
+    all_left, all_right = (same >= min(len(d.lstrip("0")), SURE) for d in (left, right))
+    x = y = from_x = from_y = 0
+    while x < len(a) and y < len(b) and max(from_x, from_y) < same:
+        one, two = digits[a[x]], digits[b[y]]
+        to_x, to_y = from_x + len(one), from_y + len(two)
+        common = min(to_x, to_y, same) - max(from_x, from_y)
+        own_x, own_y = len(one.lstrip("0")) or len(one), len(two.lstrip("0")) or len(two)
+        if common >= min(own_x, own_y) and (all_right or from_x + own_x <= same) and (all_left or from_y + own_y <= same):
+            yield a[x], b[y]
+        if to_x <= to_y:
+            x, from_x = x + 1, to_x
+        if to_y <= to_x:
+            y, from_y = y + 1, to_y
+
+
 def graph(text: str, base=()):
     """Tokens, feature lists, chain pairs and skip pairs of one document; ``base`` holds its known spans."""
     tokens = variables(text)
     shapes = [_shape(t[2]) for t in tokens]
     known = token_labels(tokens, base, []) if base else [0] * len(tokens)
-    chain, groups = [], {}
+    chain, groups, digits, numbers, joins = [], {}, [], [], False
     for i, (s, _, core) in enumerate(tokens):
         n, on = shapes[i]
-        if i and s - tokens[i - 1][1] <= 2:
+        near = i and s - tokens[i - 1][1] <= 2
+        if near:
             chain.append((i - 1, i))
             on.append(35 if tokens[i - 1][2][0] == "+" else 36)
             shapes[i - 1][1].append(37 if n >= 7 else 38)
-        key = NOT_DIGIT.sub("", core) if n >= 7 else core.lower() if "@" in core else None
-        if key:
-            groups.setdefault(key, []).append(i)
-    skip = []
-    for group in groups.values():
+        digits.append(NOT_DIGIT.sub("", core))
+        numbers.append([i])
+        if "@" in core:
+            mail, joins = EMAIL.search(core), False
+            groups.setdefault((mail.group() if mail else core).lower(), []).append(i)
+            continue
+        plain = NUMBER.fullmatch(core) is not None
+        if near and plain and joins:  # the tokens of the number before, as far as one may reach
+            room = REACH - n
+            for k in numbers[i - 1]:
+                if room <= 0:
+                    break
+                numbers[i].append(k)
+                room -= len(digits[k])
+        joins = plain
+        last = "".join(digits[k] for k in reversed(numbers[i]))[-SUFFIX:]
+        if len(last) == SUFFIX:
+            groups.setdefault(last, []).append(i)
+        for m in DOTTED.finditer(core) if "." in core else ():
+            groups.setdefault("." + ".".join(p.lstrip("0") or "0" for p in re.findall("[0-9]+", m.group())), []).append(i)
+    skip = set()
+    for key, group in groups.items():
         sure = next((i for i in group if known[i]), None)
         hub = group[0] if sure is None else sure
         for i in group:
             if i != hub:
-                skip.append((min(hub, i), max(hub, i)))
+                pairs = _overlaid(numbers[hub], numbers[i], digits) if key.isdigit() and len(key) == SUFFIX else [(hub, i)]
+                skip.update((min(pair), max(pair)) for pair in pairs if pair[0] != pair[1])
             if sure is None or known[i] and i > sure:
                 hub = i
     return tokens, [on for _, on in shapes], chain, sorted(skip, key=lambda pair: pair[::-1])
@@ -249,16 +297,34 @@ def marginals(unary: np.ndarray, edges: np.ndarray, potentials: np.ndarray, swee
     return out / out.sum(axis=1, keepdims=True)
 
 
-def _plausible(kind: int, core: str) -> bool:
-    digits = len(NOT_DIGIT.sub("", core))
-    return ("@" in core[1:-1], core.count(".") == 3 and digits >= 4, 13 <= digits <= 19, 7 <= digits <= 15)[kind]
+def _added(text: str, kind: int, spans: list[tuple[int, int, bool]]):
+    """The spans of one kind that the shape of its data allows, of neighbouring tokens given as (start, end, repeat of
+    known data): all as one, or, where that has too many digits, the repeats in spans of as many as a number may have."""
+    sizes = [len(NOT_DIGIT.sub("", text[s:e])) for s, e, _ in spans]
+    if kind < 2:
+        return [(kind, s, e) for (s, e, _), n in zip(spans, sizes) if ("@" in text[s + 1:e - 1] if kind == 0 else text.count(".", s, e) == 3 and n >= 4)]
+    least, most = DIGITS_OF[kind + 1]
+    if sum(sizes) <= most:
+        return [(kind, spans[0][0], spans[-1][1])] if sum(sizes) >= least else []
+    out, room = [], 0
+    for (s, e, repeat), n in zip(spans, sizes):
+        if not repeat or n > most:
+            room = 0
+        elif n > room:
+            out.append((kind, s, e))
+            room = most - n
+        else:
+            out[-1] = (kind, out[-1][1], e)
+            room -= n
+    return out
 
 
 def find_spans(texts: list[str], model: dict | None) -> list[tuple[list, list]]:
     """Per text: known spans and added spans, as (kind number, start, end) by kind, then start.
 
     A span is added where the field gives tokens outside all known spans one kind
-    with probability ``LEAST`` or more; neighbouring phone tokens join."""
+    with probability ``LEAST`` or more; neighbouring tokens of a phone number join, those of a
+    card number where they repeat known data."""
     found, graphs = [], []
     for text in texts:
         if not HAS_MARK.search(text):
@@ -288,18 +354,20 @@ def find_spans(texts: list[str], model: dict | None) -> list[tuple[list, list]]:
     potentials = np.stack([model["chain"], model["skip"], SAME * np.eye(LABELS)])[np.array(kinds, np.int64)]
     p = marginals(unary, np.array(edges, np.int64).reshape(-1, 2), potentials, reach=max(len(g[1]) for g in graphs))
     at = 0
-    for where, tokens, _, chain, _, inside in graphs:
+    for where, tokens, _, chain, skip, inside in graphs:
         near, added = {b for _, b in chain}, []
+        repeats = {x for a, b in skip for x, y in ((a, b), (b, a)) if inside[y]}
         for i, (s, e, _) in enumerate(tokens):
             label = int(p[at + i].argmax())
             if label and not inside[i] and p[at + i, label] >= LEAST:
-                if label == 4 and i in near and added and added[-1][3] == i - 1 and added[-1][0] == 3:
-                    added[-1] = (3, added[-1][1], e, i)
+                joins = label == 4 or label == 3 and i in repeats and i - 1 in repeats
+                if joins and i in near and added and added[-1][2] == i - 1 and added[-1][0] == label - 1:
+                    added[-1][1].append((s, e, i in repeats))
+                    added[-1][2] = i
                 else:
-                    added.append((label - 1, s, e, i))
+                    added.append([label - 1, [(s, e, i in repeats)], i])
         at += len(tokens)
-        text = texts[where]
-        found[where][1].extend(sorted((k, s, e) for k, s, e, _ in added if _plausible(k, text[s:e])))
+        found[where][1].extend(sorted(span for k, spans, _ in added for span in _added(texts[where], k, spans)))
     return found
 
 

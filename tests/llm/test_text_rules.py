@@ -200,6 +200,27 @@ def test_known_data_reaches_all_repeats(field, known_at):
     assert len(known) == 1 and len(added) == 49 and {k for k, _, _ in added} == {3}
 
 
+@pytest.mark.parametrize("known, other", [
+    ("+49 30 901820", "030 901820"), ("+49 30 901820", "30 901820"), ("+49 30 901820", "0049 30 901820"), ("+49301234567", "0301234567"),
+    ("+1 555 123 4567", "555 123 4567"), ("+15551234567", "5551234567"), ("+15551234567", "555 123 4567"), ("+1 (555) 123-4567", "555.123.4567"),
+    ("4111111111111111", "4111  1111  1111  1111"), ("4111 1111 1111 1111", "4111.1111.1111.1111"), ("10.0.0.1", "10[.]0[.]0[.]1")])
+def test_known_data_in_another_notation(field, known, other):
+    (base, added), = pii.find_spans([f"we have {known} here; then {other} there, once more {other} then"], field)
+    assert len(base) == 1 and [(k, e - s) for k, s, e in added] == [(base[0][0], len(other))] * 2
+
+
+def test_other_numbers_do_not_join(field):
+    text = "call +1 555 123 4567 or +49 30 901820, in 1820 and 820 rooms, order 99991234567, part 12 5 4567, 2 30 901821"
+    assert pii.find_spans([text], field)[0][1] == [] and pii.graph(text, pii.base_spans(text)[0])[3] == []
+    assert len(pii.graph("call +1 555 123 4567 then " * 50)[3]) == 4 * 49
+
+
+def test_repeats_side_by_side(field):
+    text = "call +49 30 901820 or " + "030 901820 " * 5
+    (_, added), = pii.find_spans([text], field)
+    assert not re.search("[0-9]", pii.redacted(text, added).split(" or ")[1])
+
+
 def test_evidence_crosses_a_long_chain():
     """Message passing ends when messages rest, not after a number of sweeps: the far end is exact too."""
     n = 60

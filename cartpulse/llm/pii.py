@@ -21,10 +21,11 @@ An edge from known data weighs
 *Inference* is loopy sum-product message passing, all documents of a batch at
 once (their graphs are disjoint blocks of one edge list), with damping, until no message changes.
 
-Training is piecewise: unary weights by gradient steps on a bounded sample of
-tokens labelled by the patterns (``SAMPLE_TOKENS``, smallest hash of document and
-position first; tokens inside a dropped match of several tokens are left out as unlabelled),
-chain and skip potentials from the label agreement counts of the same sample.
+Training is piecewise: unary weights by gradient steps on tokens of all documents labelled by the
+patterns, at most ``SAMPLE_TOKENS / LABELS`` of each label (smallest hash of document, position and token
+first; tokens inside a dropped match of several tokens are left out as unlabelled), chain and skip
+potentials from the label agreement counts of the same sample. Where a label has more
+tokens, the share taken is made up for in the constant weight and in the counts.
 """
 
 from __future__ import annotations
@@ -34,10 +35,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import id_text
+from cartpulse.llm.common import id_text, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 5  # 0: none, then the kinds in order
@@ -52,7 +54,7 @@ HAS_MARK = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 EDGES_OF_TOKEN = re.compile(r"^[^0-9A-Za-z+(]*(.*?)[^0-9A-Za-z)]*$", re.S)
 
-SAMPLE_DOCS, SAMPLE_TOKENS, STEPS, DAMPING, TOLERANCE, SAME, LEAST = 4_000, 40_000, 150, 0.3, 1e-6, 20.0, 0.9
+SAMPLE_TOKENS, STEPS, DAMPING, TOLERANCE, SAME, LEAST = 40_000, 150, 0.3, 1e-6, 20.0, 0.9
 FEATURES = 40
 SUFFIX, SURE, REACH = 7, 9, 19  # digits of a key: the shortest number of a kind; of a known phone number; looked at before a token's end: the longest
 DOTTED = re.compile(r"[0-9]++(?:\[?\.\]?[0-9]++)+")
@@ -217,14 +219,14 @@ def _dense(features: list[list[int]]) -> np.ndarray:
     return x
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int = SAMPLE_TOKENS) -> dict | None:
-    """Weights from at most ``sample_tokens`` tokens of ``sample_docs`` documents of
-    ``docs(doc_id, text)``, the smallest hashes first. None where the sample has no known span."""
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+def sample(docs: DataFrame, quota: int) -> tuple[list, np.ndarray]:
+    """The ``quota`` labelled tokens of the smallest hashes for each label, from all of ``docs(doc_id, text)``,
+    and per label how many tokens of the table one of them stands for. Tasks keep one more than
+    ``quota`` a label, which shows that there are more."""
 
     def run(batches):
+        kept: list[list] = [[] for _ in range(LABELS)]
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not text or not HAS_MARK.search(text):
                     continue
@@ -232,13 +234,42 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
                 labels = token_labels(tokens, *base_spans(text))
                 before, alike = ({v: labels[u] for u, v in pairs} for pairs in (chain, skip))
                 for i, on in enumerate(features):
-                    for col, value in zip(cols, (doc, i, labels[i], on, before.get(i, -1), alike.get(i, -1))):
-                        col.append(value)
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "i", "label", "features", "before", "alike"])
-
-    tokens = docs.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "doc_id long, i int, label int, features array<int>, before int, alike int")
-    rows = tokens.filter("label >= 0").orderBy(F.xxhash64("doc_id", "i"), "doc_id", "i").limit(sample_tokens).collect()
+                    if labels[i] >= 0:
+                        digest = xxhash.xxh64_intdigest(f"{doc}:{i}:{tokens[i][2]}") >> 1
+                        kept[labels[i]].append((digest, on, before.get(i, -1), alike.get(i, -1)))
+                for rows in kept:
+                    if len(rows) > 2 * quota:
+                        rows.sort()
+                        del rows[quota + 1:]
+        rows = [(label, *r) for label, group in enumerate(kept) for r in sorted(group)[:quota + 1]]
+        types = (pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], ["label", "digest", "features", "before", "alike"])
+
+    # parts of the digests a sixteenth of a power of two wide: few, and few tokens beyond the quota in the last one
+    tokens = stored(docs.mapInArrow(run, "label int, digest long, features array<int>, before int, alike int"), "pii-sample")
+    tokens = tokens.withColumn("part", F.floor(F.log2(F.col("digest") + F.lit(1.0)) * 16))
+    ends, held = {}, [0] * LABELS
+    for r in sorted(tokens.groupBy("label", "part").count().collect()):
+        if held[r["label"]] < quota:
+            ends[r["label"]] = r["part"]
+        held[r["label"]] += r["count"]
+    rows, stands = [], np.ones(LABELS)
+    wanted = F.lit(False)
+    for label, part in ends.items():
+        wanted = wanted | ((F.col("label") == label) & (F.col("part") <= part))
+    found = sorted(tokens.filter(wanted).drop("part").collect()) if ends else []
+    for label in ends:
+        of = [r for r in found if r["label"] == label][:quota]
+        rows += of
+        if held[label] > quota:
+            stands[label] = 2.0 ** 63 / (of[-1]["digest"] + 1)
+    return rows, stands
+
+
+def train(docs: DataFrame, sample_tokens: int = SAMPLE_TOKENS) -> dict | None:
+    """Weights from at most ``sample_tokens`` tokens of all of ``docs(doc_id, text)``, an equal
+    quota a label. None where no document has a known span."""
+    rows, stands = sample(docs, max(1, sample_tokens // LABELS))
     if not any(r["label"] for r in rows):
         return None
     x, y = _dense([r["features"] for r in rows]), np.eye(LABELS)[[r["label"] for r in rows]]
@@ -249,12 +280,15 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
         odds = np.exp(scores)
         speed = 0.9 * speed + x.T @ (y - odds / odds.sum(axis=1, keepdims=True)) / len(rows) - 1e-4 * weights
         weights += speed
+    weights[0] += np.log(stands)  # the quotas change how frequent the labels are, not what tokens of one look like
+    share = stands[[r["label"] for r in rows]]
+    share *= len(rows) / share.sum()
 
     def agreement(column):
         both = np.ones((LABELS, LABELS))
-        for r in rows:
+        for r, counts in zip(rows, share):
             if r[column] >= 0:
-                both[r[column], r["label"]] += 1
+                both[r[column], r["label"]] += counts
         both /= both.sum()
         return np.log(both / (both.sum(axis=1, keepdims=True) * both.sum(axis=0, keepdims=True)))
 

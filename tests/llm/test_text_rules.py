@@ -272,6 +272,21 @@ def test_field_finds_held_out_data(spark):
     assert total > 100 and right / total > 0.95 and wrong <= 0.05 * none
 
 
+def test_rare_personal_data_trains_the_field(spark):
+    """Three documents of 6000 hold known data, none of them among the 4000 smallest document hashes."""
+    rare = [r.id for r in spark.range(6000).orderBy(F.xxhash64("id").desc(), "id").limit(3).collect()]
+    docs = frame(spark, [(i, f"mail a{i}@b.org now" if i in rare else "only words, page 12") for i in range(6000)])
+    rows, stands = pii.sample(docs, 50)
+    assert Counter(r.label for r in rows) == {0: 50, 1: 3} and stands[1] == 1 and 60 < stands[0] < 240
+    assert pii.train(docs, 250) is not None and pii.train(docs.filter("text like 'only%'")) is None
+
+
+def test_sample_is_the_same_however_the_table_is_cut(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    one, many = (pii.sample(docs.repartition(n), 20) for n in (1, 7))
+    assert one[0] == many[0] and (one[1] == many[1]).all() and max(Counter(r.label for r in one[0]).values()) == 20
+
+
 def test_redaction_and_odd_rows(spark):
     rows = [(*r, 5) for r in ODD] + [(7, "mail a@b.org, 10.0.0.1.", 23)]
     out = pii.redact(frame(spark, rows, ", n_email int"), length_col="n_email")

@@ -136,10 +136,11 @@ def dedup(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: st
     that of the smallest doc_id. Repeats of that row go too; rows without an id
     stay only where no member of the component has one (one of them)."""
     near = near_duplicates(docs, shingle_words, max_bits, id_col, text_col)
-    keep = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__keep_id"), "root").agg(F.count(F.lit(1)).alias("copies"))
-    if not keep.filter("copies > 1 or __keep_id is null").limit(1).count():
+    ids = near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max(F.col("component_id").isNull()).alias("unnamed"))
+    if not ids.filter("(doc_id is not null and copies > 1) or unnamed").limit(1).count():
+        keep = near.filter("doc_id = component_id").select(F.col("doc_id").alias("__keep_id"))
         return docs.join(keep, docs[id_col] == keep["__keep_id"], "left_semi")
-    # repeated or missing ids: the row is named by its id and its component's root
+    # an id on several rows, or a row kept without one: the row is named by its id and its component's root
     roots = near.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp", "root").distinct()
     cols = docs.columns
     tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("txt"))

@@ -107,6 +107,13 @@ def test_simhash_odd_rows(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_dedup_of_an_id_with_different_texts(spark):
+    """The second row of id 5 is the one that names its component; the first is a copy of 2."""
+    a, b = "one text that is here twice", "quite other words stand in this one"
+    assert sorted(map(tuple, simhash.dedup(frame(spark, [(2, a), (5, a), (5, b)])).collect())) == [(2, a), (5, b)]
+    assert sorted(map(tuple, simhash.dedup(frame(spark, [(2, a), (None, a), (5, b)])).collect())) == [(2, a), (5, b)]
+
+
 def test_dedup_keeps_one_row_and_all_columns(spark):
     rows = [(d, t, "x") for d, t in ODD]
     kept = simhash.dedup(frame(spark, rows, ", fp string")).collect()

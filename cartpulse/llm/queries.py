@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cartpulse.llm import decontaminate, packing, pii, quality_rules, secrets, sharding, simhash, token_files, url_filter, warc
+from cartpulse.llm import (decontaminate, packing, pieces, pii, quality_rules, secrets, sharding, simhash, spelling, token_files, url_filter, warc,
+                           whitening)
 from cartpulse.llm.common import table
 
 
@@ -55,6 +56,21 @@ def op10_sharding(spark, sf):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_whitening(spark, sf):
+    rows = whitening.per_component(whitening.whiten(table(spark, sf, "embeddings"), components=32))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))  # a table so large that it is no long: NULL
+
+
+def op12_spelling(spark, sf):
+    return spelling.spelling_variants(table(spark, sf, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_pieces(spark, sf):
+    coded = pieces.encode_pieces(table(spark, sf, "documents"), decode=True)
+    return coded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_simhash, op3_decontaminate, op4_pii, op5_packing, op6_quality_rules,
-                                       op7_url_filter, op8_token_files, op9_warc, op10_sharding)}
+                                       op7_url_filter, op8_token_files, op9_warc, op10_sharding, op11_whitening, op12_spelling, op13_pieces)}
 LLM_ORACLE = {"op3_decontaminate": decontaminate.SQL, "op6_quality_rules": quality_rules.SQL, "op7_url_filter": url_filter.SQL, "op9_warc": warc.SQL}

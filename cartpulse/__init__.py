@@ -5,4 +5,11 @@ capture and a sale-detail dashboard, written as DataFrame / SQL plans and
 Structured Streaming queries.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel by value: executors need no copy of the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -170,24 +170,18 @@ def q_coupon_alerts_5min(spark, sf):
                     sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
 
 
-def _alert_events(spark, sf, alerts):
-    return AL.alert_events(TB.event_log(spark, sf), alerts, ALERT_WINDOW_T, ALERT_SLIDE_T)
-
-
 def q_alert_events(spark, sf):
-    ev = _alert_events(spark, sf, _alerts(spark, sf))
+    ev = AL.coupon_alerts(TB.event_log(spark, sf), ALERT_WINDOW_T, ALERT_SLIDE_T, with_events=True)
     return ev.select("mid", "window_start", "window_end", F.size("events").cast("bigint").alias("n_events"),
                      F.array_join("events", ",").alias("events"))
 
 
 def q_alert_upsert(spark, sf):
-    # one alert computation: the event lists carry the account / item sets along
-    return _doc_columns(AL.alert_documents(_alert_events(spark, sf, _alerts(spark, sf)), bucket_ms=ALERT_BUCKET_MS_T))
+    return _doc_columns(AL.event_documents(TB.event_log(spark, sf), ALERT_WINDOW_T, ALERT_SLIDE_T, ALERT_BUCKET_MS_T))
 
 
 def q_alert_documents_minute(spark, sf):
-    ev = TB.event_log(spark, sf)
-    return _doc_columns(AL.alert_documents(AL.alert_events(ev, AL.coupon_alerts(ev))))
+    return _doc_columns(AL.event_documents(TB.event_log(spark, sf)))
 
 
 def _doc_columns(docs):
@@ -379,9 +373,8 @@ def q_stream_coupon_alerts(spark, sf):
 
     def start():
         alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), ALERT_WINDOW_T, ALERT_SLIDE_T,
-                                 ALERT_DELAY_T)
-        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
-                                     ALERT_BUCKET_MS_T, window=ALERT_WINDOW_T, slide=ALERT_SLIDE_T)
+                                 ALERT_DELAY_T, bucket_ms=ALERT_BUCKET_MS_T)
+        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint")
 
     RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
     a = AS.read_alerts(spark, f"{work}/windows")
@@ -397,8 +390,7 @@ def q_stream_alert_documents(spark, sf):
 
     def start():
         alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), delay=ALERT_DELAY_T, every_event=True)
-        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint",
-                                     landed_events=lambda session: session.read.parquet(src))
+        return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint")
 
     RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
     return _doc_columns(AS.read_alert_docs(spark, f"{work}/docs"))

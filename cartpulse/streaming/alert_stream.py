@@ -1,68 +1,150 @@
-"""Streaming coupon alerts on event time.
-
-Sliding windows are aggregated in update mode: the micro-batch that brings a
-window its third account reports it at once, and windows at the end of the log
-need no later event to come out. A window that reached the account count is
-written again whenever it changes, with its click flag, so a later click takes
-the alert back. The windows and the alert documents are append-only logs of
-such versions; :func:`read_alerts` and :func:`read_alert_docs` resolve them
-(newest batch per window, unclicked windows only; per document the newest
-window). The watermark only bounds the state: Spark counts the events it
-refuses in each batch's progress (``numRowsDroppedByWatermark``).
+"""Streaming coupon alerts on event time, with one state row per device and time chunk.
+
+An event goes to its device's time chunk (and, near a chunk's end, to the next one,
+whose first windows reach back to it). The state of a (device, chunk) is the
+chunk's buckets: accounts, items, click flag and events - what the batch sweep
+reads, not one row per window. A micro-batch sweeps only the windows its events can change,
+before and after, and writes those that differ: the micro-batch that brings a window its third
+account reports it at once, a late click takes an alert back, and
+windows at the end of the log need no later event to come out. A timer frees a chunk's state
+when the watermark has passed its last window; events later than the
+watermark are refused and counted in the batch's progress (``numRowsDroppedByWatermark``).
+
+Alerted windows and alert documents (per device and minute the newest alerted window, with
+its event list) are append-only logs of versions; :func:`read_alerts` and
+:func:`read_alert_docs` take the newest version of each and leave out those taken back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import insort
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_SLIDE, ALERT_WINDOW,
                                  EVID_CLICK_ITEM, EVID_COUPON)
-from cartpulse.functions.timeparts import epoch_bucket, instant_to_ntz, ntz_to_instant
-from cartpulse.operators.alerts import alert_events
-from cartpulse.streaming.sinks import read_table, write_batch
+from cartpulse.functions.timeparts import epoch_bucket, ntz_to_epoch_us, ntz_to_instant
+from cartpulse.operators.alerts import _Grid, chunk_buckets, with_chunks
+from cartpulse.operators.sweep import Bucket, Rule, alerted
 from cartpulse.session import start_stream
+from cartpulse.streaming.seen_keys import STATE_CONF
+from cartpulse.streaming.sinks import read_table, write_batch
 
+STREAM_CHUNK_WINDOWS = 3  # window sizes per chunk: a state value stays small, one event in three is in two chunks
 WINDOW_SCHEMA = ("mid string, window_start timestamp_ntz, window_end timestamp_ntz, uids array<string>, "
                  "item_ids array<string>, clicked boolean, batch_id long")
 DOC_SCHEMA = ("alert_id string, mid string, uids array<string>, item_ids array<string>, events array<string>, "
               "ts timestamp_ntz, window_start timestamp_ntz, clicked boolean, batch_id long")
+RING = "buckets array<struct<at:bigint,clicked:boolean,uids:array<string>,items:array<string>,events:array<struct<us:bigint,id:bigint,evid:string>>>>"
+#: Versions: of a window (``doc`` NULL) or of a document (``doc`` its number; no ``window_end`` once it is gone).
+CHANGES = ("mid string, window_start timestamp_ntz, window_end timestamp_ntz, uids array<string>, item_ids array<string>, "
+           "events array<string>, clicked boolean, doc bigint")
+
+_CHANGE = Row("mid", "window_start", "window_end", "uids", "item_ids", "events", "clicked", "doc")
+
+
+class _Alerts(StatefulProcessor):
+    """State of one (device, chunk) and the versions a micro-batch brings."""
+
+    def __init__(self, rule: Rule, chunk: int, bucket_us: int, lists: bool):
+        self.rule, self.chunk, self.bucket_us, self.lists = rule, chunk, bucket_us, lists
+        self.windows = Rule(rule.width, rule.slide, rule.accounts)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.ring = handle.getValueState("ring", RING)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802,N803 - the interface's names
+        c, stored = key[1], self.ring.get()
+        before = {} if stored is None else {b[0]: Bucket(b[0], b[1], set(b[2]), set(b[3]), [tuple(e) for e in b[4]]) for b in stored[0]}
+        if stored is None:  # the chunk's last window ends here
+            self.handle.registerTimer((c + 1) * self.chunk * self.bucket_us // 1000)
+        after, touched = dict(before), set()
+        for r in rows:
+            if r.j not in touched:
+                touched.add(r.j)
+                old = before.get(r.j) or Bucket(r.j)
+                after[r.j] = Bucket(r.j, old.clicked, set(old.uids), set(old.items), list(old.events))
+            b = after[r.j]
+            if r.evid == EVID_CLICK_ITEM:
+                b.clicked = True
+            elif r.evid == EVID_COUPON:
+                if r.uid is not None:
+                    b.uids.add(r.uid)
+                if r.itemid is not None:
+                    b.items.add(r.itemid)
+            if self.lists:
+                insort(b.events, (r.us, r.event_id, r.evid or ""))
+        self.ring.update(([(b.at, b.clicked, sorted(b.uids), sorted(b.items), b.events) for _, b in sorted(after.items())],))
+        # whole documents around the windows that hold a touched bucket
+        doc = self.rule.document
+        low = max(min(touched) + 1, c * self.chunk) // doc * doc
+        high = -(-(min(max(touched) + self.rule.width, (c + 1) * self.chunk - 1) + 1) // doc) * doc
+        was, now = ({w[0]: w[1:] for w in alerted((b for _, b in sorted(bs.items())), self.windows, low, high)} for bs in (before, after))
+        for e in sorted(was.keys() | now.keys()):
+            if was.get(e) != now.get(e):
+                yield self._version(key[0], e, now.get(e) or was[e], e not in now, None)
+        for d in range(low // doc, high // doc):
+            old, new = (max((e for e in ws if e // doc == d), default=None) for ws in (was, now))
+            if (old, was.get(old)) != (new, now.get(new)):
+                yield self._version(key[0], new, now.get(new) or ([], [], []), new is None, d)
+
+    def _version(self, mid, e, content, gone: bool, doc):
+        uids, items, events = content
+        start, end = (None, None) if e is None else (_wall((e - self.rule.width) * self.bucket_us), _wall(e * self.bucket_us))
+        return _CHANGE(mid, start, end, uids, items, [x[2] for x in events] if self.lists else None, gone, doc)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802,N803
+        self.ring.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def _wall(us: int):
+    import datetime as dt
+    return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
 
 
 def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, delay: str = "1 minute",
-                 min_accounts: int = ALERT_MIN_ACCOUNTS, every_event: bool = False) -> DataFrame:
-    """Windows with enough coupon accounts (mid, window_start, window_end, uids, item_ids, clicked).
+                 min_accounts: int = ALERT_MIN_ACCOUNTS, every_event: bool = False, bucket_ms: int = ALERT_ID_BUCKET_MS,
+                 chunk_windows: int = STREAM_CHUNK_WINDOWS) -> DataFrame:
+    """Changed alert windows and documents (:data:`CHANGES`) of a stream of events.
 
-    Only coupons and item clicks enter the state. With ``every_event`` all events do, so that
-    any event of a window brings the window out again - needed where event lists are written.
+    Only coupons and item clicks enter the state. With ``every_event`` all events do, and
+    documents carry their event lists. ``delay`` is the watermark's: an event that is older than the
+    newest one by more is refused.
     """
-    is_coupon = F.col("evid") == F.lit(EVID_COUPON)
-    relevant = events if every_event else events.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
-    timed = relevant.withColumn("event_time", ntz_to_instant("ts")).withWatermark("event_time", delay)
-    agg = (timed.groupBy("mid", F.window("event_time", window, slide).alias("w"))
-           .agg(F.collect_set(F.when(is_coupon, F.col("uid"))).alias("uids"),
-                F.collect_set(F.when(is_coupon, F.col("itemid"))).alias("item_ids"),
-                F.coalesce(F.bool_or(F.col("evid") == F.lit(EVID_CLICK_ITEM)), F.lit(False)).alias("clicked")))
-    return (agg.where(F.size("uids") >= min_accounts)
-            .select("mid", instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
-                    F.array_sort("uids").alias("uids"), F.array_sort("item_ids").alias("item_ids"), "clicked"))
+    g = _Grid(window, slide)
+    if bucket_ms * 1000 % g.bucket:
+        raise ValueError(f"documents of {bucket_ms} ms do not hold whole buckets of {g.bucket} us")
+    chunk = chunk_buckets(g, chunk_windows, bucket_ms * 1000)
+    rule = Rule(g.size // g.bucket, g.slide // g.bucket, min_accounts, bucket_ms * 1000 // g.bucket)
+    used = events.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    if not every_event:
+        used = used.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
+    timed = used.withColumn("event_time", ntz_to_instant("ts")).withWatermark("event_time", delay)
+    rows = with_chunks(timed, g, chunk).select("mid", "c", "j", "uid", "itemid", "evid", "event_id", ntz_to_epoch_us("ts").alias("us"), "event_time")
+    return rows.groupBy("mid", "c").transformWithState(_Alerts(rule, chunk, g.bucket, every_event), CHANGES, "Update", "EventTime")
 
 
 def alert_docs(alerts: DataFrame, bucket_ms: int = ALERT_ID_BUCKET_MS) -> DataFrame:
+    """Document versions: of changes that carry ``doc``, or one per alerted window."""
     events = F.col("events") if "events" in alerts.columns else F.lit(None).cast("array<string>")
+    number = F.col("doc") if "doc" in alerts.columns else epoch_bucket("window_end", bucket_ms)
     return alerts.select(
-        F.concat_ws(":", F.col("mid"), epoch_bucket("window_end", bucket_ms).cast("string")).alias("alert_id"),
+        F.concat_ws(":", F.col("mid"), number.cast("string")).alias("alert_id"),
         "mid", "uids", "item_ids", events.alias("events"), F.col("window_end").alias("ts"), "window_start",
         F.col("clicked") if "clicked" in alerts.columns else F.lit(False).alias("clicked"))
 
 
-def _current(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest version per key; keys whose newest version was clicked are gone."""
+def _current(log: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
+    """Newest version per key; keys whose newest version was taken back are gone."""
     rest = [c for c in log.columns if c not in (*keys, "batch_id")]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_v")).select(*keys, "_v.*")
+    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_v")).select(*keys, "_v.*")
     return newest.where(~F.col("clicked")).drop("clicked")
 
 
@@ -70,45 +152,25 @@ def read_alerts(spark: SparkSession, windows_table: str) -> DataFrame:
     """Alerted windows as of the last batch: (mid, window_start, window_end, uids, item_ids)."""
     log = read_table(spark, windows_table, WINDOW_SCHEMA)
     log = spark.createDataFrame([], WINDOW_SCHEMA) if log is None else log
-    return _current(log, ["mid", "window_start", "window_end"])
+    return _current(log, ["mid", "window_start", "window_end"], ["batch_id"])
 
 
 def read_alert_docs(spark: SparkSession, docs_table: str) -> DataFrame:
-    """Alert documents as of the last batch: of each ``alert_id`` the one of the newest alerted window."""
+    """Alert documents as of the last batch: of each ``alert_id`` the newest version (in one batch: the newest window)."""
     log = read_table(spark, docs_table, DOC_SCHEMA)
     log = spark.createDataFrame([], DOC_SCHEMA) if log is None else log
-    docs = _current(log, ["alert_id", "window_start"])
-    rest = [c for c in docs.columns if c != "alert_id"]
-    return docs.groupBy("alert_id").agg(F.max_by(F.struct(*rest), "ts").alias("_d")).select("alert_id", "_d.*")
+    return _current(log, ["alert_id"], ["batch_id", "ts"])
 
 
 def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, checkpoint: str,
-                       bucket_ms: int = ALERT_ID_BUCKET_MS, trigger: dict | None = None,
-                       name: str | None = None, landed_events: Callable[[SparkSession], DataFrame] | None = None,
-                       window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE) -> StreamingQuery:
-    """Write each micro-batch's changed alert windows and their alert documents.
-
-    ``landed_events`` (a reader of the event log as landed so far) adds each
-    document's event list: only events inside the batch's windows' time
-    range are read (a pushed-down ``ts`` range), then joined on
-    (device, bucket) as in batch. ``alerts`` should then be made with
-    ``every_event``, else a list misses what comes after its window's last
-    coupon or click.
-    """
+                       trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Write each micro-batch's changed alert windows and alert documents; no batch reads anything stored."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
         try:
-            write_batch(batch_df, windows_table, batch_id)
-            docs = batch_df
-            if landed_events is not None:
-                span = batch_df.agg(F.min("window_start").alias("lo"), F.max("window_end").alias("hi")).first()
-                if span["lo"] is not None:
-                    ts = F.col("ts")
-                    lo, hi = (F.lit(span[k].isoformat(sep=" ")).cast("timestamp_ntz") for k in ("lo", "hi"))
-                    ev = landed_events(batch_df.sparkSession).where((ts >= lo) & (ts < hi))
-                    docs = alert_events(ev, batch_df, window, slide)
-            write_batch(alert_docs(docs, bucket_ms), docs_table, batch_id)
+            write_batch(batch_df.where("doc IS NULL").drop("events", "doc"), windows_table, batch_id)
+            write_batch(alert_docs(batch_df.where("doc IS NOT NULL")), docs_table, batch_id)
         finally:
             batch_df.unpersist()
 
@@ -116,4 +178,4 @@ def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, c
          .trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return start_stream(w, alerts.sparkSession)
+    return start_stream(w, alerts.sparkSession, STATE_CONF)

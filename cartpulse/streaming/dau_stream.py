@@ -1,16 +1,13 @@
 """Streaming daily active devices: exact first-arrival dedup across micro-batches.
 
-Per micro-batch (``foreachBatch``):
-
-1. in-batch dedup: smallest (ts, event_id) per (mid, log_date);
-2. cross-batch dedup: drop keys already stored by an earlier batch. The
-   stored device rows are the state; they are cut to the micro-batch's keys
-   by a semi join, in which the planner broadcasts the keys when their
-   measured bytes allow it, so the state is then scanned with pruning but
-   not shuffled;
-3. write the new rows under ``log_date=<d>/batch_id=<n>`` (replaced if the
-   batch is replayed, and excluded from step 2 then, so a replay changes
-   nothing). Step 2 lists and reads only the folders of the batch's dates.
+``start_dau_stream`` keeps the devices seen in state (:mod:`seen_keys`): a
+micro-batch costs what its own rows cost, however large the day's table has
+grown. Its new rows go to ``log_date=<d>/batch_id=<n>``, replaced if the batch is replayed.
+
+``dau_batch_writer`` is the same rule with the stored rows themselves as state, for
+batches outside a stream (a backfill, a repair of rows that came after the state had
+forgotten their key): in-batch dedup, then an anti join against
+the stored rows of the batch's dates, cut to the batch's keys by a semi join.
 
 Counts of rows in / rows kept are recorded per batch with ``observe``.
 """
@@ -21,9 +18,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cartpulse.functions.timeparts import ntz_to_instant
 from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER
 from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.session import start_stream
+from cartpulse.streaming.seen_keys import DELAY, STATE_CONF, first_per_key_stream
 from cartpulse.streaming.sinks import read_dated, write_batch, write_dated_batch
 
 
@@ -57,12 +56,25 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
 
 
 def start_dau_stream(startup: DataFrame, rows_table: str, checkpoint: str, counts_table: str | None = None,
-                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    w = (startup.writeStream.foreachBatch(dau_batch_writer(rows_table, counts_table))
+                     trigger: dict | None = None, name: str | None = None, delay: str = DELAY) -> StreamingQuery:
+    """Device rows of a start-up stream; a day's devices are remembered until ``delay`` after its end.
+
+    ``counts_table`` gets the device rows of each batch (its input rows are in the query's progress).
+    """
+    firsts = first_per_key_stream(startup, DAU_KEYS, DAU_ORDER, ntz_to_instant("ts"), delay)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        kept = Observation(f"dau_{batch_id}")
+        write_dated_batch(batch_df.observe(kept, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
+        if counts_table is not None:
+            n = F.lit(kept.get.get("n", 0)).cast("bigint").alias("n_after")
+            write_batch(batch_df.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("stream_batch"), n), counts_table, batch_id)
+
+    w = (firsts.writeStream.foreachBatch(write).outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return start_stream(w, startup.sparkSession)
+    return start_stream(w, startup.sparkSession, STATE_CONF)
 
 
 def dau_watermark_dedup(startup: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -71,7 +83,6 @@ def dau_watermark_dedup(startup: DataFrame, delay: str = "1 day") -> DataFrame:
     Bounded state (keys expire after ``delay``) but which row of a key wins
     inside one micro-batch is arrival order, not smallest ts.
     """
-    from cartpulse.functions.timeparts import ntz_to_instant
     return (startup.withColumn("event_time", ntz_to_instant("ts"))
             .withWatermark("event_time", delay)
             .dropDuplicatesWithinWatermark(list(DAU_KEYS)))

@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.money import money_sum
+from cartpulse.functions.timeparts import ntz_to_epoch_us
 from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.schemas import CORRUPT_COL
 from cartpulse.session import start_stream
 from cartpulse.sources.json_logs import parse_orders
+from cartpulse.streaming.seen_keys import DELAY, STATE_CONF, first_per_key_stream
 from cartpulse.streaming.sinks import read_dated, read_table, write_dated_batch
 
 
 ORDER_KEYS = ["create_date", "id"]  # copies of one order carry the same date
+ORDER_FIRST = ["create_time", "total_amount", "user_id"]  # of the copies in a batch the smallest stays
+
+
+def _stands_alone():
+    """Messages without an id to merge by are stored one by one."""
+    return F.col(CORRUPT_COL).isNotNull() | F.col("id").isNull()
 
 
 def order_batch_writer(order_table: str):
@@ -27,9 +35,9 @@ def order_batch_writer(order_table: str):
     """
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        single = F.col(CORRUPT_COL).isNotNull() | F.col("id").isNull()  # no id to merge by: stored one by one
+        single = _stands_alone()
         valid = batch_df.where(~single)
-        firsts = first_per_key(valid, ORDER_KEYS, ["create_time", "total_amount", "user_id"]).persist()
+        firsts = first_per_key(valid, ORDER_KEYS, ORDER_FIRST).persist()
         try:
             dates = [r[0] for r in firsts.groupBy("create_date").count().collect()]
             stored = read_dated(spark, order_table, "create_date", dates)
@@ -46,13 +54,25 @@ def order_batch_writer(order_table: str):
 
 
 def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, trigger: dict | None = None,
-                       name: str | None = None) -> StreamingQuery:
-    """Order JSON messages -> order table laid out ``create_date=/batch_id=``, one row per order id."""
-    w = (parse_orders(messages).writeStream.foreachBatch(order_batch_writer(order_table))
+                       name: str | None = None, delay: str = DELAY) -> StreamingQuery:
+    """Order JSON messages -> order table laid out ``create_date=/batch_id=``, one row per order id.
+
+    The ids stored are kept in state (:mod:`seen_keys`) until ``delay`` after their day, so no batch reads the table;
+    :func:`order_batch_writer` does the same from the stored rows, outside a stream. A message that stands
+    alone has its own text and a random number as key. An order without a date is known on the day it arrives.
+    """
+    parsed = parse_orders(messages).withColumn("_alone", F.when(_stands_alone(), F.uuid()))
+    day = F.timestamp_micros(ntz_to_epoch_us(F.col("create_date").cast("timestamp_ntz")))
+    firsts = first_per_key_stream(parsed, [*ORDER_KEYS, "_alone"], ORDER_FIRST, day, delay).drop("_alone")
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        write_dated_batch(batch_df, order_table, batch_id, "create_date")
+
+    w = (firsts.writeStream.foreachBatch(write).outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
     if name:
         w = w.queryName(name)
-    return start_stream(w, messages.sparkSession)
+    return start_stream(w, messages.sparkSession, STATE_CONF)
 
 
 def read_orders(spark: SparkSession, order_table: str, dates: list | None = None) -> DataFrame | None:

@@ -38,12 +38,12 @@ def test_rollups_read_only_needed_columns(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in p
 
 
-def test_alert_windows_expand_pre_aggregated_buckets(spark):
-    p = plan(E.queries()["coupon_alerts_5min"](spark, SF_SMALL))
-    # the window fan-out (explode of window indexes) sits above the bucket aggregation, not on raw events
-    assert p.index("Generate explode(sequence") < p.rindex("partial_collect_set")
-    # the screen over all windows is a hash aggregation on (mid, long window index)
-    assert "HashAggregate(keys=[mid#" in p and ", k#" in p
+@pytest.mark.parametrize("name", ["coupon_alerts", "coupon_alerts_5min", "alert_events", "alert_upsert", "alert_documents_minute"])
+def test_alerts_scan_and_shuffle_the_events_once(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert p.count("FileScan") == 1 and p.count("Exchange") == 1 and "Aggregate" not in p and "Join" not in p, p
+    # the only fan-out is an event's one or two time chunks, no copy per window
+    assert p.count("Generate") == 1 and "c#" in [line for line in p.splitlines() if "Generate" in line][0]
 
 
 def test_sale_detail_shuffles_lines_twice(spark, no_broadcast):

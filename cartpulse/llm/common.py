@@ -14,15 +14,22 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def scratch_uri(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``, scheme kept."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``, with its scheme."""
+    return qualified(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the file system that Spark's own readers and writers take it from,
+    so that files written from tasks lie in the same place as tables."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: the lineage
     ends here, and every executor can read the rows after another one is lost."""
     path = scratch_uri(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,9 +6,10 @@ an array of word numbers in which a word unknown to the benchmark breaks every
 window. Rolling hashes of those numbers are looked up in the sorted window
 hashes, and every hash hit is verified word by word.
 
-The set is split by item hash into blocks of at most ``max_set_words`` words:
-one block is what is broadcast at a time, so the broadcast stays bounded for any
-benchmark, and a benchmark beyond the bound costs one more scan per block.
+A benchmark of more than ``max_set_words`` words is scanned in blocks: its windows,
+made on the executors, are split by window hash, one block's set is broadcast and scanned with, the
+documents' findings are written, and the block is released before the next one. So one set is alive at a time,
+an item of any length is split, and a larger benchmark costs more scans, not more memory.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import id_text
+from cartpulse.llm.common import stored
 
 WINDOW = 10
 MAX_SET_WORDS = 2_000_000
@@ -44,19 +45,29 @@ def _hashes(ids: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
-def window_set(items: list[tuple[str, bytes | None]], window: int = WINDOW) -> tuple:
-    """Windows of some items: word numbers, windows with their items per length, sorted hashes per length."""
+def windows_of(text: bytes | None, window: int = WINDOW) -> set[tuple[bytes, ...]]:
+    """Distinct windows of an item's words; the whole item if it is shorter."""
+    words = tokens(text)
+    size = min(window, len(words))
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def numbered(found) -> tuple:
+    """Windows ``(item, words)`` as a set to scan with: word numbers, windows with their items per length, sorted hashes per length."""
     words: dict[bytes, int] = {}
     windows: dict[int, dict[tuple, set]] = {}
-    for item, text in items:
-        ids = [words.setdefault(w, len(words) + 1) for w in tokens(text)]
-        size = min(window, len(ids))
-        for i in range(len(ids) - size + 1 if ids else 0):
-            windows.setdefault(size, {}).setdefault(tuple(ids[i:i + size]), set()).add(item)
+    for item, gram in found:
+        ids = tuple(words.setdefault(w, len(words) + 1) for w in gram)
+        windows.setdefault(len(ids), {}).setdefault(ids, set()).add(item)
     hashes = {size: np.unique(np.array([_hashes(np.array(w, np.uint64), size)[0] for w in ws], np.uint64)) for size, ws in windows.items()}
     return words, windows, hashes
 
 
+def window_set(items: list[tuple[str, bytes | None]], window: int = WINDOW) -> tuple:
+    """The set of some items' windows."""
+    return numbered((item, gram) for item, text in items for gram in windows_of(text, window))
+
+
 def merge(ranges) -> list[tuple[int, int]]:
     """Sorted, overlapping or touching [start, end) ranges joined."""
     out: list[tuple[int, int]] = []
@@ -89,13 +100,25 @@ def scan(text: bytes | None, one: tuple) -> tuple[int, list[tuple[int, int]], se
 
 
 def window_sets(benchmark: DataFrame, window: int = WINDOW, max_set_words: int = MAX_SET_WORDS, item_col: str = "item_id", text_col: str = "text"):
-    """The benchmark as ``window_set`` blocks of about ``max_set_words`` words, one after the other."""
+    """Number of blocks, and the benchmark's sets of about ``max_set_words`` words one after the other."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null and text is not null")
-    words = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0  # a word has a byte and a separator at least
-    blocks = int(words // max_set_words) + 1
-    for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        yield window_set([(r["item_id"], r["text"].encode()) for r in part.toLocalIterator()], window)
+    size = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0  # a word has a byte and a separator at least
+    if size <= max_set_words:
+        return 1, iter([window_set([(r["item_id"], r["text"].encode()) for r in items.toLocalIterator()], window)])
+
+    def run(batches):
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                grams = [b" ".join(g).decode() for g in windows_of(text, window)]
+                for at in range(0, len(grams), 10_000):
+                    some = grams[at:at + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(some), pa.string()), pa.array(some, pa.string())], ["item_id", "gram"])
+
+    grams = stored(items.mapInArrow(run, "item_id string, gram string"), "benchmark-windows")
+    size = grams.agg(F.sum(F.octet_length("gram") / 2 + 1)).first()[0] or 0
+    blocks = int(size // max_set_words) + 1
+    split = stored(grams.withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)).cast("int")), "benchmark-blocks", "block")
+    return blocks, (numbered((r["item_id"], tuple(r["gram"].encode().split())) for r in split.filter(F.col("block") == k).toLocalIterator()) for k in range(blocks))
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_set_words: int = MAX_SET_WORDS,
@@ -110,11 +133,12 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     base = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = base.select("row", "doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<s:long,e:long>>").alias("hits"),
                       F.array().cast("array<string>").alias("items"))
-    row = out.schema["row"].dataType.simpleString()
-    schema = f"row {row}, doc_id long, text string, n_words long, hits array<struct<s:long,e:long>>, items array<string>"
+    schema = out.schema  # a type object, not its text: column names may hold any sign
     arrow_hits = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-    for block in window_sets(benchmark, window, max_set_words):
+    blocks, sets = window_sets(benchmark, window, max_set_words)
+    for k, block in enumerate(sets, 1):
         shared = sc.broadcast(block)
+        del block
 
         def run(batches, shared=shared):
             one = shared.value
@@ -129,6 +153,9 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                                                   pa.array(items, pa.list_(pa.string()))], ["row", "doc_id", "text", "n_words", "hits", "items"])
 
         out = out.mapInArrow(run, schema)
+        if k < blocks:  # the findings are written, so this set may go before the next one comes
+            out = stored(out, "benchmark-findings")
+            shared.destroy()
     return out.drop("text")
 
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import os
-from urllib.parse import urlparse
+import re
 
 
 def _store(uri: str):
-    """File system and path of a URI. A path without scheme or a ``file:`` URI is a shared mount;
-    other schemes go through Arrow's file systems (hdfs, s3, gs)."""
+    """File system and path of a full URI (``common.qualified``). ``file:`` is a shared mount, its path taken as it
+    stands, whatever signs it holds; other schemes go through Arrow's file systems (hdfs, s3, gs).
+    A path without scheme is an error: which file system it belongs to is the driver's to say."""
     from pyarrow import fs
 
-    if urlparse(uri).scheme in ("", "file"):
-        return fs.LocalFileSystem(), urlparse(uri).path
+    scheme, colon, path = uri.partition(":")
+    if not colon or not re.fullmatch("[A-Za-z][A-Za-z0-9+.-]*", scheme):
+        raise ValueError(f"no file system named in {uri!r}")
+    if scheme == "file":
+        return fs.LocalFileSystem(), re.sub("^/+", "/", path)
     return fs.FileSystem.from_uri(uri)
 
 

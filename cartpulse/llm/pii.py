@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cartpulse.llm.common import id_text, stored
 
@@ -446,8 +447,10 @@ def tag(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, t) for c, t in zip(cols, types))],
                                              ["row", "doc_id", "text", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
 
-    return base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, doc_id long, text string, n_email long, n_ip long, "
-                                "n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    # a type object, not its text: column names may hold any sign
+    longs = [StructField(c, LongType()) for c in ("n_email", "n_ip", "n_card", "n_phone")]
+    texts = [StructField(c, StringType()) for c in ("base_sha256", "spans")]
+    return base.mapInArrow(run, StructType([base.schema["row"], base.schema["doc_id"], base.schema["text"], *longs, *texts, StructField("n_added", LongType())]))
 
 
 def pii_report(docs: DataFrame, **options) -> DataFrame:

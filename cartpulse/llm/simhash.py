@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cartpulse.llm.common import id_text, stored
 from cartpulse.llm.components import components
@@ -150,7 +151,6 @@ def dedup(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, id_col: st
             fps = [fingerprint(t, shingle_words) for t in b.column("txt").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), pa.array(np.array(fps, np.uint64).view(np.int64))], ["row", "id", "fp"])
 
-    row_type = tagged.schema["row"].dataType.simpleString()
-    tagged = tagged.mapInArrow(tag, f"row {row_type}, id long, fp long")
+    tagged = tagged.mapInArrow(tag, StructType([tagged.schema["row"], tagged.schema["id"], StructField("fp", LongType())]))
     kept = tagged.join(roots, tagged["id"].eqNullSafe(roots["doc_id"]) & (tagged["fp"] == roots["fp"])).select("row", "id", "root")
     return kept.dropDuplicates(["id", "root"]).select([F.col("row").getField(c).alias(c) for c in cols])

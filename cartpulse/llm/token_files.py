@@ -7,8 +7,9 @@ groups so far. Documents are ranged over files by doc_id and sorted inside a
 file. A task writes one file under a name of its own; only files
 named in the committed manifest count, so lost or repeated tasks leave no rows behind.
 
-Encoding is done word by word through a cache, as the tokenizer itself never
-looks across white space (its splitter drops it and no other rule spans it):
+Encoding is done word by word through a cache where the tokenizer itself never
+looks across white space (its splitter drops it and no other rule spans it; a file
+with another normaliser, splitter or model is given whole texts):
 a word seen before costs one lookup. Words of plain letters, digits and signs
 are cut as the tokenizer's own splitter does and go straight to its model; all others,
 and any word that holds a special token, go through the whole tokenizer.
@@ -17,6 +18,7 @@ and any word that holds a special token, go through the whole tokenizer.
 from __future__ import annotations
 
 import io
+import json
 import re
 import struct
 import sys
@@ -30,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import id_text, scratch_uri, stored
+from cartpulse.llm.common import id_text, qualified, scratch_uri, stored
 from cartpulse.llm.files import open_input, open_output
 from cartpulse.llm.range_coder import BLOCK, decode_group, encode_group
 
@@ -95,19 +97,53 @@ class WordCache(dict):
         return found
 
 
-def word_cache(tokenizer_file: str | None = None) -> WordCache:
+#: The parts of a tokenizer file for which words may be encoded one by one.
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "truncation": None, "padding": None}
+MODEL_RULES = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>",
+               "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+class WholeTexts:
+    """Any other tokenizer: the library encodes each text whole."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+
+    def encode(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
+
+
+def by_words(spec: dict) -> bool:
+    """Whether a tokenizer file's rules are those that never look across white space."""
+    model = {k: v for k, v in spec["model"].items() if k not in ("vocab", "merges")}
+    plain = all("<" in t["content"] and not any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized")) and not t["content"].split()[1:]
+                for t in spec.get("added_tokens", []))
+    return plain and model == MODEL_RULES and all(spec.get(k) == v for k, v in WORD_RULES.items())
+
+
+def word_cache(tokenizer_file: str | None = None) -> WordCache | WholeTexts:
     """The worker's cache for a tokenizer file; kept while the worker lives."""
     kept = sys.modules.setdefault("_token_caches", types.ModuleType("_token_caches")).__dict__
     if (tokenizer_file or "") not in kept:
         from tokenizers import Tokenizer
         if tokenizer_file is None:
             import public_tokenizers
-        kept[tokenizer_file or ""] = WordCache(Tokenizer.from_file(tokenizer_file or public_tokenizers.path(VOCABULARY)))
+        path = tokenizer_file or public_tokenizers.path(VOCABULARY)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        kept[tokenizer_file or ""] = (WordCache if by_words(spec) else WholeTexts)(Tokenizer.from_file(path))
     return kept[tokenizer_file or ""]
 
 
 def encode_text(cache: WordCache, text: bytes | None) -> np.ndarray:
     """Ids of a whole text; None is empty."""
+    if isinstance(cache, WholeTexts):
+        return cache.encode(text or b"")
     return np.frombuffer(b"".join(map(cache.__getitem__, (text or b"").split())), "<u4")
 
 
@@ -187,6 +223,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str | None = None
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files below ``folder``; returns the manifest
     ``(path, first_id, n_docs, n_ids, bytes)``, stored."""
+    folder = qualified(docs.sparkSession, folder)
     rows = id_text(docs, id_col, text_col).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     end = np.array([] if end_id is None else [end_id], np.uint32)
 

@@ -5,8 +5,8 @@ dictionary, followed by one Zstandard frame per record: a warcinfo record, then
 the pages' records. A reader takes the dictionary from the leading frame and can
 decompress any record alone from its offset.
 
-The dictionary is built from a bounded sample of the records (``SAMPLE_RECORDS``
-of the smallest id hashes, ``SAMPLE_BYTES`` of each at most), once per run, so
+The dictionary is built from a bounded sample of the records as they are archived, headers
+included (``sample_records`` of the smallest id hashes, ``sample_bytes`` of each at most), once per run, so
 that all archives share it. Equal payloads are stored once: the record with the
 largest id is the response, the others revisit it. Each task streams its
 rows into one archive below the shared folder under a name of its own; only
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartpulse.llm.common import scratch_uri, stored
+from cartpulse.llm.common import qualified, scratch_uri, stored
 from cartpulse.llm.files import open_input, open_output
 
 SKIPPABLE = 0x184D2A5D
@@ -109,14 +109,16 @@ def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT, id_col: str =
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str, **options) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, sample_records: int = SAMPLE_RECORDS, sample_bytes: int = SAMPLE_BYTES, **options) -> DataFrame:
     """Write the archives below ``folder``; returns the manifest ``(path, records, bytes)``, stored."""
+    folder = qualified(pages.sparkSession, folder)
     rows = plan_records(pages, **options)
-    # the ids are picked first: only the sample's payloads travel, not each task's share of candidates
-    picked = F.broadcast(rows.select("page_id").filter("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE_RECORDS))
-    heads = rows.join(picked, "page_id", "left_semi").groupBy("page_id").agg(F.min(F.substring("payload", 1, SAMPLE_BYTES)).alias("head"))
-    sample = [bytes(r["head"]) for r in heads.orderBy("page_id").collect()]
-    words = train_dictionary([head for head in sample if head])
+    # the ids are picked first, the smallest hashes of every task: only the sample's payloads travel
+    picked = F.broadcast(rows.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_records))
+    first = F.min(F.struct(F.substring("payload", 1, sample_bytes).alias("head"), "url", "payload_digest", "refers_to")).alias("r")
+    sampled = rows.join(picked, "page_id", "left_semi").groupBy("page_id").agg(first).orderBy("page_id").select("page_id", "r.*").collect()
+    words = train_dictionary([record("response" if r["refers_to"] is None else "revisit", r["page_id"], r["url"], bytes(r["head"]), r["payload_digest"], r["refers_to"])
+                              for r in sampled])
 
     def run(batches):
         out, n, size, path = None, 0, 0, f"{folder}/{uuid.uuid4().hex}.warc.zst"

@@ -3,6 +3,7 @@
 import io
 import itertools
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
-from cartpulse.llm import packing, range_coder, sharding, simhash, token_files, warc
-from cartpulse.llm.common import scratch_uri, table
+from cartpulse.llm import files, packing, range_coder, sharding, simhash, token_files, warc
+from cartpulse.llm.common import qualified, scratch_uri, table
 from cartpulse.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -192,6 +193,39 @@ def test_op8_against_brute_force(spark, tokenizer):
     assert rows == want
 
 
+def test_another_tokenizer_file_is_given_whole_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, rows = Tokenizer.from_file(path), [(1, "Two  Words\n here, HERE's"), (2, None), (3, " lead <|endoftext|> x")]
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.tokenize(frame(spark, rows), tokenizer_file=path).collect()}
+    for d, t in rows:
+        ids = [*other.encode(t or "", add_special_tokens=False).ids, 2]
+        assert got[d] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert isinstance(token_files.word_cache(), token_files.WordCache)
+
+
+def test_files_lie_on_the_file_system_of_the_tables(spark):
+    """A folder without scheme is qualified by the default file system; a file system that tasks cannot
+    open is an error, never a local folder. Signs of a URI in a folder's name stay part of it."""
+    base = scratch_uri(spark, "any#sign?x").removeprefix("file:")
+    assert base.startswith("/")
+    for out in (warc.write_archives(table(spark, SF, "pages").limit(5), f"{base}/w"), token_files.write_tokens(table(spark, SF, "documents").limit(5), f"{base}/t")):
+        paths = [r["path"] for r in out.select("path").collect()]
+        assert paths and all(p.startswith(f"file:{base}/") and os.path.exists(p.removeprefix("file:")) for p in paths)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    conf.set("fs.viewfs.mounttable.cartllm.link./shared", f"file:{base}")
+    conf.set("fs.defaultFS", "viewfs://cartllm/")
+    try:
+        assert qualified(spark, "/shared/x") == "viewfs://cartllm/shared/x"
+        with pytest.raises(Exception, match="viewfs|Unrecognized"):
+            warc.write_archives(table(spark, f"file:{SF}", "pages").limit(5), "/shared/only")
+    finally:
+        conf.set("fs.defaultFS", old)
+    assert not os.path.exists("/shared/only") and not os.path.exists(f"{base}/only")
+    with pytest.raises(ValueError):
+        files._store("/no/scheme")
+
+
 def test_token_files_odd_rows(spark):
     rows = token_files.tokenize(frame(spark, ODD, "")).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in rows) == [(-1, 1), (-1, 5), (1, 1), (2, 1), (3, 5), (3, 5), (4, 5), (5, 1), (6, 30_001)]

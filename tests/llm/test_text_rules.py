@@ -8,13 +8,14 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
-from cartpulse.llm import decontaminate, pii, quality_rules, secrets, url_filter
+from cartpulse.llm import decontaminate, pii, quality_rules, secrets, simhash, url_filter
 from cartpulse.llm.common import table
 from cartpulse.llm.queries import LLM_ORACLE
 
@@ -131,6 +132,38 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     assert any(r[5] for r in one)
 
 
+def test_one_set_is_alive_at_a_time(spark, monkeypatch):
+    """An item longer than the bound is split, every block is scanned by one Python stage, and released before the next."""
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(900))), (2, "w5 w6 w7"), (3, " ".join(f"w{i}" for i in range(300, 420)))], "item_id long, text string")
+    docs = frame(spark, [(1, " ".join(f"w{i}" for i in range(200, 700))), (2, "x w5 w6 w7 y"), (3, "w1 w2"), (4, " ".join(f"w{i}" for i in range(890, 900)))])
+    want = sorted(map(tuple, decontaminate.contamination_report(docs, bench).collect()))
+    released, alive = [], []
+    context = type(spark.sparkContext)
+    real = context.broadcast
+
+    def counted(self, value):
+        shared = real(self, value)
+        alive.append(len(value[0]))
+        destroy = shared.destroy
+        monkeypatch.setattr(shared, "destroy", lambda *a: (released.append(len(alive)), destroy(*a)), raising=False)
+        return shared
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    report = decontaminate.contamination_report(docs, bench, max_set_words=2_000)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and len(alive) > 3 and released == list(range(1, len(alive)))
+    assert sorted(map(tuple, report.collect())) == want and [r[2] for r in want] == [500, 3, 0, 10]
+
+
+@pytest.mark.parametrize("name", ["a.b", "my col", "back`tick", "row", "id"])
+def test_stages_take_any_column_name(spark, name):
+    rows = [(1, "one two three a@b.org " * 20, 0), (2, "one two three a@b.org " * 20, 1), (2, "other words here", 2), (None, None, 3)]
+    docs = spark.createDataFrame(rows, StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField(name, LongType())]))
+    bench = spark.createDataFrame([(1, "nothing of this")], "item_id long, text string")
+    for out in (decontaminate.decontaminate(docs, bench), pii.redact(docs), simhash.dedup(docs)):
+        assert out.columns == docs.columns and out.count() >= 3
+
+
 def test_decontamination_odd_rows(spark):
     bench = spark.createDataFrame([(1, "b c"), (2, None), (None, "a b"), (3, "..."), (1, "b c")], "item_id long, text string")
     rows = decontaminate.contamination_report(frame(spark, [(*r, 0) for r in ODD], ", hits int"), bench).collect()

@@ -34,3 +34,15 @@ def test_stream_partition_count_is_kept_in_the_checkpoint(spark):
     meta = json.loads(open(offsets[0]).read().splitlines()[1])
     assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
     assert sorted(r["count"] for r in spark.table("parts_test").collect()) == [3, 3, 4]
+
+
+def test_entry_survives_a_missing_library():
+    """With a library of the training-data operators absent, all other queries register."""
+    import subprocess
+    import sys
+    root = __import__("pathlib").Path(__file__).resolve().parent.parent
+    code = ("import sys; sys.modules['xxhash'] = None; sys.modules['sentencepiece'] = None\n"
+            "import __spark_entry__ as E; from cartpulse.plans.catalog import ALL_QUERIES\n"
+            "assert set(ALL_QUERIES) <= set(E.queries()) and E.oracle_sql()")
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-500:]

@@ -12,6 +12,7 @@ event time.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,15 @@ from cartpulse.operators import dau as DAU
 from cartpulse.operators import gmv as GMV
 from cartpulse.operators import sales as SALES
 from cartpulse.plans import dashboard as DASH
+from cartpulse.plans.publisher import HourPublisher
 from cartpulse.sources import json_logs as JL
 from cartpulse.session import scratch_path
 from cartpulse.sources import tables as TB
 from cartpulse.streaming import alert_stream as AS
 from cartpulse.streaming import cdc_stream as CS
 from cartpulse.streaming import dau_stream as DS
+from cartpulse.streaming import first_days as FD
+from cartpulse.streaming import folds as FO
 from cartpulse.streaming import gmv_stream as GS
 from cartpulse.streaming import replay as RP
 from cartpulse.streaming import sale_stream as SS
@@ -389,6 +393,7 @@ def q_stream_alert_documents(spark, sf):
     src = f"{work}/source"
 
     def start():
+        AS.fold_alert_docs(spark, f"{work}/docs", 8)
         alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), delay=ALERT_DELAY_T, every_event=True)
         return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint")
 
@@ -396,6 +401,39 @@ def q_stream_alert_documents(spark, sf):
     return _doc_columns(AS.read_alert_docs(spark, f"{work}/docs"))
 
 
+def _hour_publisher(spark, sf):
+    """Device and order streams with their hour tables, folded while they grow, and the first-day stream behind the devices."""
+    work = scratch_path(spark, "stream_hours")
+    startup, orders = TB.startup_log(spark, sf), TB.hourly_orders(spark, sf)
+    msgs = orders.select(F.to_json(F.struct("id", "user_id", "total_amount", "create_time")).alias("value"), F.to_timestamp_ntz("create_time").alias("ts"))
+    sums = {"dau": ("log_date", FO.added_up(["log_date", "log_hour"], dau="bigint")),
+            "amounts": ("create_date", FO.added_up(["create_date", "create_hour"], order_amount="decimal(38,2)")),
+            "new": ("log_date", FO.added_up(["log_date"], change="bigint"))}
+
+    def start():
+        for name, (day, combine) in sums.items():
+            FO.fold(spark, f"{work}/{name}", day, combine, fan=2)
+            FO.vacuum(spark, f"{work}/{name}", day, 1)
+        RP.run_available(GS.start_order_stream(spark.readStream.text(f"{work}/o_src"), f"{work}/orders", f"{work}/ck_orders", hours_table=f"{work}/amounts"))
+        RP.run_available(DS.start_dau_stream(RP.stream_reader(spark, f"{work}/s_src", startup.schema), f"{work}/rows", f"{work}/ck_dau",
+                                             hours_table=f"{work}/dau"))
+        device_rows = RP.stream_reader(spark, f"{work}/rows", SK.read_table(spark, f"{work}/rows").schema)
+        return FD.start_new_device_stream(device_rows, f"{work}/new", f"{work}/ck_new")
+
+    RP.replay([(startup, "ts", f"{work}/s_src", "parquet"), (msgs, "ts", f"{work}/o_src", "text")], N_SLICES_T, start)
+    return HourPublisher(spark, f"{work}/dau", f"{work}/amounts", f"{work}/new")
+
+
+def q_stream_dashboard(spark, sf):
+    """The dashboard from partial sums: KPI rows (``part`` total) and both metrics' hours; no device row and no order is read."""
+    pub = _hour_publisher(spark, sf)
+    none = F.lit(None).cast("double").alias("yesterday")
+    parts = [pub.realtime_total().select(F.lit("total").alias("part"), "day", F.col("id").alias("key"), F.col("value").alias("today"), none)]
+    parts += [pub.realtime_hours(m).select(F.lit(m).alias("part"), "day", F.col("hour").alias("key"), F.col("today").cast("double").alias("today"),
+                                           F.col("yesterday").cast("double").alias("yesterday")) for m in DASH.METRICS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_sale_detail_stream(spark, sf):
     work = scratch_path(spark, "stream_sale")
     orders = TB.load_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
@@ -434,6 +472,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_gmv": q_stream_gmv,
     "stream_coupon_alerts": q_stream_coupon_alerts,
     "stream_alert_documents": q_stream_alert_documents,
+    "stream_dashboard": q_stream_dashboard,
     "sale_detail_stream": q_sale_detail_stream,
     "stream_cdc_order_inserts": q_stream_cdc_order_inserts,
 }

@@ -224,3 +224,8 @@ SELECT (SELECT count(*) FROM found) AS total,
     "realtime_hours_gmv_day": _on("realtime_hours_gmv", "day", "2024-01-15"),
     "realtime_total_day": _on("realtime_total", "day", "2024-01-15"),
 })
+
+ORACLE_SQL["stream_dashboard"] = " UNION ALL ".join(
+    [f"SELECT 'total' AS part, day, id AS key, value AS today, CAST(NULL AS DOUBLE) AS yesterday FROM ({ORACLE_SQL['realtime_total']})"]
+    + [f"SELECT '{metric}' AS part, day, hour AS key, CAST(today AS DOUBLE) AS today, CAST(yesterday AS DOUBLE) AS yesterday FROM ({ORACLE_SQL[query]})"
+       for metric, query in (("dau", "realtime_hours_dau"), ("order_amount", "realtime_hours_gmv"))])

@@ -4,6 +4,9 @@ The device-row table (``stream_dau``) is laid out ``log_date=/batch_id=`` and
 the order table (``stream_gmv``) ``create_date=/batch_id=``, so a one-day
 request reads only that day's folders (partition pruning, or only those
 folders listed); "yesterday" adds one more.
+
+With the streams' hour tables and the first-day table (:class:`HourPublisher`) a poll reads the
+folded partial sums of one or two dates, whatever the day's rows and the device history.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 from cartpulse.operators import dau as DAU
 from cartpulse.operators import gmv as GMV
 from cartpulse.plans import dashboard as DASH
+from cartpulse.streaming.first_days import read_new_devices
+from cartpulse.streaming.folds import read_folded
 from cartpulse.streaming.gmv_stream import read_orders
 from cartpulse.streaming.sinks import read_table
 
@@ -78,3 +83,37 @@ class Publisher:
         """One of the four dashboard lookups (``SQL`` keys) for ``date`` via ``spark.sql``."""
         views = getattr(self, "_views", None) or self.register_views()
         return self.spark.sql(self.SQL[name].format(**views), args={"d": dt.date.fromisoformat(date)})
+
+
+class HourPublisher:
+    """The same answers from partial sums: hours of devices and orders per batch, changes of first days."""
+
+    def __init__(self, spark: SparkSession, dau_hours_table: str, order_hours_table: str, new_devices_table: str):
+        self.spark, self.dau_table, self.order_table, self.new_table = spark, dau_hours_table, order_hours_table, new_devices_table
+
+    def dau_hours(self, dates: list | None = None) -> DataFrame:
+        parts = read_folded(self.spark, self.dau_table, "log_date", dates)
+        if parts is None:
+            return self.spark.createDataFrame([], "log_date date, log_hour string, dau bigint")
+        return parts.groupBy("log_date", "log_hour").agg(F.sum("dau").alias("dau"))
+
+    def gmv_hours(self, dates: list | None = None) -> DataFrame:
+        parts = read_folded(self.spark, self.order_table, "create_date", dates)
+        if parts is None:
+            return self.spark.createDataFrame([], "create_date date, create_hour string, order_amount double")
+        return parts.groupBy("create_date", "create_hour").agg(F.sum("order_amount").cast("double").alias("order_amount"))
+
+    def realtime_total(self, date: str | None = None) -> DataFrame:
+        """KPI rows of one date, or of every date."""
+        dates = None if date is None else [dt.date.fromisoformat(date)]
+        dau = self.dau_hours(dates).groupBy("log_date").agg(F.sum("dau").alias("dau"))
+        orders = read_folded(self.spark, self.order_table, "create_date", dates)
+        amount = self.gmv_hours(dates) if orders is None else orders
+        gmv = amount.groupBy("create_date").agg(F.sum("order_amount").cast("double").alias("order_amount"))
+        return DASH.realtime_total(dau, read_new_devices(self.spark, self.new_table, dates), gmv, date)
+
+    def realtime_hours(self, metric: str, date: str | None = None) -> DataFrame:
+        """Today and yesterday by hour, of one date or of every date."""
+        day = None if date is None else dt.date.fromisoformat(date)
+        dates = None if day is None else [day, day - dt.timedelta(days=1)]
+        return DASH.realtime_hours_for(metric, self.dau_hours(dates), self.gmv_hours(dates), date)

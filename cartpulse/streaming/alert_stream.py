@@ -29,6 +29,7 @@ from cartpulse.functions.timeparts import epoch_bucket, ntz_to_epoch_us, ntz_to_
 from cartpulse.operators.alerts import _Grid, chunk_buckets, with_chunks
 from cartpulse.operators.sweep import Bucket, Rule, alerted
 from cartpulse.session import start_stream
+from cartpulse.streaming.folds import fold_documents, read_documents
 from cartpulse.streaming.seen_keys import STATE_CONF
 from cartpulse.streaming.sinks import read_table, write_batch
 
@@ -155,11 +156,20 @@ def read_alerts(spark: SparkSession, windows_table: str) -> DataFrame:
     return _current(log, ["mid", "window_start", "window_end"], ["batch_id"])
 
 
-def read_alert_docs(spark: SparkSession, docs_table: str) -> DataFrame:
-    """Alert documents as of the last batch: of each ``alert_id`` the newest version (in one batch: the newest window)."""
-    log = read_table(spark, docs_table, DOC_SCHEMA)
-    log = spark.createDataFrame([], DOC_SCHEMA) if log is None else log
-    return _current(log, ["alert_id"], ["batch_id", "ts"])
+DOC_VERSION = ["batch_id", "ts"]  # the newest batch, in it the newest window
+
+
+def fold_alert_docs(spark: SparkSession, docs_table: str, buckets: int = 64) -> int:
+    """Merge the document versions so far into the snapshot; only buckets with new versions are written again."""
+    return fold_documents(spark, docs_table, "alert_id", DOC_VERSION, "clicked", buckets, DOC_SCHEMA)
+
+
+def read_alert_docs(spark: SparkSession, docs_table: str, only: list[str] | None = None) -> DataFrame:
+    """Alert documents as of the last batch: of each ``alert_id`` the newest version, those taken back left out;
+    ``only`` the documents of these ids, from their buckets."""
+    docs = read_documents(spark, docs_table, "alert_id", DOC_VERSION, "clicked", DOC_SCHEMA, only)
+    docs = spark.createDataFrame([], DOC_SCHEMA) if docs is None else docs
+    return docs.drop("clicked", "batch_id")
 
 
 def start_alert_stream(alerts: DataFrame, windows_table: str, docs_table: str, checkpoint: str,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.timeparts import ntz_to_instant
-from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER
+from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER, dau_hours
 from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.session import start_stream
 from cartpulse.streaming.seen_keys import DELAY, STATE_CONF, first_per_key_stream
@@ -56,16 +56,22 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
 
 
 def start_dau_stream(startup: DataFrame, rows_table: str, checkpoint: str, counts_table: str | None = None,
-                     trigger: dict | None = None, name: str | None = None, delay: str = DELAY) -> StreamingQuery:
+                     trigger: dict | None = None, name: str | None = None, delay: str = DELAY,
+                     hours_table: str | None = None) -> StreamingQuery:
     """Device rows of a start-up stream; a day's devices are remembered until ``delay`` after its end.
 
-    ``counts_table`` gets the device rows of each batch (its input rows are in the query's progress).
+    ``counts_table`` gets the device rows of each batch (its input rows are in the query's progress);
+    ``hours_table`` the batch's devices per (log_date, log_hour): each device is counted once, so hours add up over batches.
     """
     firsts = first_per_key_stream(startup, DAU_KEYS, DAU_ORDER, ntz_to_instant("ts"), delay)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         kept = Observation(f"dau_{batch_id}")
-        write_dated_batch(batch_df.observe(kept, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
+        rows = batch_df.persist() if hours_table is not None else batch_df
+        write_dated_batch(rows.observe(kept, F.count(F.lit(1)).alias("n")), rows_table, batch_id, "log_date")
+        if hours_table is not None:
+            write_dated_batch(dau_hours(rows), hours_table, batch_id, "log_date")
+            rows.unpersist()
         if counts_table is not None:
             n = F.lit(kept.get.get("n", 0)).cast("bigint").alias("n_after")
             write_batch(batch_df.sparkSession.range(1).select(F.lit(batch_id).cast("bigint").alias("stream_batch"), n), counts_table, batch_id)

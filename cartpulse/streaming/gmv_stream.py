@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartpulse.functions.money import money_sum
+from cartpulse.functions.money import MONEY, money_sum
 from cartpulse.functions.timeparts import ntz_to_epoch_us
 from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
 from cartpulse.schemas import CORRUPT_COL
@@ -54,19 +54,25 @@ def order_batch_writer(order_table: str):
 
 
 def start_order_stream(messages: DataFrame, order_table: str, checkpoint: str, trigger: dict | None = None,
-                       name: str | None = None, delay: str = DELAY) -> StreamingQuery:
+                       name: str | None = None, delay: str = DELAY, hours_table: str | None = None) -> StreamingQuery:
     """Order JSON messages -> order table laid out ``create_date=/batch_id=``, one row per order id.
 
     The ids stored are kept in state (:mod:`seen_keys`) until ``delay`` after their day, so no batch reads the table;
     :func:`order_batch_writer` does the same from the stored rows, outside a stream. A message that stands
     alone has its own text and a random number as key. An order without a date is known on the day it arrives.
+    ``hours_table`` gets the batch's exact sums per (create_date, create_hour), which add up over batches.
     """
     parsed = parse_orders(messages).withColumn("_alone", F.when(_stands_alone(), F.uuid()))
     day = F.timestamp_micros(ntz_to_epoch_us(F.col("create_date").cast("timestamp_ntz")))
     firsts = first_per_key_stream(parsed, [*ORDER_KEYS, "_alone"], ORDER_FIRST, day, delay).drop("_alone")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        write_dated_batch(batch_df, order_table, batch_id, "create_date")
+        rows = batch_df.persist() if hours_table is not None else batch_df
+        write_dated_batch(rows, order_table, batch_id, "create_date")
+        if hours_table is not None:
+            cents = rows.where(F.col(CORRUPT_COL).isNull() & F.col("create_date").isNotNull()).groupBy("create_date", "create_hour")
+            write_dated_batch(cents.agg(F.sum(F.col("total_amount").cast(MONEY)).cast("decimal(38,2)").alias("order_amount")), hours_table, batch_id, "create_date")
+            rows.unpersist()
 
     w = (firsts.writeStream.foreachBatch(write).outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))

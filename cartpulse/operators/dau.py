@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartpulse.functions.timeparts import epoch_bucket
+from cartpulse.functions.timeparts import EPOCH_NTZ, epoch_bucket, ntz_to_epoch_us, two_digit_hour
 from cartpulse.operators.dedup import first_per_key
 
 DAU_KEYS = ("mid", "log_date")
@@ -18,50 +18,50 @@ def dau_rows(startup: DataFrame, keys=DAU_KEYS, order=DAU_ORDER) -> DataFrame:
     return first_per_key(startup, keys, order)
 
 
+def active_devices(startup: DataFrame) -> DataFrame:
+    """(mid, log_date) of every active device: all that counting needs."""
+    return startup.select(*DAU_KEYS).distinct()
+
+
+def first_hours(startup: DataFrame) -> DataFrame:
+    """(mid, log_date, log_hour) of each device's first start-up.
+
+    The earliest time decides the hour whatever the id, so the dedup is a minimum of one fixed-width
+    number: a hash aggregation on both sides of the shuffle, without a sort.
+    """
+    first = startup.groupBy(*DAU_KEYS).agg(F.min(ntz_to_epoch_us("ts")).alias("_us"))
+    return first.select(*DAU_KEYS, two_digit_hour(F.timestamp_add("MICROSECOND", F.col("_us"), EPOCH_NTZ())).alias("log_hour"))
+
+
 def with_batch_id(df: DataFrame, batch_ms: int, ts: str = "ts") -> DataFrame:
     """Micro-batch number of each record when the log is replayed in ``batch_ms`` slices."""
     return df.withColumn("batch_id", epoch_bucket(ts, batch_ms))
 
 
-def _cross_batch(startup: DataFrame, batch_ms: int) -> tuple[DataFrame, DataFrame]:
-    """(in-batch firsts, kept rows); both carry ``n_in``, the input rows of that (key, batch)."""
-    keys = [*DAU_KEYS, "batch_id"]
-    batched = with_batch_id(startup, batch_ms)
-    rest = [c for c in batched.columns if c not in keys]
-    firsts = (batched.groupBy(*keys)
-              .agg(F.min_by(F.struct(*rest), F.struct(*DAU_ORDER)).alias("_first"), F.count("*").alias("n_in"))
-              .select(*keys, "_first.*", "n_in"))
-    seen = (firsts.groupBy(*[F.col(k).alias(f"_s_{k}") for k in DAU_KEYS])
-            .agg(F.min("batch_id").alias("_s_first_batch")))
-    cond = [firsts[k] == seen[f"_s_{k}"] for k in DAU_KEYS] + [seen["_s_first_batch"] < firsts["batch_id"]]
-    kept = firsts.join(seen, cond, "left_anti")
-    return firsts, kept
-
-
 def dau_cross_batch(startup: DataFrame, batch_ms: int) -> DataFrame:
     """Rows kept by the two-stage stream dedup, computed for every micro-batch at once.
 
-    Stage 1 (in batch): first row per (mid, log_date, batch_id).
-    Stage 2 (across batches): drop a row when the same (mid, log_date) was
-    kept by an earlier batch - a left anti join against the seen set. The
-    seen set holds one row per key (the key's first batch, a partial
-    aggregate), so every row is compared with exactly one seen row: no pairs
-    inside a group even when a hot device appears in every batch.
+    Stage 1 keeps the first row per (mid, log_date, batch_id), stage 2 drops a row when an earlier batch kept
+    the same (mid, log_date). What stays is the row of the smallest (batch_id, ts, event_id) per
+    (mid, log_date): one scan, one aggregation, no join with the rows seen before.
     """
-    return _cross_batch(startup, batch_ms)[1].drop("n_in")
+    firsts = first_per_key(with_batch_id(startup, batch_ms), DAU_KEYS, ("batch_id", *DAU_ORDER))
+    rest = [c for c in startup.columns if c not in DAU_KEYS]
+    return firsts.select(*DAU_KEYS, "batch_id", *rest)
 
 
 def dedup_counts(startup: DataFrame, batch_ms: int) -> DataFrame:
     """Per micro-batch: records in, and device rows left after both dedup stages.
 
-    One pass: the in-batch dedup carries each (key, batch)'s input count; a
+    One pass, hash aggregations only: inputs are counted per (mid, log_date, batch); a
     key's first batch comes from a window over (mid, log_date) (at most one
     row per batch of the day per key), and one aggregation per batch counts
     both numbers.
     """
-    firsts, _ = _cross_batch(startup, batch_ms)
+    keys = [*DAU_KEYS, "batch_id"]
+    batches = with_batch_id(startup, batch_ms).groupBy(*keys).agg(F.count("*").alias("n_in"))
     first_batch = F.min("batch_id").over(Window.partitionBy(*DAU_KEYS))
-    return (firsts.withColumn("_first_batch", first_batch)
+    return (batches.withColumn("_first_batch", first_batch)
             .groupBy("batch_id")
             .agg(F.sum("n_in").alias("n_before"),
                  F.count_if(F.col("batch_id") == F.col("_first_batch")).alias("n_after")))

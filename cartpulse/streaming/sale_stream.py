@@ -3,30 +3,119 @@
 The two streams are joined on the order key inside an event-time range with
 watermarks on both sides, so join state is dropped once neither side can
 still match. Customer, product and region attributes come from tables.
+
+:func:`sale_detail_stream` gives matched lines only. :func:`start_sale_stream`
+also keeps what finds no partner in time: a line whose order has not come when the watermark
+passes goes to a dead-letter table, and :func:`rejoin_dead_letters` joins those with the orders
+landed since. A reader sees matched and repaired lines; what is still
+unmatched can be counted (:func:`read_dead_letters`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.timeparts import ntz_to_instant
 from cartpulse.session import start_stream
 from cartpulse.operators.sales import widen_lines
+from cartpulse.streaming.seen_keys import STATE_CONF
+from cartpulse.streaming.sinks import read_table, write_batch
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
 
-def sale_detail_stream(orders: DataFrame, lines: DataFrame, customer: DataFrame, part: DataFrame,
-                       nation: DataFrame, delay: str = "1 day", within: str = "1 day") -> DataFrame:
-    """``orders``: (o_orderkey, o_custkey, o_orderdate); ``lines``: line columns + ``create_time``."""
+
+def _line_and_order_streams(orders: DataFrame, lines: DataFrame, delay: str) -> tuple[DataFrame, DataFrame]:
     o = (orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"),
                        ntz_to_instant("o_orderdate").alias("o_time"))
          .withWatermark("o_time", delay))
-    li = (lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-                       ntz_to_instant("create_time").alias("l_time"))
-          .withWatermark("l_time", delay))
-    cond = F.expr(f"l_orderkey = o_orderkey AND l_time >= o_time AND l_time <= o_time + INTERVAL '{within}'")
-    return widen_lines(li.join(o, cond), customer, part, nation)
+    li = lines.select(*LINE_COLUMNS, ntz_to_instant("create_time").alias("l_time")).withWatermark("l_time", delay)
+    return li, o
+
+
+def _in_time(within: str):
+    return F.expr(f"l_orderkey = o_orderkey AND l_time >= o_time AND l_time <= o_time + INTERVAL '{within}'")
+
+
+def sale_detail_stream(orders: DataFrame, lines: DataFrame, customer: DataFrame, part: DataFrame,
+                       nation: DataFrame, delay: str = "1 day", within: str = "1 day") -> DataFrame:
+    """``orders``: (o_orderkey, o_custkey, o_orderdate); ``lines``: line columns + ``create_time``."""
+    li, o = _line_and_order_streams(orders, lines, delay)
+    return widen_lines(li.join(o, _in_time(within)), customer, part, nation)
+
+
+def start_sale_stream(orders: DataFrame, lines: DataFrame, matched_table: str, dead_table: str, checkpoint: str,
+                      delay: str = "1 day", within: str = "1 day", trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Lines joined to their orders to ``matched_table`` (line columns, ``o_custkey``, ``dt``), lines without an order in time to ``dead_table``.
+
+    A line is given up when the watermark has passed its time by ``within``; until then it waits in the state. An order that is
+    later than the watermark is refused by the join, but landed: its lines come back by :func:`rejoin_dead_letters`.
+    """
+    li, o = _line_and_order_streams(orders, lines, delay)
+    joined = li.join(o, _in_time(within), "leftOuter")
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            write_batch(batch_df.where("o_orderkey IS NOT NULL").select(*LINE_COLUMNS, "o_custkey", "dt"), matched_table, batch_id)
+            write_batch(batch_df.where("o_orderkey IS NULL").select(*LINE_COLUMNS, "l_time"), dead_table, batch_id)
+        finally:
+            batch_df.unpersist()
+
+    w = joined.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    if name:
+        w = w.queryName(name)
+    # batches without data give up lines: they are wanted here
+    return start_stream(w, lines.sparkSession, {**STATE_CONF, "spark.sql.streaming.noDataMicroBatches.enabled": "true"})
+
+
+def _repaired_folder(dead_table: str) -> str:
+    return f"{dead_table.rstrip('/')}_repaired"
+
+
+def _batches_repaired(spark: SparkSession, dead_table: str) -> DataFrame | None:
+    return read_table(spark, _repaired_folder(dead_table))
+
+
+def read_dead_letters(spark: SparkSession, dead_table: str) -> DataFrame | None:
+    """Lines that have found no order so far, with the batch that gave them up. Equal lines are told apart by a number."""
+    dead = read_table(spark, dead_table)
+    if dead is None:
+        return None
+    dead = _numbered(dead)
+    done = _batches_repaired(spark, dead_table)
+    if done is None:
+        return dead
+    keys = [*LINE_COLUMNS, "given_up", "copy"]
+    d = done.select(*[F.col(c).alias(f"_d_{c}") for c in keys])
+    cond = [dead[c].eqNullSafe(d[f"_d_{c}"]) for c in keys]
+    return dead.join(d, cond, "left_anti")
+
+
+def _numbered(dead: DataFrame) -> DataFrame:
+    from pyspark.sql import Window
+    same = Window.partitionBy(*LINE_COLUMNS, "batch_id").orderBy("l_time")
+    return dead.withColumn("copy", F.row_number().over(same)).withColumnRenamed("batch_id", "given_up")
+
+
+def rejoin_dead_letters(spark: SparkSession, dead_table: str, landed_orders: DataFrame, run: int, within: str = "1 day") -> int:
+    """Join the dead letters with all landed orders by the stream's rule; found lines are written under ``batch_id=<run>``
+    (written again by a repeated run of that number, which gives the same). Returns how many lines were found."""
+    dead = read_dead_letters(spark, dead_table)
+    if dead is None:
+        return 0
+    o = landed_orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("dt"), ntz_to_instant("o_orderdate").alias("o_time"))
+    found = dead.join(o, _in_time(within)).select(*LINE_COLUMNS, "given_up", "copy", "o_custkey", "dt")
+    write_batch(found, _repaired_folder(dead_table), run)
+    return spark.read.parquet(f"{_repaired_folder(dead_table)}/batch_id={run}").count()
+
+
+def read_sale_lines(spark: SparkSession, matched_table: str, dead_table: str) -> DataFrame | None:
+    """Matched and repaired lines, each once: line columns, ``o_custkey``, ``dt``."""
+    cols = [*LINE_COLUMNS, "o_custkey", "dt"]
+    parts = [t.select(*cols) for t in (read_table(spark, matched_table), _batches_repaired(spark, dead_table)) if t is not None]
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 # An inner stream-stream join emits a row as soon as both sides have arrived;

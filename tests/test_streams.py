@@ -343,3 +343,33 @@ def test_storage_checks_ask_the_paths_own_file_system(spark):
         assert SK.read_table(spark, "/shared/t").count() == 2
     finally:
         conf.set("fs.defaultFS", old)
+
+
+def test_lines_without_an_order_in_time_are_kept_and_come_back(spark):
+    """A late order is refused by the join; its lines are dead letters until the repair, each once; orphans stay."""
+    import datetime as dt
+    from cartpulse.streaming import sale_stream as SS
+    from cartpulse.streaming.replay import run_available, stream_reader
+    work = scratch_path(spark, "test_dead")
+    order_schema, line_schema = "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz", \
+        "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, create_time timestamp_ntz"
+    day = lambda i: dt.datetime(2024, 1, i)
+    line = lambda o, n, i: (o, n, 7, 1.0, 2.0, day(i))
+    steps = [([(1, 10, day(1))], [line(1, 1, 1), line(2, 1, 1), line(2, 1, 1), line(9, 1, 1)]),
+             ([(3, 30, day(20))], [line(3, 1, 20)]),
+             ([(2, 20, day(1)), (4, 40, day(21))], [line(4, 1, 21)])]
+    dead = []
+    for orders, lines in steps:
+        spark.createDataFrame(orders, order_schema).write.mode("append").parquet(f"{work}/o")
+        spark.createDataFrame(lines, line_schema).write.mode("append").parquet(f"{work}/l")
+        run_available(SS.start_sale_stream(stream_reader(spark, f"{work}/o", order_schema), stream_reader(spark, f"{work}/l", line_schema),
+                                           f"{work}/matched", f"{work}/dead", f"{work}/ckpt"))
+        letters = SS.read_dead_letters(spark, f"{work}/dead")
+        dead.append(sorted(r["l_orderkey"] for r in letters.collect()))
+    assert dead[0] == [] and dead[1] == dead[2] == [2, 2, 9]
+    landed = spark.read.parquet(f"{work}/o")
+    assert SS.rejoin_dead_letters(spark, f"{work}/dead", landed, 0) == 2
+    assert SS.rejoin_dead_letters(spark, f"{work}/dead", landed, 1) == 0  # nothing is found twice
+    assert [r["l_orderkey"] for r in SS.read_dead_letters(spark, f"{work}/dead").collect()] == [9]
+    got = sorted((r["l_orderkey"], r["o_custkey"]) for r in SS.read_sale_lines(spark, f"{work}/matched", f"{work}/dead").collect())
+    assert got == [(1, 10), (2, 20), (2, 20), (3, 30), (4, 40)]

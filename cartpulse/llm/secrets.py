@@ -9,7 +9,8 @@ length. Windows whose Shannon entropy reaches the class's threshold and that mix
 letters and digits are flagged; overlapping ones become one ``entropy`` span.
 
 An allow list suppresses runs that are random-looking by design (UUIDs, digests
-named as such, documented example keys, links). It never suppresses a known format.
+named as such, documented example keys, the host and path of a link). A link's user part and what follows its
+``?`` or ``#`` are scanned: keys travel there. The list never suppresses a known format.
 A text is handled inside its row, in time linear in its length.
 """
 
@@ -34,8 +35,9 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+")
 CLASSES = {"hex": (re.compile(r"[0-9A-Fa-f]{24,}+"), 24, 3.0), "base64": (re.compile(r"[A-Za-z0-9+/=_-]{20,}+"), 20, 3.85)}
 # fixed values: runs that look random and are no secrets, matched against the whole run or the text before it
 ALLOWED_RUN = re.compile(r"(?i)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|.*example.*|(.)\2{19,}|[a-z_-]+|[0-9+/=_-]+")
-ALLOWED_BEFORE = re.compile(r"(?i)(sha-?(1|256|512)|md5|commit|checksum|integrity|etag|://\S*)[\x20:=\"'-]*$")
-BEFORE = 200  # characters before a run that the allow list looks at
+NAMED = ("sha1", "sha-1", "sha256", "sha-256", "sha512", "sha-512", "md5", "commit", "checksum", "integrity", "etag")
+BETWEEN = " :=\"'-"  # between such a name and the run
+LINK_END, PATH_END, AUTHORITY_END = re.compile(r"[\s\"'<>]"), re.compile("[?#]"), re.compile("[/?#]")
 
 
 def flagged_windows(run: str, window: int, least: float) -> list[tuple[int, int]]:
@@ -66,12 +68,36 @@ def flagged_windows(run: str, window: int, least: float) -> list[tuple[int, int]
     return out
 
 
+def link_paths(text: str) -> list[tuple[int, int]]:
+    """[start, end) of the host and path of every link, from its ``://`` or its user part on, in order."""
+    out, at = [], text.find("://")
+    while at >= 0:
+        start = at + 3
+        m = LINK_END.search(text, start)
+        end = m.start() if m else len(text)
+        m = AUTHORITY_END.search(text, start, end)
+        user = text.rfind("@", start, m.start() if m else end)
+        m = PATH_END.search(text, start, end)
+        out.append((user + 1 if user >= 0 else at, m.start() if m else end))
+        at = text.find("://", end)
+    return out
+
+
+def named(text: str, start: int) -> bool:
+    """Whether the run at ``start`` is named as a digest by the word before it."""
+    while start and text[start - 1] in BETWEEN:
+        start -= 1
+    return text[max(0, start - 9):start].lower().endswith(NAMED)
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """[start, end) of high-entropy stretches outside the allow list, merged over the classes."""
-    found = []
+    found, links, link = [], link_paths(text), 0
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if ALLOWED_RUN.fullmatch(run) or ALLOWED_BEFORE.search(text[max(0, m.start() - BEFORE):m.start()]):
+        while link < len(links) and links[link][1] <= m.start():
+            link += 1
+        if link < len(links) and links[link][0] <= m.start() or ALLOWED_RUN.fullmatch(run) or named(text, m.start()):
             continue
         for pattern, window, least in CLASSES.values():
             for part in pattern.finditer(run):

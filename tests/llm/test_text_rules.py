@@ -84,6 +84,18 @@ def test_allow_list():
     assert not secrets.entropy_spans(f"https://a.b/{key}") and not secrets.entropy_spans("internationalisations") and not secrets.entropy_spans("example" + key)
 
 
+def test_links_hide_no_keys():
+    """Host and path of a link, however long, are no secrets; its user part and query are scanned."""
+    key = "q9Zx7Lk2Vb5Nt8Rw3Ypc1Md6"
+    flagged = lambda t: [t[s:e] for s, e in secrets.entropy_spans(t)]
+    assert flagged(f"see https://h.io/hook?k={key} now") == [f"k={key}"] and flagged(f"https://u:{key}@host/a") == [key]
+    assert flagged(f"http://a.b/x#{key}") == [key] and flagged(f"x://a.b/@{key}") == [] and flagged(f"'http://a.b' {key}") == [key]
+    long = "https://a.b/" + "part.of.a.path." * 40
+    assert flagged(long + key) == [] and flagged(f"{long}?{key}") == [key] and flagged(f"{long} {key}") == [key]
+    assert flagged(f"sha-256   :  {key}") == [] and flagged(f"http://x {key} http://y/{key}") == [key]
+    assert len(secrets.link_paths("://" * 50_000)) == 1 and secrets.link_paths("a" * 200_000) == []
+
+
 def test_op1_against_brute_force(spark):
     texts = {r.doc_id: r.text or "" for r in table(spark, SF, "documents").select("doc_id", "text").collect()}
     for r in E.queries()["op1_secret_scan"](spark, SF).collect():

@@ -69,12 +69,12 @@ def q_order_date_hour(spark, sf):
 
 def q_parse_startup(spark, sf):
     msgs = JL.startup_messages(TB.startup_log(spark, sf))
-    return JL.parse_startup(msgs).select("mid", "uid", "type", "ts", "log_date", "log_hour", JL.CORRUPT_COL)
+    return JL.parse_startup(msgs)
 
 
 def q_parse_events(spark, sf):
     msgs = JL.event_messages(TB.event_log(spark, sf))
-    return JL.parse_events(msgs).select("mid", "uid", "evid", "itemid", "ts", "log_date", "log_hour", JL.CORRUPT_COL)
+    return JL.parse_events(msgs)
 
 
 def _changes(spark, sf):
@@ -82,13 +82,12 @@ def _changes(spark, sf):
 
 
 def q_cdc_order_inserts(spark, sf):
-    return CDC.row_inserts(_changes(spark, sf))
+    return CDC.row_inserts(_changes(spark, sf), database=CDC.STAND_IN_DATABASE)
 
 
 def q_parse_orders(spark, sf):
-    parsed = JL.parse_orders(CDC.row_inserts(_changes(spark, sf)))
-    return parsed.select("id", "user_id", "order_status", "total_amount", "create_time", "create_date", "create_hour",
-                         JL.CORRUPT_COL)
+    orders = TB.load_table(spark, sf, "orders", ["o_orderkey"])
+    return JL.parse_orders(JL.order_messages(q_cdc_order_inserts(spark, sf), orders, "o_orderkey"))
 
 
 # ---------------------------------------------------------------- devices
@@ -382,6 +381,21 @@ def q_stream_dau(spark, sf):
     return SK.read_table(spark, f"{work}/rows").select("mid", "log_date", "event_id", "uid", "type", "ts", "log_hour")
 
 
+def q_stream_dau_json(spark, sf):
+    """Device rows with all columns, from start-up JSON with broken texts among it."""
+    work = scratch_path(spark, "stream_dau_json")
+    src = f"{work}/source"
+
+    def start():
+        RP.run_available(DS.start_corrupt_stream(spark.readStream.text(src), JL.parse_startup, f"{work}/broken", f"{work}/ck_broken"))
+        return DS.start_dau_json_stream(spark.readStream.text(src), f"{work}/rows", f"{work}/checkpoint")
+
+    RP.replay([(JL.startup_messages(TB.startup_log(spark, sf), keep=("ts",)), "ts", src, "text")], N_SLICES_T, start)
+    rows = SK.read_table(spark, f"{work}/rows").drop("batch_id").withColumn("broken", F.lit(None).cast("string"))
+    broken = SK.read_table(spark, f"{work}/broken").select(F.col("value").alias("broken"))
+    return rows.unionByName(broken, allowMissingColumns=True)
+
+
 def q_stream_gmv(spark, sf):
     work = scratch_path(spark, "stream_gmv")
     orders = TB.hourly_orders(spark, sf)
@@ -402,11 +416,11 @@ def q_stream_coupon_alerts(spark, sf):
     src = f"{work}/source"
 
     def start():
-        alerts = AS.alert_stream(RP.stream_reader(spark, src, events.schema), ALERT_WINDOW_T, ALERT_SLIDE_T,
+        alerts = AS.alert_stream(AS.events_of_json(spark.readStream.text(src)), ALERT_WINDOW_T, ALERT_SLIDE_T,
                                  ALERT_DELAY_T, bucket_ms=ALERT_BUCKET_MS_T)
         return AS.start_alert_stream(alerts, f"{work}/windows", f"{work}/docs", f"{work}/checkpoint")
 
-    RP.replay([(events, "ts", src, "parquet")], N_SLICES_T, start)
+    RP.replay([(JL.event_messages(events, keep=("ts",)), "ts", src, "text")], N_SLICES_T, start)
     a = AS.read_alerts(spark, f"{work}/windows")
     return a.select("mid", "window_start", "window_end", F.size("uids").cast("bigint").alias("n_uids"),
                     sorted_csv("uids").alias("uids"), sorted_csv("item_ids").alias("item_ids"))
@@ -508,7 +522,7 @@ def q_stream_cdc_order_inserts(spark, sf):
     src = f"{work}/source"
 
     def start():
-        return CS.start_cdc_stream(RP.stream_reader(spark, src, changes.schema), f"{work}/out", f"{work}/checkpoint")
+        return CS.start_cdc_stream(RP.stream_reader(spark, src, changes.schema), f"{work}/out", f"{work}/checkpoint", database=CDC.STAND_IN_DATABASE)
 
     RP.replay([(changes, "ts", src, "parquet")], N_SLICES_T, start)
     return spark.read.text(f"{work}/out")
@@ -516,6 +530,7 @@ def q_stream_cdc_order_inserts(spark, sf):
 
 STREAM_QUERIES: dict[str, Query] = {
     "stream_dau": q_stream_dau,
+    "stream_dau_json": q_stream_dau_json,
     "stream_gmv": q_stream_gmv,
     "stream_coupon_alerts": q_stream_coupon_alerts,
     "stream_alert_documents": q_stream_alert_documents,

@@ -236,3 +236,46 @@ SELECT * FROM sale WHERE order_id > 700 OR order_id = 700 AND (order_detail_id >
 ORDER BY order_id, order_detail_id, sku_id, order_price LIMIT 20"""
 ORACLE_SQL["sale_detail_indexed_search"] = ORACLE_SQL["sale_detail_search"]
 ORACLE_SQL["stream_sale_late_orders"] = ORACLE_SQL["sale_detail_wide"]
+
+# --- full records: stand-in fields follow from the ids, every 50th record has a broken text beside it
+_BROKEN = """SELECT {nulls}, '{{"mid": broken ' || CAST({id} AS VARCHAR) AS _corrupt_record FROM {table} WHERE {id} % 50 = 0"""
+
+
+def _broken(columns: list[str], table: str, id_col: str) -> str:
+    return _BROKEN.format(nulls=", ".join(f"NULL AS {c}" for c in columns), table=table, id=id_col)
+
+
+STARTUP_JSON = STARTUP + """,
+full_startup AS (
+  SELECT mid, uid, 'app' || (user_id % 3) AS appid, 'area ' || (user_id % 34) AS area, CASE WHEN user_id % 2 = 0 THEN 'ios' ELSE 'android' END AS os,
+         'ch' || (user_id % 5) AS ch, type, '1.' || (event_id % 4) AS vs, epoch_us(ts) // 1000 AS ts, log_date, log_hour
+  FROM startup JOIN (SELECT event_id, user_id FROM events) USING (event_id))"""
+_STARTUP = ["mid", "uid", "appid", "area", "os", "ch", "type", "vs", "ts", "log_date", "log_hour"]
+_EVENT = ["mid", "uid", "appid", "area", "os", "type", "evid", "pgid", "npgid", "itemid", "ts", "log_date", "log_hour"]
+ORACLE_SQL["parse_startup"] = f"""WITH {STARTUP_JSON}
+SELECT {", ".join(_STARTUP)}, CAST(NULL AS VARCHAR) AS _corrupt_record FROM full_startup UNION ALL {_broken(_STARTUP, "events", "event_id")}"""
+ORACLE_SQL["stream_dau_json"] = f"""WITH {STARTUP_JSON}
+SELECT {", ".join(_STARTUP)}, CAST(NULL AS VARCHAR) AS broken FROM (
+  SELECT *, row_number() OVER (PARTITION BY mid, log_date ORDER BY ts, uid, appid, area, os, ch, type, vs) AS rn FROM full_startup) WHERE rn = 1
+UNION ALL {_broken(_STARTUP, "events", "event_id")}"""
+ORACLE_SQL["parse_events"] = f"""WITH {EVENT_BASE}
+SELECT mid, uid, 'app' || (CAST(uid AS BIGINT) % 3) AS appid, 'area ' || (CAST(uid AS BIGINT) % 34) AS area,
+       CASE WHEN CAST(uid AS BIGINT) % 2 = 0 THEN 'ios' ELSE 'android' END AS os, 'event' AS type, evid, 'p' || (event_id % 9) AS pgid,
+       'p' || ((event_id + 1) % 9) AS npgid, itemid, epoch_us(ts) // 1000 AS ts, CAST(ts AS DATE) AS log_date, strftime(ts, '%H') AS log_hour,
+       CAST(NULL AS VARCHAR) AS _corrupt_record FROM ev UNION ALL {_broken(_EVENT, "events", "event_id")}"""
+_ORDER_COLUMNS = {
+    "id": "CAST(o_orderkey AS VARCHAR)", "province_id": "CAST(o_custkey % 34 AS VARCHAR)", "consignee": "'user ' || o_custkey",
+    "order_comment": "CAST(NULL AS VARCHAR)", "consignee_tel": "lpad(CAST(o_custkey AS VARCHAR), 11, '1')", "order_status": "o_orderstatus",
+    "payment_way": "CAST(o_orderkey % 3 AS VARCHAR)", "user_id": "CAST(o_custkey AS VARCHAR)", "img_url": "'/img/' || o_orderkey || '.png'",
+    "total_amount": "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)", "expire_time": "strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S')",
+    "delivery_address": "'street ' || (o_custkey % 100) || ', \"east\"'", "create_time": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')",
+    "operate_time": "strftime(o_orderdate + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S')", "tracking_no": "'T' || o_orderkey",
+    "parent_order_id": "CASE WHEN o_orderkey % 10 = 0 THEN CAST(o_orderkey - 1 AS VARCHAR) END", "out_trade_no": "'O' || o_orderkey",
+    "trade_body": "'order ' || o_orderkey"}
+ORACLE_SQL["cdc_order_inserts"] = ORACLE_SQL["stream_cdc_order_inserts"] = \
+    f"SELECT CAST(json_object({', '.join(f"'{c}', {v}" for c, v in _ORDER_COLUMNS.items())}) AS VARCHAR) AS value FROM orders"
+_ORDER = [*_ORDER_COLUMNS, "create_date", "create_hour"]
+ORACLE_SQL["parse_orders"] = f"""WITH o AS (SELECT {", ".join(f"{v} AS {c}" for c, v in _ORDER_COLUMNS.items())}, CAST(o_orderdate AS DATE) AS create_date,
+  strftime(o_orderdate, '%H') AS create_hour FROM orders)
+SELECT * REPLACE (CAST(total_amount AS DOUBLE) AS total_amount), CAST(NULL AS VARCHAR) AS _corrupt_record FROM o
+UNION ALL {_broken(_ORDER, "orders", "o_orderkey")}"""

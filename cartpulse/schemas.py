@@ -30,6 +30,7 @@ ORDER_JSON = raw_json_schema(ORDER_FIELDS)
 
 # Change record of a database change log, one entry per row-change event.
 CHANGE_RECORD = T.StructType([
+    T.StructField("database", S),
     T.StructField("table", S),
     T.StructField("entry_type", S),
     T.StructField("event_type", S),

@@ -54,13 +54,40 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
 
 
 # --- message builders: serialise table-derived records as the JSON the logs carry ---
+# The test tables hold no application, area, system, channel, version or page: they follow from the ids.
 
-def startup_messages(startup: DataFrame) -> DataFrame:
-    """(mid, uid, type, ts) records -> start-up JSON with ``ts`` as epoch-ms number."""
-    return startup.select(F.to_json(F.struct("mid", "uid", "type", ntz_to_epoch_ms("ts").alias("ts"))).alias("value"))
+BROKEN_EVERY = 50
 
 
-def event_messages(events: DataFrame) -> DataFrame:
-    """(mid, uid, evid, itemid, ts) records -> event JSON with ``ts`` as epoch-ms number."""
-    return events.select(F.to_json(F.struct("mid", "uid", "evid", "itemid",
-                                            ntz_to_epoch_ms("ts").alias("ts"))).alias("value"))
+def _stand_ins(uid, event_id, *fields: str) -> list:
+    made = {"appid": F.concat(F.lit("app"), uid % 3), "area": F.concat(F.lit("area "), uid % 34), "os": F.when(uid % 2 == 0, "ios").otherwise("android"),
+            "ch": F.concat(F.lit("ch"), uid % 5), "vs": F.concat(F.lit("1."), event_id % 4), "pgid": F.concat(F.lit("p"), event_id % 9),
+            "npgid": F.concat(F.lit("p"), (event_id + 1) % 9)}
+    return [made[f].alias(f) for f in fields]
+
+
+def _with_broken(messages: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Beside the good messages one broken text for every ``BROKEN_EVERY``-th record."""
+    broken = ids.where(F.col(id_col) % BROKEN_EVERY == 0)
+    return messages.unionByName(broken.select(F.concat(F.lit('{"mid": broken '), F.col(id_col).cast("string")).alias("value"), *[c for c in messages.columns if c != "value"]))
+
+
+def startup_messages(startup: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Start-up records -> JSON with all nine fields, ``ts`` as epoch-ms number, and some broken texts; ``keep`` carries columns beside the message."""
+    uid = F.col("uid").cast("bigint")
+    fields = F.struct("mid", "uid", *_stand_ins(uid, F.col("event_id"), "appid", "area", "os", "ch"), "type",
+                      *_stand_ins(uid, F.col("event_id"), "vs"), ntz_to_epoch_ms("ts").alias("ts"))
+    return _with_broken(startup.select(F.to_json(fields).alias("value"), *keep), startup, "event_id")
+
+
+def event_messages(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Event records -> JSON with all eleven fields, ``ts`` as epoch-ms number, and some broken texts; ``keep`` carries columns beside the message."""
+    uid = F.col("uid").cast("bigint")
+    fields = F.struct("mid", "uid", *_stand_ins(uid, F.col("event_id"), "appid", "area", "os"), F.lit("event").alias("type"), "evid",
+                      *_stand_ins(uid, F.col("event_id"), "pgid", "npgid"), "itemid", ntz_to_epoch_ms("ts").alias("ts"))
+    return _with_broken(events.select(F.to_json(fields).alias("value"), *keep), events, "event_id")
+
+
+def order_messages(messages: DataFrame, orders: DataFrame, id_col: str) -> DataFrame:
+    """Order messages with some broken texts beside them."""
+    return _with_broken(messages, orders, id_col)

@@ -25,10 +25,11 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from cartpulse.constants import (ALERT_ID_BUCKET_MS, ALERT_MIN_ACCOUNTS, ALERT_SLIDE, ALERT_WINDOW,
                                  EVID_CLICK_ITEM, EVID_COUPON)
-from cartpulse.functions.timeparts import epoch_bucket, ntz_to_epoch_us, ntz_to_instant
+from cartpulse.functions.timeparts import epoch_bucket, epoch_ms_to_local, ntz_to_epoch_us, ntz_to_instant
 from cartpulse.operators.alerts import _Grid, chunk_buckets, with_chunks
 from cartpulse.operators.sweep import Bucket, Rule, alerted
 from cartpulse.session import start_stream
+from cartpulse.sources.json_logs import parse_events
 from cartpulse.streaming.folds import fold_documents, read_documents
 from cartpulse.streaming.seen_keys import STATE_CONF
 from cartpulse.streaming.sinks import read_table, write_batch
@@ -110,6 +111,12 @@ def _wall(us: int):
     return dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
 
 
+def events_of_json(messages: DataFrame) -> DataFrame:
+    """Event JSON (``value``) as a stream's input; texts that do not parse have no device and enter no window."""
+    rows = parse_events(messages)
+    return rows.select(F.lit(None).cast("bigint").alias("event_id"), "mid", "uid", "evid", "itemid", epoch_ms_to_local("ts").alias("ts"))
+
+
 def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, delay: str = "1 minute",
                  min_accounts: int = ALERT_MIN_ACCOUNTS, every_event: bool = False, bucket_ms: int = ALERT_ID_BUCKET_MS,
                  chunk_windows: int = STREAM_CHUNK_WINDOWS) -> DataFrame:

@@ -14,14 +14,18 @@ Counts of rows in / rows kept are recorded per batch with ``observe``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cartpulse.functions.timeparts import ntz_to_instant
 from cartpulse.operators.dau import DAU_KEYS, DAU_ORDER, dau_hours
 from cartpulse.operators.dedup import filter_seen_by_batch, first_per_key
+from cartpulse.schemas import CORRUPT_COL
 from cartpulse.session import start_stream
+from cartpulse.sources.json_logs import corrupt_rows, parse_startup, valid_rows
 from cartpulse.streaming.seen_keys import DELAY, STATE_CONF, first_per_key_stream
 from cartpulse.streaming.sinks import read_dated, write_batch, write_dated_batch
 
@@ -57,13 +61,13 @@ def dau_batch_writer(rows_table: str, counts_table: str | None = None, keys=DAU_
 
 def start_dau_stream(startup: DataFrame, rows_table: str, checkpoint: str, counts_table: str | None = None,
                      trigger: dict | None = None, name: str | None = None, delay: str = DELAY,
-                     hours_table: str | None = None) -> StreamingQuery:
+                     hours_table: str | None = None, order: Sequence[str] = DAU_ORDER, event_time: Column | None = None) -> StreamingQuery:
     """Device rows of a start-up stream; a day's devices are remembered until ``delay`` after its end.
 
     ``counts_table`` gets the device rows of each batch (its input rows are in the query's progress);
     ``hours_table`` the batch's devices per (log_date, log_hour): each device is counted once, so hours add up over batches.
     """
-    firsts = first_per_key_stream(startup, DAU_KEYS, DAU_ORDER, ntz_to_instant("ts"), delay)
+    firsts = first_per_key_stream(startup, DAU_KEYS, order, ntz_to_instant("ts") if event_time is None else event_time, delay)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         kept = Observation(f"dau_{batch_id}")
@@ -83,6 +87,24 @@ def start_dau_stream(startup: DataFrame, rows_table: str, checkpoint: str, count
     return start_stream(w, startup.sparkSession, STATE_CONF)
 
 
+JSON_ORDER = ("ts", "uid", "appid", "area", "os", "ch", "type", "vs")
+
+
+def start_dau_json_stream(messages: DataFrame, rows_table: str, checkpoint: str, **options) -> StreamingQuery:
+    """Start-up JSON (``value``) -> device rows with all eleven columns (``ts`` epoch-ms). Of one device and day the earliest
+    message stays, of equally early ones the smallest by its fields; texts that do not parse are for :func:`start_corrupt_stream`."""
+    rows = valid_rows(parse_startup(messages))
+    return start_dau_stream(rows, rows_table, checkpoint, order=JSON_ORDER, event_time=F.timestamp_millis("ts"), **options)
+
+
+def start_corrupt_stream(messages: DataFrame, parse, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The texts that ``parse`` could not read, kept in a table (``value``) so that they can be counted, looked at and sent again."""
+    broken = corrupt_rows(parse(messages)).select(F.col(CORRUPT_COL).alias("value"))
+    w = (broken.writeStream.foreachBatch(lambda df, batch_id: write_batch(df, table, batch_id)).option("checkpointLocation", checkpoint)
+         .trigger(**(trigger or {"availableNow": True})))
+    return start_stream(w, messages.sparkSession)
+
+
 def dau_watermark_dedup(startup: DataFrame, delay: str = "1 day") -> DataFrame:
     """State-store variant: first arrival per (mid, log_date) kept while inside the watermark delay.
 

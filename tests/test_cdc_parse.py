@@ -7,9 +7,9 @@ from cartpulse.schemas import CHANGE_RECORD
 from cartpulse.sources import json_logs as JL
 
 
-def change(table, entry, event, cols):
+def change(table, entry, event, cols, database="shop"):
     rows = None if cols is None else [[{"name": k, "value": v} for k, v in cols]]
-    return (table, entry, event, rows)
+    return (database, table, entry, event, rows)
 
 
 def test_only_order_info_inserts_are_published(spark):
@@ -25,6 +25,24 @@ def test_only_order_info_inserts_are_published(spark):
     assert out == [{"id": "1", "total_amount": "5.00", "note": None}]
 
 
+def test_other_databases_are_left_out(spark):
+    recs = [change("order_info", "ROWDATA", "INSERT", [("id", str(i))], db) for i, db in enumerate(["shop", "other", None, "shop_copy"])]
+    df = spark.createDataFrame(recs, CHANGE_RECORD)
+    ids = lambda out: sorted(json.loads(r["value"])["id"] for r in out.collect())
+    assert ids(CDC.row_inserts(df, database="shop")) == ["0"] and ids(CDC.row_inserts(df)) == ["0", "1", "2", "3"]
+
+
+def test_every_field_of_a_record_is_filled(spark):
+    from cartpulse import schemas as SC
+    from cartpulse.sources import tables as TB
+    from conftest import SF_SMALL
+    for parsed, fields in ((JL.parse_startup(JL.startup_messages(TB.startup_log(spark, SF_SMALL))), SC.STARTUP_FIELDS),
+                           (JL.parse_events(JL.event_messages(TB.event_log(spark, SF_SMALL))), SC.EVENT_FIELDS)):
+        row = JL.valid_rows(parsed).first()
+        assert all(row[f] is not None for f in fields) and JL.corrupt_rows(parsed).count() > 0
+        assert JL.corrupt_rows(parsed).where(" or ".join(f"{f} is not null" for f in fields)).count() == 0
+
+
 def test_last_value_of_a_repeated_column_wins(spark):
     df = spark.createDataFrame([change("order_info", "ROWDATA", "INSERT", [("id", "1"), ("note", "a"), ("id", "2"), ("note", None)])], CHANGE_RECORD)
     assert [json.loads(r["value"]) for r in CDC.row_inserts(df).collect()] == [{"id": "2", "note": None}]

@@ -8,9 +8,10 @@ moments (intra-class correlation). A host is blocked when the lower posterior
 bound of its bad share lies above a limit, so a thinly labelled host is never
 blocked on a few bad pages unless its relatives are bad too.
 
-Without a public-suffix list the suffix is the last label of the host and the
-registered domain its last two labels (a parameter). Host, domain and suffix
-tables are aggregates; a page joins the row of its host (AQE splits a hot one).
+The suffix is the last label of the host, or the longest of ``suffixes`` it ends in (``co.uk``; a parameter, as no
+public-suffix list comes with the library); the registered domain is one label more. A port belongs to neither; an
+address is a domain of its own under the suffix ``ip``. Host, domain and suffix
+tables are aggregates, counted once and stored; a page joins the row of its host (AQE splits a hot one).
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartpulse.llm.common import stored
+
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 Z, LIMIT, MAX_STRENGTH = 1.645, 0.5, 1000.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,10 +45,16 @@ def rule_of(host, path, rules=RULES):
     return out if out is not None else F.lit(None).cast("string")
 
 
-def _levels(host):
-    """Registered domain (last two labels) and suffix (last label) of a host."""
-    labels = F.split(host, "[.]")
-    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."), F.element_at(labels, -1)
+def _levels(host, suffixes=()):
+    """Registered domain and suffix of a host."""
+    bare = F.regexp_replace(host, ":[0-9]*$", "")
+    address = bare.rlike(r"^([0-9]+([.][0-9]+){3}|\[.*\])$")
+    labels, k = F.split(bare, "[.]"), F.lit(1)
+    for suffix in sorted(suffixes, key=lambda x: x.count(".")):  # the longest comes last and decides
+        k = F.when(bare.endswith("." + suffix), F.lit(suffix.count(".") + 1)).otherwise(k)
+    n = F.size(labels)
+    domain = F.array_join(F.slice(labels, F.greatest(n - k, F.lit(1)), k + 1), ".")
+    return F.when(address, bare).otherwise(domain), F.when(address, F.lit("ip")).otherwise(F.array_join(F.slice(labels, n - k + 1, k), "."))
 
 
 def _strength(groups: DataFrame) -> float:
@@ -63,7 +72,8 @@ def _strength(groups: DataFrame) -> float:
     return min(MAX_STRENGTH, 1 / rho - 1) if rho > 1 / (1 + MAX_STRENGTH) else MAX_STRENGTH
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, id_col: str = "page_id", host_col: str = "host") -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, id_col: str = "page_id", host_col: str = "host",
+                    suffixes=()) -> DataFrame:
     """``(host, n, bad, mean, lower)`` for every host of ``pages``.
 
     ``outcomes(page_id, bad)`` labels some pages; several labels of a page count
@@ -72,9 +82,10 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, id_col:
     """
     marked = outcomes.select(F.col("page_id").alias("__page"), F.col("bad").cast("int").alias("__bad")).filter("__page is not null and __bad is not null")
     seen = pages.select(F.col(id_col).alias("__id"), F.col(host_col).alias("host")).join(marked, F.col("__id") == F.col("__page"), "left")
-    domain, suffix = _levels(F.col("host"))
+    domain, suffix = _levels(F.col("host"), suffixes)
     hosts = (seen.groupBy("host").agg(F.count("__bad").alias("n"), F.coalesce(F.sum("__bad"), F.lit(0)).alias("bad"))
              .withColumn("domain", domain).withColumn("suffix", suffix))
+    hosts = stored(hosts, "url-hosts")  # read for each level below
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     strength = [_strength(level.filter("n > 0")) for level in (suffixes, domains, hosts)]
@@ -92,7 +103,7 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, z: float = Z, id_col:
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, limit: float = LIMIT,
-               id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+               id_col: str = "page_id", url_col: str = "url", suffixes=()) -> DataFrame:
     """``(page_id, host, path, rule, verdict)``, one row per input row.
 
     The rule's verdict where one fits, else "block" where the host's lower
@@ -103,7 +114,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z,
     host, path = split_url(F.col("url"))
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"))
     base = base.select("page_id", host.alias("host"), path.alias("path"))
-    blocked = host_reputation(base, outcomes, z).filter(F.col("lower") > limit).select(F.col("host").alias("bad_host"))
+    blocked = host_reputation(base, outcomes, z, suffixes=suffixes).filter(F.col("lower") > limit).select(F.col("host").alias("bad_host"))
     verdicts = dict(rules)
     allow = [t for t, v in rules if v == "allow"]
     rule = rule_of(F.col("host"), F.col("path"), rules)

@@ -388,6 +388,23 @@ def test_url_parts_and_rules(spark):
     assert url_filter.judge_urls(pages.limit(0), spark.createDataFrame([], "page_id long, bad int")).count() == 0
 
 
+def test_registered_domains(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.com:8080", "y.com", "1.2.3.4", "1.2.3.4:80", "[::1]:5", "com", "", "a.x.b.kawasaki.jp", "1.2.3.4.com"]
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain, suffix = url_filter._levels(F.col("host"), ("co.uk", "kawasaki.jp", "b.kawasaki.jp"))
+    assert [tuple(r) for r in rows.select(domain, suffix).collect()] == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "uk"), ("y.com", "com"), ("y.com", "com"), ("1.2.3.4", "ip"), ("1.2.3.4", "ip"), ("[::1]", "ip"),
+        ("com", "com"), ("", ""), ("x.b.kawasaki.jp", "b.kawasaki.jp"), ("4.com", "com")]
+
+
+def test_urls_repeated_rows_and_clashing_columns(spark):
+    rows = [(1, "http://x.net/a", 5), (1, "http://x.net/a", 6), (None, "http://x.org/fr/", 7), (2, "http://" + "a" * 50_000 + ".org/", 8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host int").withColumn("a.b", F.lit(1)).withColumn("bad", F.lit(2))
+    outcomes = spark.createDataFrame([(1, 0), (1, None), (None, 1), (2, 0), (2, 1)], "page_id long, bad int")
+    got = sorted((r.page_id or 0, r.rule, r.verdict) for r in url_filter.judge_urls(pages, outcomes).collect())
+    assert got == [(0, "org/fr/", "allow"), (1, "net/", "block"), (1, "net/", "block"), (2, None, "allow")]
+
+
 def test_reputation_blocks_on_evidence_only(spark):
     hosts = {"spam.bad.com": (60, 60), "new.bad.com": (1, 1), "ok.good.com": (1, 60), "fresh.good.com": (1, 1), "b.bad.com": (40, 40), "c.good.com": (0, 50), "d.fine.org": (2, 80)}
     pages, labels, at = [], [], 0

@@ -109,16 +109,24 @@ def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT, id_col: str =
     return joined.select("page_id", "url", "payload", "payload_digest", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last")).alias("refers_to"))
 
 
+def sample_of(pages: DataFrame, sample_records: int = SAMPLE_RECORDS, sample_bytes: int = SAMPLE_BYTES, id_col: str = "page_id", url_col: str = "url",
+              body_col: str = "html", **options) -> list[bytes]:
+    """The records to train on: of the ids of smallest hashes one page each, archived among
+    themselves by the rule that all follow, bodies cut at ``sample_bytes``."""
+    plain = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(body_col).cast("string").alias("html")).filter("page_id is not null")
+    # the ids are picked first, the smallest of every task: only the sample's payloads travel
+    picked = F.broadcast(plain.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_records))
+    one = plain.join(picked, "page_id", "left_semi").groupBy("page_id").agg(F.min(F.struct("url", "html")).alias("p")).select("page_id", "p.*")
+    heads = plan_records(one, **options).select("page_id", "url", F.substring("payload", 1, sample_bytes).alias("head"), "payload_digest", "refers_to")
+    return [record("response" if r["refers_to"] is None else "revisit", r["page_id"], r["url"], bytes(r["head"]), r["payload_digest"], r["refers_to"])
+            for r in heads.orderBy("page_id").collect()]
+
+
 def write_archives(pages: DataFrame, folder: str, sample_records: int = SAMPLE_RECORDS, sample_bytes: int = SAMPLE_BYTES, **options) -> DataFrame:
     """Write the archives below ``folder``; returns the manifest ``(path, records, bytes)``, stored."""
     folder = qualified(pages.sparkSession, folder)
     rows = plan_records(pages, **options)
-    # the ids are picked first, the smallest hashes of every task: only the sample's payloads travel
-    picked = F.broadcast(rows.select("page_id").filter("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_records))
-    first = F.min(F.struct(F.substring("payload", 1, sample_bytes).alias("head"), "url", "payload_digest", "refers_to")).alias("r")
-    sampled = rows.join(picked, "page_id", "left_semi").groupBy("page_id").agg(first).orderBy("page_id").select("page_id", "r.*").collect()
-    words = train_dictionary([record("response" if r["refers_to"] is None else "revisit", r["page_id"], r["url"], bytes(r["head"]), r["payload_digest"], r["refers_to"])
-                              for r in sampled])
+    words = train_dictionary(sample_of(pages, sample_records, sample_bytes, **options))
 
     def run(batches):
         out, n, size, path = None, 0, 0, f"{folder}/{uuid.uuid4().hex}.warc.zst"

@@ -7,12 +7,11 @@ groups so far. Documents are ranged over files by doc_id and sorted inside a
 file. A task writes one file under a name of its own; only files
 named in the committed manifest count, so lost or repeated tasks leave no rows behind.
 
-Encoding is done word by word through a cache where the tokenizer itself never
-looks across white space (its splitter drops it and no other rule spans it; a file
-with another normaliser, splitter or model is given whole texts):
-a word seen before costs one lookup. Words of plain letters, digits and signs
-are cut as the tokenizer's own splitter does and go straight to its model; all others,
-and any word that holds a special token, go through the whole tokenizer.
+Encoding is done piece by piece where the tokenizer itself never looks across white space (its
+splitter drops it and no other rule spans it; a file with another normaliser, splitter or model
+is given whole texts). Words of plain letters, digits and signs are cut as the tokenizer's own splitter does,
+many texts at a time, and a new piece goes straight to its model; other words, and any
+that may hold a special token, go through the whole tokenizer. What is known costs a lookup.
 """
 
 from __future__ import annotations
@@ -20,11 +19,14 @@ from __future__ import annotations
 import io
 import json
 import re
+import string
 import struct
 import sys
 import types
 import uuid
 import zlib
+from codecs import charmap_decode
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,60 +43,147 @@ SECTION, SECTION_BYTES = "<cQ", 9
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 GROUP_IDS = 4096 * BLOCK
-CACHE_WORDS = 250_000  # words of one generation; the one before is kept beside it
+CACHE_PIECES = 600_000  # beyond it the cache starts anew with the next chunk
+CHUNK_BYTES = 1 << 22  # texts cut and looked up at a time
 PLAIN = re.compile(r"[!-;=?-~À-ÖØ-öø-ÿ]+")  # no "<" or ">": special tokens take the whole tokenizer
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MARKS = "!#$%&()*+,-./:;=?|"  # no quote, which may begin a piece of letters
-FORMATS = [f"<{n}I" for n in range(16)]
+ODD_PIECE = re.compile(rb"[^!-&(-;=?-~\xC3\x80-\xBF]|\xC3[\x97\xB7]|(?<!\xC3)[\x80-\xBF]")
+SPACES = " \t\n\v\f\r"
+SPACE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
+SPACE, LETTER, DIGIT, MARK, ODD = range(5)
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The byte-level alphabet where it differs: printable bytes stand for themselves,
+def _classes() -> np.ndarray:
+    """Class of each byte. An apostrophe may begin a piece of letters, "<" a special token: odd, like all that is not ASCII."""
+    out = np.full(256, ODD, np.uint8)
+    out[0x21:0x7F] = MARK
+    for chars, kind in ((SPACES, SPACE), (string.ascii_letters, LETTER), (string.digits, DIGIT), ("'<>", ODD)):
+        out[list(chars.encode())] = kind
+    return out
+
+
+CLASS = _classes()
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+def _byte_letters() -> str:
+    """The byte-level alphabet, a character for each byte: printable bytes stand for themselves,
     the others, in order, for 256 and up."""
-    out, spare = {}, 256
+    out, spare = [], 256
     for b in range(256):
-        if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF):
-            out[b], spare = chr(spare), spare + 1
-    return out
+        own = 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF
+        out.append(chr(b if own else spare))
+        spare += not own
+    return "".join(out)
 
 
-class WordCache(dict):
-    """White-space-free UTF-8 words to their ids, as little-endian 32-bit bytes."""
+BYTE_LETTERS = _byte_letters()
+
+
+class PieceCache:
+    """Pieces of words, as UTF-8, to their ids: all texts of a chunk are cut and looked up together.
+
+    A byte table gives each byte its class; a piece starts where the class changes, and at every
+    digit, as in the tokenizer's own splitter. A word with a byte of the class "odd" stays whole. The
+    distinct pieces of a chunk are looked up once each; their ids lie in one pool, from which the chunk's ids are gathered.
+    """
 
     def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model, self.letters, self.pieces = tokenizer, tokenizer.model, _byte_letters(), {}
-        self.before: dict[bytes, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(letters)]
-            found = self.pieces[piece] = struct.pack(FORMATS[len(ids)] if len(ids) < 16 else f"<{len(ids)}I", *ids)
-        return found
-
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.before.pop(word, None)  # words of the last generation move on, the others leave with it
-        if found is None:
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(MARKS)  # the common word: letters, then marks or nothing
-            if LETTERS.fullmatch(core):
-                found = self._piece(core.lower())
-                if len(core) < len(text):
-                    found += self._piece(text[len(core):])
-            elif PLAIN.fullmatch(text):
-                found = b"".join([self._piece(p) for p in PIECES.findall(text.lower())])
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) >= CACHE_WORDS:
-            self.before = dict(self)
-            self.clear()
-            self.pieces = {}
-        self[word] = found
-        return found
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self._clear()
+
+    def _clear(self):
+        self.at: dict[bytes, int] = {}
+        self.first, self.count, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
+        self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
+
+    def _ids(self, piece: bytes) -> list[int]:
+        if ODD_PIECE.search(piece):  # a whole word
+            text = piece.decode("utf-8", "replace")
+            if not PLAIN.fullmatch(text):
+                return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return [i for part in PIECES.findall(text.lower()) for i in self._split(part.encode())]
+        return self._split(piece)
+
+    def _split(self, piece: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(charmap_decode(piece, "strict", BYTE_LETTERS)[0])]
+
+    def _learn(self, pieces: list[bytes]):
+        """New pieces go behind the known ones."""
+        ids = [self._ids(p) if p.strip() else [] for p in pieces]
+        count = np.array([len(x) for x in ids], np.int64)
+        end, used = self.n + len(pieces), self.used + int(count.sum())
+        for name, size in (("first", end), ("count", end), ("pool", used)):
+            held = getattr(self, name)
+            if size > len(held):
+                setattr(self, name, np.concatenate([held, np.zeros(max(size, 2 * len(held)) - len(held), held.dtype)]))
+        self.first[self.n:end], self.count[self.n:end] = self.used + np.cumsum(count) - count, count
+        self.pool[self.used:used] = list(chain.from_iterable(ids))
+        self.at.update(zip(pieces, range(self.n, end)))
+        self.n, self.used = end, used
+
+    def _chunk(self, texts: list[bytes]) -> list[np.ndarray]:
+        raw = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+        kind, low = CLASS.take(raw), LOWER.take(raw)
+        lead = np.flatnonzero(raw == 0xC3)  # letters of two bytes
+        tail = raw[lead + 1]
+        lead, tail = lead[(tail != 0x97) & (tail != 0xB7)], tail[(tail != 0x97) & (tail != 0xB7)]
+        kind[lead] = kind[lead + 1] = LETTER
+        low[lead + 1] = np.where(tail < 0x9F, tail + 0x20, tail)
+        odd = np.flatnonzero(kind == ODD)
+        if len(odd):
+            edge = np.flatnonzero((kind[1:] == SPACE) != (kind[:-1] == SPACE)) + 1  # begin and end of each word in turn
+            word = np.unique(np.searchsorted(edge, odd, "right") - 1)
+            begin, size = edge[word], edge[word + 1] - edge[word]
+            inside = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+            kind[inside], low[inside] = ODD, raw[inside]
+        cut = np.empty(len(kind), bool)
+        cut[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+        cut |= kind == DIGIT
+        start = np.flatnonzero(cut)
+        offsets = np.append(start, len(raw)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(low)]).dictionary_encode()
+        if self.n > CACHE_PIECES:
+            self._clear()
+        _, at, held = (x and memoryview(x) for x in pieces.dictionary.buffers())
+        at, held = at.cast("i")[:len(pieces.dictionary) + 1].tolist(), bytes(held)
+        distinct = [held[i:j] for i, j in zip(at, at[1:])]
+        self._learn([p for p in distinct if p not in self.at])
+        piece = np.array([self.at[p] for p in distinct], np.int64).take(pieces.indices.to_numpy())
+        count = self.count.take(piece)
+        ends = np.cumsum(count)
+        ids = self.pool.take(np.repeat(self.first.take(piece) - ends + count, count) + np.arange(ends[-1]))
+        stops = np.cumsum([0] + [len(t) + 1 for t in texts])  # the line feed before each text, and after the last
+        bounds = np.append(0, ends).take(np.searchsorted(start, stops))
+        return [ids[i:j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of whole texts; None is empty. A chunk is cut at white space only."""
+        parts, of = [], []
+        for k, text in enumerate(texts):
+            text, at = text or b"", 0
+            while len(text) - at > CHUNK_BYTES and (space := SPACE_BYTE.search(text, at + CHUNK_BYTES)):
+                parts.append(text[at:space.start()])
+                of.append(k)
+                at = space.start()
+            parts.append(text[at:] if at else text)
+            of.append(k)
+        out, waiting, size = [], [], 0
+        for part in parts:
+            if waiting and size + len(part) > CHUNK_BYTES:
+                out += self._chunk(waiting)
+                waiting, size = [], 0
+            waiting.append(part)
+            size += len(part)
+        if waiting:
+            out += self._chunk(waiting)
+        if len(parts) == len(texts):
+            return out
+        whole: list[list[np.ndarray]] = [[] for _ in texts]
+        for k, ids in zip(of, out):
+            whole[k].append(ids)
+        return [np.concatenate(x) for x in whole]
 
 
 #: The parts of a tokenizer file for which words may be encoded one by one.
@@ -114,8 +203,8 @@ class WholeTexts:
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
 
-    def encode(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        return [np.array(self.tokenizer.encode((t or b"").decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32) for t in texts]
 
 
 def by_words(spec: dict) -> bool:
@@ -126,8 +215,8 @@ def by_words(spec: dict) -> bool:
     return plain and model == MODEL_RULES and all(spec.get(k) == v for k, v in WORD_RULES.items())
 
 
-def word_cache(tokenizer_file: str | None = None) -> WordCache | WholeTexts:
-    """The worker's cache for a tokenizer file; kept while the worker lives."""
+def encoder(tokenizer_file: str | None = None) -> PieceCache | WholeTexts:
+    """The worker's encoder for a tokenizer file; kept while the worker lives."""
     kept = sys.modules.setdefault("_token_caches", types.ModuleType("_token_caches")).__dict__
     if (tokenizer_file or "") not in kept:
         from tokenizers import Tokenizer
@@ -136,17 +225,10 @@ def word_cache(tokenizer_file: str | None = None) -> WordCache | WholeTexts:
         path = tokenizer_file or public_tokenizers.path(VOCABULARY)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        kept[tokenizer_file or ""] = (WordCache if by_words(spec) else WholeTexts)(Tokenizer.from_file(path))
+        kept[tokenizer_file or ""] = (PieceCache if by_words(spec) else WholeTexts)(Tokenizer.from_file(path))
     return kept[tokenizer_file or ""]
 
 
-def encode_text(cache: WordCache, text: bytes | None) -> np.ndarray:
-    """Ids of a whole text; None is empty."""
-    if isinstance(cache, WholeTexts):
-        return cache.encode(text or b"")
-    return np.frombuffer(b"".join(map(cache.__getitem__, (text or b"").split())), "<u4")
-
-
 class TokenWriter:
     """Writes documents to one file; holds about a group of ids at a time."""
 
@@ -228,13 +310,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str | None = None
     end = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches):
-        cache, writer, first, n = word_cache(tokenizer_file), None, None, 0
+        cache, writer, first, n = encoder(tokenizer_file), None, None, 0
         path = f"{folder}/{uuid.uuid4().hex}.tok"
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for doc, ids in zip(b.column(0).to_pylist(), cache.encode(b.column(1).cast(pa.binary()).to_pylist())):
                 if writer is None:
                     writer, first = TokenWriter(open_output(path)), doc
-                writer.add(doc, np.concatenate([encode_text(cache, text), end]).astype(np.uint32))
+                writer.add(doc, np.concatenate([ids, end]))
                 n += 1
         if writer is not None:
             writer.close()

@@ -146,24 +146,50 @@ def test_range_coder_learns():
     assert len(range_coder.encode_group(ids)) < len(ids) // 4
 
 
+def test_order_0_adapts_inside_a_block():
+    """Each block draws from eight ids of its own in random order: what the group holds as a whole says little."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(8 * b, 8 * b + 8, 2048) for b in range(40)]).astype(np.uint32)
+    assert 8 * len(range_coder.encode_group(ids)) / len(ids) < 4.0  # 3 bits at best, 8.3 by the group's distribution
+
+
+@pytest.mark.parametrize("cells", [1, 5000, 1 << 25])
+def test_one_block_decodes_alone(cells, monkeypatch):
+    monkeypatch.setattr(range_coder, "SEEN_CELLS", cells)
+    rng = np.random.default_rng(1)
+    ids = (rng.zipf(1.3, 9000) % 900).astype(np.uint32)
+    raw = range_coder.encode_group(ids, 2000)
+    assert (range_coder.decode_group(io.BytesIO(raw)) == ids).all()
+    for k in range(5):
+        assert (range_coder.read_block(io.BytesIO(raw), k) == ids[k * 2000:(k + 1) * 2000]).all()
+    spoiled = bytearray(raw)
+    spoiled[-100] ^= 1  # in the last block: the others do not notice
+    assert (range_coder.read_block(io.BytesIO(bytes(spoiled)), 0) == ids[:2000]).all()
+    with pytest.raises(ValueError):
+        range_coder.read_block(io.BytesIO(bytes(spoiled)), 4)
+    with pytest.raises(IndexError):
+        range_coder.read_block(io.BytesIO(raw), 5)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def test_word_cache_is_the_tokenizer(tokenizer):
-    rnd, cache = random.Random(5), token_files.word_cache()
+def test_pieces_are_the_tokenizer(tokenizer, monkeypatch):
+    """All texts at once, in chunks of every size, with a cache that starts anew: always the library's ids."""
+    rnd = random.Random(5)
     pool = list("aZ9'stredvllm.,!<>|éÉßÿ×÷Ωǅİ\u0301\u00a0\u2028\x1c\x85漢🙂½ªµ \t\n\x00") + ["<|endoftext|>", "don't", "WE'RE", "ﬁ", "ẞ", " 'S", "word "]
-    for _ in range(4000):
-        text = "".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14)))
-        assert token_files.encode_text(cache, text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
-
-
-def test_small_cache_generations(tokenizer, monkeypatch):
-    monkeypatch.setattr(token_files, "CACHE_WORDS", 5)
-    cache, text = token_files.WordCache(tokenizer), "the cat, the dog. a b c d e f g the cat! x y z the"
-    assert token_files.encode_text(cache, text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(cache) <= 5
+    texts = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
+    texts += [None, "", " \n ", "a" * 3000, "word, " * 2000, "É×é÷ Þþ<b>x</b> 12:30"]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    raw = [None if t is None else t.encode() for t in texts]
+    assert [x.tolist() for x in token_files.encoder().encode(raw)] == want
+    for chunk, pieces in ((50, 5), (5000, 200)):
+        monkeypatch.setattr(token_files, "CHUNK_BYTES", chunk)
+        monkeypatch.setattr(token_files, "CACHE_PIECES", pieces)
+        assert [x.tolist() for x in token_files.PieceCache(tokenizer).encode(raw)] == want
+    assert token_files.PieceCache(tokenizer).encode([]) == []
 
 
 def test_writer_splits_groups_inside_documents():
@@ -200,7 +226,7 @@ def test_another_tokenizer_file_is_given_whole_texts(spark):
     for d, t in rows:
         ids = [*other.encode(t or "", add_special_tokens=False).ids, 2]
         assert got[d] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-    assert isinstance(token_files.word_cache(), token_files.WordCache)
+    assert isinstance(token_files.encoder(), token_files.PieceCache)
 
 
 def test_files_lie_on_the_file_system_of_the_tables(spark):

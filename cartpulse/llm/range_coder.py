@@ -86,7 +86,7 @@ class _Model:
     def update(self, ids: np.ndarray):
         n = len(ids)
         w = self.w + (STEP << self.shift)
-        over = np.flatnonzero(self.total > LIMIT)
+        over = (self.total > LIMIT).nonzero()[0]
         if len(over):
             w[over] = ((w[over] >> np.uint64(1)) & HALVES) + ONES
         self.weights[self.row] = w
@@ -136,7 +136,7 @@ def _settled(low: np.ndarray, rng: np.ndarray):
     their words, until none is left. A range that grew too short at a word's
     edge is cut there, so no carry ever runs into words already out."""
     same = (low ^ (low + rng)) < TOP
-    at = np.flatnonzero(same | (rng < BOTTOM))
+    at = (same | (rng < BOTTOM)).nonzero()[0]
     same = same.take(at)
     while len(at):
         lo, r = low.take(at), rng.take(at)
@@ -156,7 +156,8 @@ def _encode_lanes(columns: np.ndarray, tail: int, begin: np.ndarray, freq: np.nd
     model, lane, k = _Model(lanes), np.arange(lanes), len(freq)
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(2**64 - 1))
     room = block + 400
-    words, used = np.zeros((lanes, room), np.uint16), np.zeros(lanes, np.int64)
+    words, cursor = np.zeros((lanes, room), np.uint16), lane * room
+    flat = words.reshape(-1)
     run_of, bits = np.zeros(lanes * k, np.int32), np.uint64(RESET_BITS)  # runs of old epochs are told by their lane and id
 
     for t0, t1, back in _epochs(block):
@@ -171,8 +172,9 @@ def _encode_lanes(columns: np.ndarray, tail: int, begin: np.ndarray, freq: np.nd
             n = lanes if t < tail else lanes - 1
             if not n:
                 break
-            if t % 64 == 0 and used.max() + 320 > words.shape[1]:  # at most five words an id
+            if t % 64 == 0 and (cursor - lane * words.shape[1]).max() + 320 > words.shape[1]:  # at most five words an id
                 words = np.concatenate([words, np.zeros((lanes, room), np.uint16)], axis=1)
+                flat, cursor = words.reshape(-1), cursor + lane * room
             now, lo, r = columns[t, :n], low[:n], rng[:n]
             _, whole = model.predict(n)
             part = np.where(model.p1 == now, np.uint64(1), else_part[t - t0, :n] if back else np.uint64(3))
@@ -180,25 +182,26 @@ def _encode_lanes(columns: np.ndarray, tail: int, begin: np.ndarray, freq: np.nd
             r //= whole
             model.narrow(lo, r, part)
             if back:
-                rest = np.flatnonzero(part == 2)
+                rest = (part == 2).nonzero()[0]
                 place = run[t - t0].take(rest)
                 unit = r.take(rest) >> recent.bits
                 lo[rest] += unit * recent.begin.take(place)
                 r[rest] = unit * recent.size.take(place)
-            rest = np.flatnonzero(part == 3)
+            rest = (part == 3).nonzero()[0]
             symbol = now.take(rest)
             unit = r.take(rest) >> bits
             lo[rest] += unit * begin.take(symbol)
             r[rest] = unit * freq.take(symbol)
             for at, out in _settled(lo, r):
-                words[at, used[at]] = out
-                used[at] += 1
+                to = cursor.take(at)
+                flat[to] = out
+                cursor[at] = to + 1
             model.update(now)
     for _ in range(4):  # the rest of low
-        words[np.arange(lanes), used] = low >> U48
+        flat[cursor] = low >> U48
         low <<= U16
-        used += 1
-    return words, used
+        cursor += 1
+    return words, cursor - lane * words.shape[1]
 
 
 def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -239,15 +242,15 @@ class _Head:
 def _decode_lanes(head: _Head, body: bytes, first: int, lanes: int) -> np.ndarray:
     """Ids of ``lanes`` blocks from number ``first`` on, whose words are ``body``; checked."""
     counts, block = head.words[first:first + lanes], head.block
-    words, at = np.zeros((lanes, int(counts.max()) + 8), np.uint64), 0
+    width, at = int(counts.max()) + 8, 0
+    words = np.zeros((lanes, width), np.uint16)
     for lane, n in enumerate(counts.tolist()):
         words[lane, :n] = np.frombuffer(body, "<u2", n, at)
         at += 2 * n
     tail = head.tail if first + lanes == head.lanes else block
-    model, reach = _Model(lanes), words.shape[1] - 1
+    model, flat, cursor = _Model(lanes), words.reshape(-1), np.arange(lanes) * width + 4
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, np.uint64(2**64 - 1))
-    code = words[:, 0] << U48 | words[:, 1] << np.uint64(32) | words[:, 2] << U16 | words[:, 3]
-    used = np.full(lanes, 4, np.int64)
+    code = words[:, :4].astype(np.uint64) @ np.array([1 << 48, 1 << 32, 1 << 16, 1], np.uint64)
     out = np.zeros((block, lanes), np.uint32)
     bits, last_slot = np.uint64(RESET_BITS), np.uint64((1 << RESET_BITS) - 1)
 
@@ -269,22 +272,23 @@ def _decode_lanes(head: _Head, body: bytes, first: int, lanes: int) -> np.ndarra
             model.narrow(lo, r, part)
             now = np.where(part == 0, model.p2, model.p1)
             if back:
-                rest = np.flatnonzero(part == 2)
+                rest = (part == 2).nonzero()[0]
                 unit = r.take(rest) >> recent.bits
                 place = np.minimum((code.take(rest) - lo.take(rest)) // unit, last_place).astype(np.int64)
                 run = runs.take(rest * back + place)
                 lo[rest] += unit * recent.begin.take(run)
                 r[rest] = unit * recent.size.take(run)
                 now[rest] = recent.id.take(run)
-            rest = np.flatnonzero(part == 3)
+            rest = (part == 3).nonzero()[0]
             unit = r.take(rest) >> bits
             symbol = head.slot.take(np.minimum((code.take(rest) - lo.take(rest)) // unit, last_slot).astype(np.int64))
             lo[rest] += unit * head.begin.take(symbol)
             r[rest] = unit * head.freq.take(symbol)
             now[rest] = symbol
             for at, _ in _settled(lo, r):
-                code[at] = code[at] << U16 | words[at, np.minimum(used[at], reach)]
-                used[at] += 1
+                here = cursor.take(at)
+                code[at] = code.take(at) << U16 | flat.take(here, mode="clip")  # a damaged block may run on
+                cursor[at] = here + 1
             out[t, :n] = now
             model.update(now)
     ids = head.symbols.take(np.minimum(out.T, len(head.symbols) - 1).reshape(-1))[:(lanes - 1) * block + tail]

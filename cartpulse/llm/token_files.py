@@ -26,7 +26,6 @@ import types
 import uuid
 import zlib
 from codecs import charmap_decode
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,28 +96,31 @@ class PieceCache:
         self.first, self.count, self.n = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
         self.pool, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _ids(self, piece: bytes) -> list[int]:
-        if ODD_PIECE.search(piece):  # a whole word
-            text = piece.decode("utf-8", "replace")
-            if not PLAIN.fullmatch(text):
-                return self.tokenizer.encode(text, add_special_tokens=False).ids
-            return [i for part in PIECES.findall(text.lower()) for i in self._split(part.encode())]
-        return self._split(piece)
-
     def _split(self, piece: bytes) -> list[int]:
         return [t.id for t in self.model.tokenize(charmap_decode(piece, "strict", BYTE_LETTERS)[0])]
 
-    def _learn(self, pieces: list[bytes]):
-        """New pieces go behind the known ones."""
-        ids = [self._ids(p) if p.strip() else [] for p in pieces]
-        count = np.array([len(x) for x in ids], np.int64)
-        end, used = self.n + len(pieces), self.used + int(count.sum())
+    def _word(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8", "replace")
+        if not PLAIN.fullmatch(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return [i for part in PIECES.findall(text.lower()) for i in self._split(part.encode())]
+
+    def _learn(self, pieces: list[bytes], odd: bool):
+        """New pieces go behind the known ones; ``odd``: whole words may be among them."""
+        ids, ends = [], [0]
+        for p in pieces:
+            if not p.isspace():
+                ids += self._word(p) if odd and ODD_PIECE.search(p) else self._split(p)
+            ends.append(len(ids))
+        first = np.array(ends, np.int64)
+        count, first = np.diff(first), first[:-1]
+        end, used = self.n + len(pieces), self.used + len(ids)
         for name, size in (("first", end), ("count", end), ("pool", used)):
             held = getattr(self, name)
             if size > len(held):
                 setattr(self, name, np.concatenate([held, np.zeros(max(size, 2 * len(held)) - len(held), held.dtype)]))
-        self.first[self.n:end], self.count[self.n:end] = self.used + np.cumsum(count) - count, count
-        self.pool[self.used:used] = list(chain.from_iterable(ids))
+        self.first[self.n:end], self.count[self.n:end] = self.used + first, count
+        self.pool[self.used:used] = ids
         self.at.update(zip(pieces, range(self.n, end)))
         self.n, self.used = end, used
 
@@ -149,7 +151,7 @@ class PieceCache:
         _, at, held = (x and memoryview(x) for x in pieces.dictionary.buffers())
         at, held = at.cast("i")[:len(pieces.dictionary) + 1].tolist(), bytes(held)
         distinct = [held[i:j] for i, j in zip(at, at[1:])]
-        self._learn([p for p in distinct if p not in self.at])
+        self._learn([p for p in distinct if p not in self.at], len(odd) > 0)
         piece = np.array([self.at[p] for p in distinct], np.int64).take(pieces.indices.to_numpy())
         count = self.count.take(piece)
         ends = np.cumsum(count)

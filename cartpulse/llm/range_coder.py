@@ -67,11 +67,12 @@ class _Model:
     def predict(self, n: int):
         """Running sums of the weights, and all of them, for the first ``n`` lanes."""
         last, prior, base = self.last[:n], self.prior[:n], self.base[:n]
-        self.at1 = ((last * np.uint32(0x9E3779B1)) >> SHIFT) + base
-        self.at2 = (((last * np.uint32(0x85EBCA6B)) ^ (prior * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> SHIFT) + base
+        self.at1 = (((last * np.uint32(0x9E3779B1)) >> SHIFT) + base).astype(np.intp)
+        self.at2 = ((((last * np.uint32(0x85EBCA6B)) ^ (prior * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F) >> SHIFT) + base).astype(np.intp)
         self.e1, self.e2 = self.one.take(self.at1), self.two.take(self.at2)
         self.p1, self.p2 = self.e1 & ID_MASK, self.e2 & ID_MASK
         self.row = ((self.e2 >> ID_BITS) << np.uint32(3)) + ((self.e1 >> ID_BITS) << np.uint32(1)) + (self.p1 == self.p2) + self.rows[:n]
+        self.row = self.row.astype(np.intp)
         self.w = self.weights.take(self.row)
         self.sums = self.w * ONES
         self.total = self.sums >> U48
@@ -91,7 +92,9 @@ class _Model:
             w[over] = ((w[over] >> np.uint64(1)) & HALVES) + ONES
         self.weights[self.row] = w
         for table, at, entry, guess in ((self.one, self.at1, self.e1, self.p1), (self.two, self.at2, self.e2, self.p2)):
-            table[at] = np.where(guess == ids, np.minimum(entry + ID_STEP, ids | ID_TOP), ids)
+            table[at] = ids
+            hit = (guess == ids).nonzero()[0]
+            table[at.take(hit)] = np.minimum(entry.take(hit) + ID_STEP, ids.take(hit) | ID_TOP)
         self.prior[:n] = self.last[:n]
         self.last[:n] = ids
 

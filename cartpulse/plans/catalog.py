@@ -486,13 +486,12 @@ def q_sale_detail_stream(spark, sf):
     customer, part, nation = _tables(spark, sf, "customer", "part", "nation")
 
     def start():
-        wide = SS.sale_detail_stream(RP.stream_reader(spark, o_src, orders.schema),
-                                     RP.stream_reader(spark, l_src, lines.schema), customer, part, nation)
-        return SS.start_file_sink(wide, f"{work}/out", f"{work}/checkpoint", conf=SS.JOIN_QUERY_CONF)
+        return SS.start_sale_detail_stream(RP.stream_reader(spark, o_src, orders.schema), RP.stream_reader(spark, l_src, lines.schema),
+                                           customer, part, nation, f"{work}/out", f"{work}/checkpoint")
 
     RP.replay([(orders, "o_orderdate", o_src, "parquet"), (lines, "create_time", l_src, "parquet")],
               N_SLICES_T, start)
-    return spark.read.parquet(f"{work}/out")
+    return SK.read_table(spark, f"{work}/out").drop("batch_id")
 
 
 def q_stream_sale_late_orders(spark, sf):

@@ -27,6 +27,12 @@ def write_batch(df: DataFrame, table: str, batch_id: int, partition_by: list[str
     w.parquet(batch_folder(table, batch_id))
 
 
+def delete_batch(spark: SparkSession, table: str, batch_id: int) -> None:
+    """Remove one micro-batch's folder, if there is one."""
+    fs, p = _fs_path(spark, batch_folder(table, batch_id))
+    fs.delete(p, True)
+
+
 def write_dated_batch(df: DataFrame, table: str, batch_id: int, date_col: str) -> None:
     """Write one micro-batch under ``<date_col>=<d>/batch_id=<n>`` folders.
 

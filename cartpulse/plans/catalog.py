@@ -521,7 +521,8 @@ def q_stream_cdc_order_inserts(spark, sf):
     src = f"{work}/source"
 
     def start():
-        return CS.start_cdc_stream(RP.stream_reader(spark, src, changes.schema), f"{work}/out", f"{work}/checkpoint", database=CDC.STAND_IN_DATABASE)
+        return CS.start_cdc_stream(RP.stream_reader(spark, src, changes.schema), f"{work}/out", f"{work}/checkpoint", database=CDC.STAND_IN_DATABASE,
+                                   compression="gzip")
 
     RP.replay([(changes, "ts", src, "parquet")], N_SLICES_T, start)
     return spark.read.text(f"{work}/out")

@@ -1,9 +1,10 @@
-"""Streaming coupon alerts on event time, with one state row per device and time chunk.
+"""Streaming coupon alerts on event time, with one state row per device group and time chunk.
 
 An event goes to its device's time chunk (and, near a chunk's end, to the next one,
-whose first windows reach back to it). The state of a (device, chunk) is the
-chunk's buckets: accounts, items, click flag and events - what the batch sweep
-reads, not one row per window. A micro-batch sweeps only the windows its events can change,
+whose first windows reach back to it). Devices are dealt to groups by hash. The state of a (group, chunk) is its
+devices' buckets in the chunk: accounts, items, click flag and events - what the batch sweep
+reads, not one row per window. Each key costs a dozen calls between Python and the state store (state, timers), whatever it
+holds: with groups these grow with time, not with devices. A micro-batch sweeps only the windows its events can change,
 before and after, and writes those that differ: the micro-batch that brings a window its third
 account reports it at once, a late click takes an alert back, and
 windows at the end of the log need no later event to come out. A timer frees a chunk's state
@@ -18,6 +19,7 @@ its event list) are append-only logs of versions; :func:`read_alerts` and
 from __future__ import annotations
 
 from bisect import insort
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +41,8 @@ WINDOW_SCHEMA = ("mid string, window_start timestamp_ntz, window_end timestamp_n
                  "item_ids array<string>, clicked boolean, batch_id long")
 DOC_SCHEMA = ("alert_id string, mid string, uids array<string>, item_ids array<string>, events array<string>, "
               "ts timestamp_ntz, window_start timestamp_ntz, clicked boolean, batch_id long")
-RING = "buckets array<struct<at:bigint,clicked:boolean,uids:array<string>,items:array<string>,events:array<struct<us:bigint,id:bigint,evid:string>>>>"
+GROUPS = 64  # device groups per time chunk
+RING = "buckets array<struct<mid:string,at:bigint,clicked:boolean,uids:array<string>,items:array<string>,events:array<struct<us:bigint,id:bigint,evid:string>>>>"
 #: Versions: of a window (``doc`` NULL) or of a document (``doc`` its number; no ``window_end`` once it is gone).
 CHANGES = ("mid string, window_start timestamp_ntz, window_end timestamp_ntz, uids array<string>, item_ids array<string>, "
            "events array<string>, clicked boolean, doc bigint")
@@ -48,7 +51,7 @@ _CHANGE = Row("mid", "window_start", "window_end", "uids", "item_ids", "events",
 
 
 class _Alerts(StatefulProcessor):
-    """State of one (device, chunk) and the versions a micro-batch brings."""
+    """State of one (device group, chunk) and the versions a micro-batch brings."""
 
     def __init__(self, rule: Rule, chunk: int, bucket_us: int, lists: bool):
         self.rule, self.chunk, self.bucket_us, self.lists = rule, chunk, bucket_us, lists
@@ -60,11 +63,17 @@ class _Alerts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802,N803 - the interface's names
         c, stored = key[1], self.ring.get()
-        before = {} if stored is None else {b[0]: Bucket(b[0], b[1], set(b[2]), set(b[3]), [tuple(e) for e in b[4]]) for b in stored[0]}
+        held = defaultdict(list)
+        for b in () if stored is None else stored[0]:
+            held[b[0]].append(b)
         if stored is None:  # the chunk's last window ends here
             self.handle.registerTimer((c + 1) * self.chunk * self.bucket_us // 1000)
-        after, touched = dict(before), set()
+        devices = {}  # those with rows: their buckets before, after, and the places touched
         for r in rows:
+            if r.mid not in devices:
+                was = {b[1]: Bucket(b[1], b[2], set(b[3]), set(b[4]), [tuple(e) for e in b[5]]) for b in held.pop(r.mid, ())}
+                devices[r.mid] = was, dict(was), set()
+            before, after, touched = devices[r.mid]
             if r.j not in touched:
                 touched.add(r.j)
                 old = before.get(r.j) or Bucket(r.j)
@@ -79,7 +88,14 @@ class _Alerts(StatefulProcessor):
                     b.items.add(r.itemid)
             if self.lists:
                 insort(b.events, (r.us, r.event_id, r.evid or ""))
-        self.ring.update(([(b.at, b.clicked, sorted(b.uids), sorted(b.items), b.events) for _, b in sorted(after.items())],))
+        kept = [(*b[:5], [tuple(e) for e in b[5]]) for bs in held.values() for b in bs]  # plain tuples: state takes no Row back
+        kept += [(mid, b.at, b.clicked, sorted(b.uids), sorted(b.items), b.events) for mid, (_, after, _) in devices.items() for _, b in sorted(after.items())]
+        self.ring.update((kept,))
+        for mid, (before, after, touched) in devices.items():
+            yield from self._changes(mid, c, before, after, touched)
+
+    def _changes(self, mid, c, before, after, touched):
+        """Versions of one device's windows and documents that differ."""
         # whole documents around the windows that hold a touched bucket
         doc = self.rule.document
         low = max(min(touched) + 1, c * self.chunk) // doc * doc
@@ -87,11 +103,11 @@ class _Alerts(StatefulProcessor):
         was, now = ({w[0]: w[1:] for w in alerted((b for _, b in sorted(bs.items())), self.windows, low, high)} for bs in (before, after))
         for e in sorted(was.keys() | now.keys()):
             if was.get(e) != now.get(e):
-                yield self._version(key[0], e, now.get(e) or was[e], e not in now, None)
+                yield self._version(mid, e, now.get(e) or was[e], e not in now, None)
         for d in range(low // doc, high // doc):
             old, new = (max((e for e in ws if e // doc == d), default=None) for ws in (was, now))
             if (old, was.get(old)) != (new, now.get(new)):
-                yield self._version(key[0], new, now.get(new) or ([], [], []), new is None, d)
+                yield self._version(mid, new, now.get(new) or ([], [], []), new is None, d)
 
     def _version(self, mid, e, content, gone: bool, doc):
         uids, items, events = content
@@ -119,12 +135,13 @@ def events_of_json(messages: DataFrame) -> DataFrame:
 
 def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALERT_SLIDE, delay: str = "1 minute",
                  min_accounts: int = ALERT_MIN_ACCOUNTS, every_event: bool = False, bucket_ms: int = ALERT_ID_BUCKET_MS,
-                 chunk_windows: int = STREAM_CHUNK_WINDOWS) -> DataFrame:
+                 chunk_windows: int = STREAM_CHUNK_WINDOWS, groups: int = GROUPS) -> DataFrame:
     """Changed alert windows and documents (:data:`CHANGES`) of a stream of events.
 
     Only coupons and item clicks enter the state. With ``every_event`` all events do, and
     documents carry their event lists. ``delay`` is the watermark's: an event that is older than the
-    newest one by more is refused.
+    newest one by more is refused. ``groups`` (fixed for a checkpoint) bounds the state rows of a time chunk; a state value
+    holds a group's events of one chunk.
     """
     g = _Grid(window, slide)
     if bucket_ms * 1000 % g.bucket:
@@ -135,8 +152,8 @@ def alert_stream(events: DataFrame, window: str = ALERT_WINDOW, slide: str = ALE
     if not every_event:
         used = used.where(F.col("evid").isin(EVID_COUPON, EVID_CLICK_ITEM))
     timed = used.withColumn("event_time", ntz_to_instant("ts")).withWatermark("event_time", delay)
-    rows = with_chunks(timed, g, chunk).select("mid", "c", "j", "uid", "itemid", "evid", "event_id", ntz_to_epoch_us("ts").alias("us"), "event_time")
-    return rows.groupBy("mid", "c").transformWithState(_Alerts(rule, chunk, g.bucket, every_event), CHANGES, "Update", "EventTime")
+    rows = with_chunks(timed, g, chunk).select(F.pmod(F.xxhash64("mid"), F.lit(groups)).alias("g"), "c", "mid", "j", "uid", "itemid", "evid", "event_id", ntz_to_epoch_us("ts").alias("us"), "event_time")
+    return rows.groupBy("g", "c").transformWithState(_Alerts(rule, chunk, g.bucket, every_event), CHANGES, "Update", "EventTime")
 
 
 def alert_docs(alerts: DataFrame, bucket_ms: int = ALERT_ID_BUCKET_MS) -> DataFrame:
